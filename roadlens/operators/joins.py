@@ -15,17 +15,15 @@ def frequent_keys(df: DataFrame, key: str, share: float) -> DataFrame:
     return counts.filter(F.col(key).isNotNull() & (F.col("_n") >= total * F.lit(share))).select(key)
 
 
-def join_spread(
-    fact: DataFrame, dim: DataFrame, key: str, spread_by: str, share: float = 0.001, ways: int = 64
-) -> DataFrame:
+def join_spread(fact: DataFrame, dim: DataFrame, key: str, spread_by: str, hot: DataFrame, ways: int = 64) -> DataFrame:
     """Inner join on ``key`` for a dimension that may be too large to broadcast.
 
-    Fact rows of a frequent key are cut into ``ways`` parts by a hash of
-    ``spread_by``, and that key's dimension row is repeated once per part, so no
-    task gets all rows of one key. Only the list of frequent keys is broadcast:
-    at most ``1 / share`` values.
+    Fact rows of the ``hot`` keys are cut into ``ways`` parts by a hash of
+    ``spread_by``, and such a key's dimension row is repeated once per part, so
+    no task gets all rows of one key. Only the list from ``frequent_keys`` is
+    broadcast, whose length is bounded by its share.
     """
-    hot = F.broadcast(frequent_keys(fact, key, share).withColumn("_hot", F.lit(True)))
+    hot = F.broadcast(hot.withColumn("_hot", F.lit(True)))
     part = F.when(F.col("_hot"), F.pmod(F.xxhash64(spread_by), F.lit(ways)).cast("int")).otherwise(0)
     parts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(ways - 1))).otherwise(F.array(F.lit(0)))
     left = fact.join(hot, key, "left").withColumn("_part", part).drop("_hot")
@@ -38,17 +36,22 @@ def star_join(
     dims: Mapping[str, DataFrame],
     spread_by: str = "accident_id",
     spread_keys: tuple[str, ...] = ("location_id", "time_id"),
+    share: float = 0.001,
 ) -> DataFrame:
     """The fact rows with the attributes of every dimension, joined on its key.
 
     Keys in ``spread_keys`` belong to dimensions that grow with the data and
     are joined by ``join_spread``. The others stay small (products of category
     values); Spark chooses broadcast or shuffle from their measured size.
-    Attributes the fact has already are taken from the fact.
+    Attributes the fact has already are taken from the fact. Fact and
+    dimensions are read more than once: give tables, not long plans.
     """
     joined = fact
     for key, dim in dims.items():
         new = [c for c in dim.columns if c == key or c not in joined.columns]
         dim = dim.select(*new)
-        joined = join_spread(joined, dim, key, spread_by) if key in spread_keys else joined.join(dim, key)
+        if key in spread_keys:
+            joined = join_spread(joined, dim, key, spread_by, frequent_keys(fact, key, share))
+        else:
+            joined = joined.join(dim, key)
     return joined

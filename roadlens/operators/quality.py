@@ -31,7 +31,7 @@ def check_rows(
     max_length: Mapping[str, int] | None = None,
 ) -> DataFrame:
     """Counts NULLs, values outside a list (NULL is allowed there) and texts that are too long."""
-    checks = [(c, "not_null", F.col(c).isNull()) for c in not_null]
+    checks = [(c, "not_null", F.col(f"`{c}`").isNull()) for c in not_null]
     checks += [(c, "accepted_values", ~F.col(c).isin(list(v))) for c, v in (accepted or {}).items()]
     checks += [(c, "max_length", F.length(c) > n) for c, n in (max_length or {}).items()]
     counts = df.agg(*[F.count_if(bad).alias(f"c{i}") for i, (_, _, bad) in enumerate(checks)])

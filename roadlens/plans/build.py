@@ -14,15 +14,17 @@ from roadlens.plans.contract import CONTRACT
 from roadlens.sources.delimited import export_csv, read_raw
 from roadlens.sources.tables import load_table, materialise, stage
 
-MART_ORDER = {
-    "mart_temporal": ("granularity", "period_date"),
-    "mart_geo": (F.desc("geo_level"), "volume_rank", "state", "city"),
-    "mart_weather_poi": ("analysis_type", "display_rank", "category"),
-    "mart_funnel": (
-        "funnel_dimension", F.col("context_rank").asc_nulls_last(),
-        F.col("cohort_period").asc_nulls_last(), "dimension_value",
-    ),
-}
+def mart_order(name: str) -> list:
+    """The published row order of a mart, with ties settled by the row's own names."""
+    return {
+        "mart_temporal": ["granularity", "period_date"],
+        "mart_geo": [F.desc("geo_level"), "volume_rank", "state", "city"],
+        "mart_weather_poi": ["analysis_type", "display_rank", "category"],
+        "mart_funnel": [
+            "funnel_dimension", F.col("context_rank").asc_nulls_last(),
+            F.col("cohort_period").asc_nulls_last(), "dimension_value",
+        ],
+    }[name]
 
 
 def load_raw_file(spark: SparkSession, raw_path: str, root: str, null_exempt: Sequence[str] = ()) -> DataFrame:
@@ -76,8 +78,9 @@ def build(incidents: DataFrame, root: str, export: bool = False) -> dict[str, Da
     for name, df in {**star_tables(view["staged"]), **marts(tables)}.items():
         tables[name] = materialise(df, f"{root}/{name}")
     if export:
-        for name, order in MART_ORDER.items():
-            export_csv(tables[name], f"{root}/export/{name}", order_by=order)
+        for name in tables:
+            if name.startswith("mart_"):
+                export_csv(tables[name], f"{root}/export/{name}", order_by=mart_order(name))
     return tables
 
 

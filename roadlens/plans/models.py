@@ -22,9 +22,6 @@ PARTIAL_YEAR = 2023
 # How many leading rows the marts keep.
 TOP_CITIES, TOP_IN_STATE, TOP_WEATHER = 20, 5, 15
 
-NO_COUNT = F.lit(None).cast("bigint")
-NO_RATE = F.lit(None).cast("decimal(18,2)")
-
 
 def _facets(*pairs: tuple[str, Column]) -> Column:
     """An array of (tag, value) structs, to count one cell under several headings."""

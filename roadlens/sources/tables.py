@@ -75,10 +75,9 @@ def verify_load(df: DataFrame, top: int = 5) -> DataFrame:
     added up three ways.
     """
     cells = df.groupBy("state", "severity").agg(F.count("*").alias("n"))
+    headings = {"total": F.lit("all"), "severity": F.col("severity").cast("string"), "state": F.col("state")}
     facets = F.array(
-        F.struct(F.lit("total").alias("section"), F.lit("all").alias("value")),
-        F.struct(F.lit("severity"), F.col("severity").cast("string")),
-        F.struct(F.lit("state"), F.col("state")),
+        *[F.struct(F.lit(section).alias("section"), value.alias("value")) for section, value in headings.items()]
     )
     sums = (
         cells.select(F.explode(facets).alias("f"), "n")

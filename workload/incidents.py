@@ -111,8 +111,22 @@ def _plain_columns() -> dict[str, Column]:
     return {name: column.cast(TYPES.get(name, "string")) for name, column in columns.items()}
 
 
+_frames: dict[tuple[str, str], DataFrame] = {}
+
+
 def incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The typed incident table: ``id`` and the 51 columns."""
+    """The typed incident table: ``id`` and the 51 columns.
+
+    The lazy frame is kept per session, as its many columns take long to set
+    up; its rows are not, every query reads the files.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _frames:
+        _frames[key] = _make_incidents(spark, sf_dir)
+    return _frames[key]
+
+
+def _make_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _numbers(spark, sf_dir).select((F.col("k") + 1).alias("id"), *[
         c.alias(n) for n, c in _plain_columns().items()
     ])
