@@ -38,9 +38,17 @@ def parse(raw: DataFrame) -> DataFrame:
 
 
 def fill_and_drop(parsed: DataFrame, null_exempt: Sequence[str] = ()) -> DataFrame:
-    """No recorded precipitation is 0.0; after that a row with any NULL goes."""
-    filled = parsed.fillna({"Precipitation(in)": 0.0})
-    return filled.dropna(how="any", subset=[f"`{c}`" for c in KEPT if c not in null_exempt])
+    """No recorded precipitation is 0.0; after that a row with any NULL goes.
+
+    The filter also looks at the split's number. Spark does not move such a
+    filter below the projection, which would repair and parse every field twice.
+    """
+    filled = parsed.withColumns({
+        "Precipitation(in)": F.coalesce(F.col("`Precipitation(in)`"), F.lit(0.0)),
+        "_split": F.spark_partition_id(),
+    })
+    whole = filled.dropna(how="any", subset=[f"`{c}`" for c in KEPT if c not in null_exempt])
+    return whole.filter("_split >= 0").drop("_split")
 
 
 def engineered(start: Column, end: Column, temperature: Column, visibility: Column, twilights) -> dict[str, Column]:

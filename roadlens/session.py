@@ -7,15 +7,29 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-DEFAULTS = {
+# The rows are wide. Code generated for a whole stage of them can be a method of
+# more than 8000 bytes, which the JVM never compiles; up to that limit Spark
+# generates one method per stage, beyond it one per expression.
+TUNING = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+}
+DEFAULTS = {
+    **TUNING,
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
 }
 
 
+def tune(spark: SparkSession) -> SparkSession:
+    """Gives a session that was made elsewhere the settings the plans are written for."""
+    for key, value in TUNING.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def get_session(app: str = "roadlens", **conf: str) -> SparkSession:
     """A session with this library's defaults; keyword names use ``__`` for dots."""
     builder = SparkSession.builder.appName(app)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from roadlens.functions import text
 from roadlens.plans.cleaning import engineered
-from roadlens.session import shared_folder
+from roadlens.session import settle, shared_folder
 from roadlens.sources.delimited import QUOTING, read_raw
 from roadlens.sources.schema import FLAGS, RENAME, TWILIGHTS, TYPES
 
@@ -148,7 +148,7 @@ def raw_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     p = F.col("_p")
     plain = _plain_columns()
-    rows = _numbers(spark, sf_dir).select(*[c.alias(n) for n, c in plain.items()], F.col("p").alias("_p"))
+    rows = settle(_numbers(spark, sf_dir).select(*[c.alias(n) for n, c in plain.items()], F.col("p").alias("_p")))
 
     def moment(name: str) -> Column:
         body = F.date_format(name, "yyyy-MM-dd HH:mm:ss")

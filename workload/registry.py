@@ -15,7 +15,7 @@ from roadlens.operators import joins, maps, profile, quality
 from roadlens.operators.ordering import number_rows
 from roadlens.plans import build, cleaning, models, star
 from roadlens.plans.questions import QUESTIONS
-from roadlens.session import shared_folder
+from roadlens.session import shared_folder, tune
 from roadlens.sources import delimited, tables
 from roadlens.streaming.arrivals import clean_arrivals
 from workload.expected import CLASSIFIED, DOCUMENT_RULES, PROFILED, RADIUS, STEP, SUMMARISED
@@ -260,6 +260,6 @@ def all_queries() -> dict[str, Query]:
     }
 
     def as_plain(query: Query) -> Query:
-        return lambda spark, sf_dir: plain(query(spark, sf_dir))
+        return lambda spark, sf_dir: plain(query(tune(spark), sf_dir))
 
     return {name: as_plain(q) for name, q in queries.items()}
