@@ -402,7 +402,13 @@ def _cleaning() -> dict[str, str]:
         "staged": f"SELECT id AS accident_id, {', '.join(TABLE_COLUMNS)} FROM inc",
     }
     out = {name: over_incidents(sql) for name, sql in q.items()}
-    out["keyword_context"] = f"""SELECT doc_id, CASE {_rules('text', DOCUMENT_RULES)}
+    # here \b means ASCII word boundaries; the texts are in four languages, so spell out the Unicode ones
+    edge = r"[^\p{L}\p{N}_]"
+    spelled = [
+        (label, [f"(?:^|{edge}){p[2:-2]}(?:$|{edge})" if p.startswith("\\b") else p for p in patterns])
+        for label, patterns in DOCUMENT_RULES
+    ]
+    out["keyword_context"] = f"""SELECT doc_id, CASE {_rules('text', spelled)}
         WHEN quality = 1 THEN 'rated_good' WHEN toxic = 1 THEN 'rated_toxic' ELSE 'other' END AS topic
         FROM documents LEFT JOIN labels USING (doc_id)"""
     return out
