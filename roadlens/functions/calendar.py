@@ -18,13 +18,17 @@ LOCKDOWN = ((2020, 3), (2020, 6))
 
 WEEKDAYS = ("Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday")
 
-_PLAIN = r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}$"
+MONTHS = (
+    "January", "February", "March", "April", "May", "June", "July", "August", "September", "October",
+    "November", "December",
+)
+
+_WALL_CLOCK = r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}(\.\d+)?$"
 
 
 def parse_wall_clock(text: Column) -> Column:
     """``yyyy-MM-dd HH:mm:ss`` with any fractional seconds cut off; NULL if malformed."""
-    plain = F.regexp_replace(text, r"\.\d+$", "")
-    return F.when(plain.rlike(_PLAIN), plain).try_cast("timestamp_ntz")
+    return F.when(text.rlike(_WALL_CLOCK), F.substring_index(text, ".", 1)).try_cast("timestamp_ntz")
 
 
 def minutes_between(start: Column, end: Column, digits: int = 2) -> Column:
@@ -43,10 +47,18 @@ def year_start(ts: Column) -> Column:
 
 def day_name(ts: Column, pad: bool = False) -> Column:
     """English weekday; ``pad`` fills it with blanks to nine characters."""
-    name = F.date_format(ts, "EEEE")
+    name = _nth(WEEKDAYS, F.weekday(ts) + 1)
     return F.rpad(name, 9, " ") if pad else name
 
 
+def month_name(ts: Column) -> Column:
+    return _nth(MONTHS, F.month(ts))
+
+
+def _nth(names: Iterable[str], place: Column) -> Column:
+    return F.element_at(F.array(*[F.lit(n) for n in names]), place)
+
+
 def is_weekend(ts: Column) -> Column:
     return F.weekday(ts) >= 5
 

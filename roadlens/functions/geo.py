@@ -1,4 +1,4 @@
-"""Cells for density maps, and the colour of a point."""
+"""Cells for density maps, and the colour and label of a severity."""
 
 from __future__ import annotations
 
@@ -18,6 +18,8 @@ SEVERITY_COLOURS = {
     4: (220, 30, 30, 220),
 }
 OTHER_COLOUR = (150, 150, 150, 180)
+# Names of the severities.
+SEVERITY_LABELS = {1: "Minor", 2: "Moderate", 3: "Serious", 4: "Critical"}
 
 
 def metres_per_degree(latitude: float = CENTRE_LATITUDE) -> tuple[float, float]:
@@ -69,3 +71,11 @@ def severity_colour(severity: Column) -> Column:
     for level, rgba in SEVERITY_COLOURS.items():
         colour = colour.when(severity == level, F.array(*[F.lit(v) for v in rgba]))
     return colour.otherwise(F.array(*[F.lit(v) for v in OTHER_COLOUR]))
+
+
+def severity_label(severity: Column) -> Column:
+    """The name of a severity; NULL for any other value."""
+    label = F.when(F.lit(False), F.lit(None).cast("string"))
+    for level, name in SEVERITY_LABELS.items():
+        label = label.when(severity == level, F.lit(name))
+    return label

@@ -80,30 +80,31 @@ def with_funnel_rates(counted: DataFrame) -> DataFrame:
     )
 
 
-def flag_comparison(df: DataFrame, flags: Sequence[str] | Mapping[str, tuple[Column, Column]]) -> DataFrame:
+def flag_comparison(df: DataFrame, flags: Sequence[str]) -> DataFrame:
     """Per flag: average severity where it is true and where it is false, and how often it is true.
 
-    All flags are measured in one pass that ends in one row; that row is then
-    turned into one row per flag. A mapping gives a pair of conditions instead
-    of a flag column.
+    All flags are summed in one pass that ends in one row; that row is then
+    turned into one row per flag.
     """
-    if not isinstance(flags, Mapping):
-        flags = {f: (F.col(f), ~F.col(f)) for f in flags}
-    measures = []
-    for i, (yes, no) in enumerate(flags.values()):
-        measures += [
-            avg_severity(yes, f"yes_{i}"), avg_severity(no, f"no_{i}"), F.count_if(yes).alias(f"count_{i}")
-        ]
-    rows = [
-        F.struct(
-            F.lit(name).alias("poi_feature"),
-            F.col(f"yes_{i}").alias("avg_sev_true"),
-            F.col(f"no_{i}").alias("avg_sev_false"),
-            F.col(f"count_{i}").alias("count_true"),
-        )
-        for i, name in enumerate(flags)
-    ]
-    return df.agg(*measures).select(F.inline(F.array(*rows)))
+    sums = []
+    for f in flags:
+        for side, condition in (("yes", f), ("no", f"NOT {f}")):
+            sums += [
+                f"sum(CASE WHEN {condition} THEN severity END) AS {f}_{side}_sum",
+                f"count(CASE WHEN {condition} THEN severity END) AS {f}_{side}_n",
+            ]
+        sums.append(f"count_if({f}) AS {f}_true")
+    rows = ", ".join(
+        f"struct('{f}' AS poi_feature, {f}_yes_sum AS yes_sum, {f}_yes_n AS yes_n, {f}_no_sum AS no_sum, "
+        f"{f}_no_n AS no_n, {f}_true AS count_true)"
+        for f in flags
+    )
+    return df.agg(*[F.expr(e) for e in sums]).selectExpr(f"inline(array({rows}))").select(
+        "poi_feature",
+        ratio(F.col("yes_sum"), F.col("yes_n"), 3).alias("avg_sev_true"),
+        ratio(F.col("no_sum"), F.col("no_n"), 3).alias("avg_sev_false"),
+        "count_true",
+    )
 
 
 def category_pivot(

@@ -21,20 +21,16 @@ def in_ranges(df: DataFrame, order_by: Sequence[Column], ranges: int | None = No
 
     Range bounds are sampled, so the layout is written once and all readers see
     the same one. Rows that tie on every key may still go to several ranges, as
-    the arrival number is the last key.
+    the arrival number is the last key. Without keys the input's own partitions
+    are the ranges and nothing is moved.
     """
-    n = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keys = [*order_by, F.col("_arrival").asc()]
     mid = F.monotonically_increasing_id()
-    laid = (
-        df.withColumn("_arrival", mid)
-        .repartitionByRange(n, *keys)
-        .sortWithinPartitions(*keys)
-        .drop("_arrival")
-        .withColumn("_mid", mid)
-    )
+    if order_by:
+        n = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        keys = [*order_by, F.col("_arrival").asc()]
+        df = df.withColumn("_arrival", mid).repartitionByRange(n, *keys).sortWithinPartitions(*keys).drop("_arrival")
     return (
-        settle(laid)
+        settle(df.withColumn("_mid", mid))
         .withColumn("_range", F.shiftright("_mid", _POSITION_BITS))
         .withColumn("_place", F.col("_mid").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1)))
         .drop("_mid")

@@ -25,24 +25,19 @@ def null_audit(df: DataFrame) -> DataFrame:
     One scan that ends in one row, which is then turned into a row per column.
     """
     fields = df.schema.fields
-    counts = [F.count_if(F.col(f"`{f.name}`").isNull()).alias(f"m{i}") for i, f in enumerate(fields)]
-    with_missing = sum((F.col(f"m{i}") > 0).cast("int") for i in range(len(fields)))
-    rows = [
-        F.struct(
-            F.lit(f.name).alias("column_name"),
-            F.lit(f.dataType.simpleString()).alias("dtype"),
-            F.col(f"m{i}").alias("missing_count"),
-            percent(F.col(f"m{i}"), F.col("total_rows"), 3).alias("missing_pct"),
-        )
+    counts = [F.expr(f"count_if(`{f.name}` IS NULL) AS m{i}") for i, f in enumerate(fields)]
+    with_missing = " + ".join(f"int(m{i} > 0)" for i in range(len(fields)))
+    rows = ", ".join(
+        f"struct('{f.name}' AS column_name, '{f.dataType.simpleString()}' AS dtype, m{i} AS missing_count)"
         for i, f in enumerate(fields)
-    ]
-    one = df.agg(F.count("*").alias("total_rows"), *counts)
-    return one.select(
-        F.inline(F.array(*rows)),
-        "total_rows",
-        F.lit(len(fields)).cast("bigint").alias("total_columns"),
-        with_missing.cast("bigint").alias("columns_with_missing_values"),
-    ).orderBy(F.desc("missing_pct"), F.asc("column_name"))
+    )
+    one = df.agg(F.expr("count(*) AS total_rows"), *counts)
+    audit = one.selectExpr(
+        f"inline(array({rows}))", "total_rows", f"bigint({len(fields)}) AS total_columns",
+        f"bigint({with_missing}) AS columns_with_missing_values",
+    )
+    missing_pct = percent(F.col("missing_count"), F.col("total_rows"), 3)
+    return audit.withColumn("missing_pct", missing_pct).orderBy(F.desc("missing_pct"), F.asc("column_name"))
 
 
 def _is_number(field: T.StructField) -> bool:

@@ -24,17 +24,17 @@ OBSERVED_EXEMPT = ("Zipcode", "Timezone")
 
 def parse(raw: DataFrame) -> DataFrame:
     """Repairs and types; what cannot be read as its type becomes NULL."""
-    repairs = {
-        "ID": text.strip_id_prefix(F.col("ID")),
-        "Severity": F.col("Severity").try_cast("int"),
-        "Zipcode": text.zip_base(F.col("Zipcode")),
-        "Timezone": text.strip_zone_prefix(F.col("Timezone")),
-        "Weather_Timestamp": F.col("Weather_Timestamp").try_cast("timestamp_ntz"),
-        **{c: calendar.parse_wall_clock(F.col(c)) for c in RAW_TIMES},
-        **{c: F.col(f"`{c}`").try_cast("double") for c in RAW_NUMBERS},
-        **{c: F.col(c).try_cast("boolean") for c in RAW_FLAGS},
+    types = {"Severity": "int", "Weather_Timestamp": "timestamp_ntz"}
+    types |= dict.fromkeys(RAW_NUMBERS, "double") | dict.fromkeys(RAW_FLAGS, "boolean")
+    read_as = dict(raw.dtypes)
+    repairs = {c: F.expr(f"try_cast(`{c}` AS {t}) AS `{c}`") for c, t in types.items() if read_as[c] != t}
+    repairs |= {
+        "ID": text.strip_id_prefix(F.col("ID")).alias("ID"),
+        "Zipcode": text.zip_base(F.col("Zipcode")).alias("Zipcode"),
+        "Timezone": text.strip_zone_prefix(F.col("Timezone")).alias("Timezone"),
+        **{c: calendar.parse_wall_clock(F.col(c)).alias(c) for c in RAW_TIMES},
     }
-    return raw.drop(*DROPPED).select(*[repairs.get(c, F.col(f"`{c}`")).alias(c) for c in KEPT])
+    return raw.drop(*DROPPED).select(*[repairs.get(c, f"`{c}`") for c in KEPT])
 
 
 def fill_and_drop(parsed: DataFrame, null_exempt: Sequence[str] = ()) -> DataFrame:
@@ -77,7 +77,7 @@ def add_features(rows: DataFrame) -> DataFrame:
 
 def clean(raw: DataFrame, null_exempt: Sequence[str] = ()) -> DataFrame:
     rows = fill_and_drop(parse(raw), null_exempt)
-    return add_features(rows).select(*[F.col(f"`{c}`") for c in RENAME])
+    return add_features(rows).select(*[f"`{c}`" for c in RENAME])
 
 
 def clean_totals(raw: DataFrame, null_exempt: Sequence[str] = ()) -> DataFrame:

@@ -65,7 +65,7 @@ def dim_time(staged: DataFrame, pad_day: bool = False) -> DataFrame:
         "is_weekend": calendar.is_weekend(ts),
         "is_rush_hour": hour.isin(*calendar.DIMENSION_RUSH_HOURS),
         "month_num": F.month(ts),
-        "month_name": F.date_format(ts, "MMMM"),
+        "month_name": calendar.month_name(ts),
         "year_num": F.year(ts),
         "quarter_num": F.quarter(ts),
         "month_start": calendar.month_start(ts),

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from roadlens.sources.schema import NULL_TOKENS, RENAME, TYPES, raw_schema, text_schema
@@ -30,13 +29,15 @@ def read_raw(spark: SparkSession, path: str, columns=None, multi_line: bool = Fa
 
 def blank_missing(df: DataFrame) -> DataFrame:
     """NULL for every text, or not-a-number, that stands for a missing value."""
-    def blanked(field: T.StructField) -> Column:
-        column = F.col(f"`{field.name}`")
+    tokens = ", ".join(f"'{t}'" for t in NULL_TOKENS)
+
+    def blanked(field: T.StructField) -> str:
+        name = f"`{field.name}`"
         if isinstance(field.dataType, T.StringType):
-            return F.when(~column.isin(*NULL_TOKENS), column)
-        return F.when(~F.isnan(column), column) if isinstance(field.dataType, T.DoubleType) else column
+            return f"CASE WHEN {name} NOT IN ({tokens}) THEN {name} END AS {name}"
+        return f"nullif({name}, double('NaN')) AS {name}" if isinstance(field.dataType, T.DoubleType) else name
 
-    return df.select(*[blanked(f).alias(f.name) for f in df.schema.fields])
+    return df.selectExpr(*[blanked(f) for f in df.schema.fields])
 
 
 def read_clean(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
@@ -46,9 +47,7 @@ def read_clean(spark: SparkSession, path: str, multi_line: bool = False) -> Data
     """
     reader = spark.read.schema(text_schema(RENAME)).options(header=True, multiLine=multi_line, **QUOTING)
     text = blank_missing(reader.csv(path))
-    return text.select(
-        *[F.col(f"`{raw}`").cast(TYPES.get(name, "string")).alias(raw) for raw, name in RENAME.items()]
-    )
+    return text.selectExpr(*[f"CAST(`{raw}` AS {TYPES.get(name, 'string')}) AS `{raw}`" for raw, name in RENAME.items()])
 
 
 def write_clean(df: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -139,9 +139,3 @@ def raw_schema(columns) -> T.StructType:
 
 def text_schema(columns) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in columns])
-
-
-def table_schema(id_column: str | None = None) -> T.StructType:
-    fields = [f"`{id_column}` bigint"] if id_column else []
-    fields += [f"`{name}` {TYPES.get(name, 'string')}" for name in TABLE_COLUMNS]
-    return T.StructType.fromDDL(", ".join(fields))

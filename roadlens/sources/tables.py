@@ -8,31 +8,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadlens.operators.ordering import number_rows
-from roadlens.sources.schema import RENAME, REQUIRED, TABLE_COLUMNS, table_schema
+from roadlens.session import settle
+from roadlens.sources.schema import RENAME, REQUIRED, TABLE_COLUMNS, TYPES
 
 
 def rename_columns(df: DataFrame, names: Mapping[str, str] = RENAME) -> DataFrame:
     """Only the mapped columns, under their new names, in the order of the mapping."""
-    return df.select(*[F.col(f"`{old}`").alias(new) for old, new in names.items()])
+    return df.selectExpr(*[f"`{old}` AS `{new}`" for old, new in names.items()])
 
 
 def typed(df: DataFrame) -> DataFrame:
     """Casts to the table's types; a value that does not fit is an error, not a NULL."""
-    schema = table_schema()
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    return df.selectExpr(*[f"CAST({c} AS {TYPES.get(c, 'string')}) AS {c}" for c in TABLE_COLUMNS])
 
 
 def require(df: DataFrame, columns: Sequence[str] = REQUIRED) -> DataFrame:
     """Stops the job at the first row with a NULL in a required column."""
-    checked = [
-        F.when(F.col(c).isNull(), F.raise_error(F.lit(f"NULL in required column {c}")).cast(df.schema[c].dataType))
-        .otherwise(F.col(c))
-        .alias(c)
-        if c in columns
-        else F.col(c)
-        for c in df.columns
-    ]
-    return df.select(*checked)
+    return df.withColumns(
+        {c: F.coalesce(F.col(c), F.raise_error(F.lit(f"NULL in required column {c}"))) for c in columns}
+    )
 
 
 def with_serial_id(df: DataFrame, order_by: Sequence[str] = ("source_id",), name: str = "id") -> DataFrame:
@@ -41,8 +35,15 @@ def with_serial_id(df: DataFrame, order_by: Sequence[str] = ("source_id",), name
 
 
 def load_table(clean: DataFrame, path: str, order_by: Sequence[str] = ("source_id",)) -> DataFrame:
-    """Replaces the table at ``path`` by the clean rows, renamed, typed and numbered."""
+    """Replaces the table at ``path`` by the clean rows, renamed, typed and numbered.
+
+    The clean rows are written before they are put in order, as ordering reads
+    its input twice. Without ``order_by`` they are numbered as they arrive,
+    which needs no shuffle.
+    """
     rows = require(typed(rename_columns(clean)))
+    if order_by:
+        rows = settle(rows)
     with_serial_id(rows, order_by).write.mode("overwrite").parquet(path)
     return clean.sparkSession.read.parquet(path)
 
@@ -91,9 +92,8 @@ def verify_load(df: DataFrame, top: int = 5) -> DataFrame:
 def stage(table: DataFrame) -> DataFrame:
     """Every column by name, with ``id`` as ``accident_id`` and wall-clock times."""
     times = ("start_time", "end_time", "weather_timestamp")
-    return table.select(
-        F.col("id").alias("accident_id"),
-        *[F.col(c).cast("timestamp_ntz").alias(c) if c in times else F.col(c) for c in TABLE_COLUMNS],
+    return table.selectExpr(
+        "id AS accident_id", *[f"CAST({c} AS timestamp_ntz) AS {c}" if c in times else c for c in TABLE_COLUMNS]
     )
 
 

@@ -299,6 +299,7 @@ def _models() -> dict[str, str]:
         "mart_geo": _MART_GEO,
         "mart_weather_poi": f"SELECT * FROM ({_MART_WEATHER})",
         "mart_funnel": _MART_FUNNEL,
+        "mart_export": _MART_FUNNEL,
         "highlights": f"""SELECT
             (SELECT {pct(CRIT, N)} FROM inc) AS national_critical_rate,
             (SELECT {pct(CRIT, N)} FROM inc WHERE light_condition_category = 'Full_Night') AS night_critical_rate,
@@ -459,6 +460,9 @@ def _maps() -> dict[str, str]:
         "filter_options": """SELECT 'state' AS filter_name, state AS value FROM inc UNION
             SELECT 'weather_condition', weather_condition FROM inc WHERE weather_condition IS NOT NULL UNION
             SELECT 'incident_context', incident_context FROM inc""",
+        "distinct_sorted": "SELECT DISTINCT weather_condition FROM inc WHERE weather_condition IS NOT NULL ORDER BY 1",
+        "severity_names": f"""SELECT severity, CASE severity WHEN 1 THEN 'Minor' WHEN 2 THEN 'Moderate' WHEN 3 THEN 'Serious'
+            WHEN 4 THEN 'Critical' END AS label, {_COLOURS} AS colour, {N} AS accident_count FROM inc GROUP BY ALL""",
         "hex_bin": f"""SELECT cell_q, cell_r, {N} AS accident_count, {AVG_SEV} AS avg_severity FROM (
             SELECT severity, CAST(CASE WHEN mq > mr AND mq > ms THEN -r0 - s0 ELSE q0 END AS BIGINT) AS cell_q,
               CAST(CASE WHEN NOT (mq > mr AND mq > ms) AND mr > ms THEN -q0 - s0 ELSE r0 END AS BIGINT) AS cell_r

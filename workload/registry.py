@@ -7,9 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from roadlens.functions import text
+from roadlens.functions import geo, text
 from roadlens.operators import aggregate as agg
 from roadlens.operators import joins, maps, profile, quality
 from roadlens.operators.ordering import number_rows
@@ -34,12 +33,7 @@ SWITCHED = {"weekend_only": True, "rush_hour_only": True, "junction_only": True,
 
 def plain(df: DataFrame) -> DataFrame:
     """Decimals as doubles, to compare with engines that divide in doubles."""
-    return df.select(
-        *[
-            F.col(f"`{f.name}`").cast("double").alias(f.name) if isinstance(f.dataType, T.DecimalType) else F.col(f"`{f.name}`")
-            for f in df.schema.fields
-        ]
-    )
+    return df.selectExpr(*[f"double(`{c}`) AS `{c}`" if kind.startswith("decimal") else f"`{c}`" for c, kind in df.dtypes])
 
 
 def folder(spark: SparkSession, name: str) -> str:
@@ -156,6 +150,19 @@ def point_sample(df: DataFrame) -> DataFrame:
     return points.withColumn("colour", F.concat_ws(",", F.col("colour").cast("array<string>")))
 
 
+def severity_names(df: DataFrame) -> DataFrame:
+    colour = F.concat_ws(",", geo.severity_colour(F.col("severity")).cast("array<string>"))
+    label = geo.severity_label(F.col("severity"))
+    return df.groupBy("severity", label.alias("label"), colour.alias("colour")).agg(agg.incidents())
+
+
+def mart_export(s: DataFrame) -> DataFrame:
+    """The funnel mart as an exported file, read back."""
+    mart, path = models.mart_funnel(_funnel(s)), folder(s.sparkSession, "export")
+    delimited.export_csv(mart, path, null_value="NULL", order_by=build.mart_order("mart_funnel"))
+    return s.sparkSession.read.schema(mart.schema).csv(path, header=True, nullValue="NULL")
+
+
 def newest_record(df: DataFrame) -> DataFrame:
     return maps.record_detail(df, df.agg(F.max("id")).scalar())
 
@@ -243,6 +250,9 @@ def all_queries() -> dict[str, Query]:
         "point_sample": on_incidents(point_sample),
         "record_detail": on_incidents(newest_record),
         "filter_options": on_incidents(maps.filter_options),
+        "distinct_sorted": on_incidents(lambda d: maps.options_of(d, "weather_condition", keep_null=False)),
+        "severity_names": on_incidents(severity_names),
+        "mart_export": on_staged(mart_export),
         "hex_bin": on_incidents(hex_bin),
         "heat_grid": on_incidents(lambda d: maps.heat_grid(d, STEP)),
         "null_audit": on_raw(profile.null_audit),
