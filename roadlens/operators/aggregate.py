@@ -83,23 +83,26 @@ def with_funnel_rates(counted: DataFrame) -> DataFrame:
 def flag_comparison(df: DataFrame, flags: Sequence[str]) -> DataFrame:
     """Per flag: average severity where it is true and where it is false, and how often it is true.
 
-    All flags are summed in one pass that ends in one row; that row is then
-    turned into one row per flag.
+    One pass sums severities per combination of flags; the few combinations
+    are then added up for every flag, to one row that becomes one row per flag.
     """
+    combinations = df.groupBy(*flags).agg(
+        F.sum("severity").alias("_sum"), F.count("severity").alias("_n"), F.count("*").alias("_rows")
+    )
     sums = []
     for f in flags:
         for side, condition in (("yes", f), ("no", f"NOT {f}")):
             sums += [
-                f"sum(CASE WHEN {condition} THEN severity END) AS {f}_{side}_sum",
-                f"count(CASE WHEN {condition} THEN severity END) AS {f}_{side}_n",
+                f"sum(CASE WHEN {condition} THEN _sum END) AS {f}_{side}_sum",
+                f"sum(CASE WHEN {condition} THEN _n END) AS {f}_{side}_n",
             ]
-        sums.append(f"count_if({f}) AS {f}_true")
+        sums.append(f"coalesce(sum(CASE WHEN {f} THEN _rows END), 0) AS {f}_true")
     rows = ", ".join(
         f"struct('{f}' AS poi_feature, {f}_yes_sum AS yes_sum, {f}_yes_n AS yes_n, {f}_no_sum AS no_sum, "
         f"{f}_no_n AS no_n, {f}_true AS count_true)"
         for f in flags
     )
-    return df.agg(*[F.expr(e) for e in sums]).selectExpr(f"inline(array({rows}))").select(
+    return combinations.agg(*[F.expr(e) for e in sums]).selectExpr(f"inline(array({rows}))").select(
         "poi_feature",
         ratio(F.col("yes_sum"), F.col("yes_n"), 3).alias("avg_sev_true"),
         ratio(F.col("no_sum"), F.col("no_n"), 3).alias("avg_sev_false"),

@@ -22,13 +22,15 @@ def in_ranges(df: DataFrame, order_by: Sequence[Column], ranges: int | None = No
     Range bounds are sampled, so the layout is written once and all readers see
     the same one. Rows that tie on every key may still go to several ranges, as
     the arrival number is the last key. Without keys the input's own partitions
-    are the ranges and nothing is moved.
+    are the ranges and nothing is moved. Unless ``ranges`` says how many, Spark
+    joins neighbouring ranges that came out small.
     """
     mid = F.monotonically_increasing_id()
     if order_by:
-        n = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         keys = [*order_by, F.col("_arrival").asc()]
-        df = df.withColumn("_arrival", mid).repartitionByRange(n, *keys).sortWithinPartitions(*keys).drop("_arrival")
+        df = df.withColumn("_arrival", mid)
+        df = df.repartitionByRange(ranges, *keys) if ranges else df.repartitionByRange(*keys)
+        df = df.sortWithinPartitions(*keys).drop("_arrival")
     return (
         settle(df.withColumn("_mid", mid))
         .withColumn("_range", F.shiftright("_mid", _POSITION_BITS))

@@ -1,13 +1,15 @@
 """Change over time, running totals and ranks.
 
 Windows without a partition only ever run over aggregated rows: one per month,
-hour, state or category. Where the groups themselves can be many (cities), the
-``*_by_value`` form ranks the distinct values instead and joins the rank back.
+hour, state or category. Where the groups themselves can be many (cities), 
+``ranks_by_value`` ranks the distinct values instead and joins the ranks back.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -54,29 +56,28 @@ def divergence(first: str, second: str) -> Column:
     return F.abs(F.col(first) - F.col(second))
 
 
-def rank_by_value(
-    df: DataFrame, by: str, name: str, kind: str = "rank", within: Sequence[str] = ()
-) -> DataFrame:
-    """Adds the rank of ``by`` over any number of rows, NULLs first.
+def ranks_by_value(df: DataFrame, ranks: Mapping[str, tuple[str, str, Sequence[str]]]) -> DataFrame:
+    """Adds ranks over any number of rows, as ``{name: (by, kind, within)}``, NULLs first.
 
     Rows are counted per distinct value, the values are ranked, and the rank is
-    joined back. The window sees one row per distinct value: with counts as
+    joined back. A window sees one row per distinct value: with counts as
     values at most sqrt(2 * rows counted), with rounded rates a few thousand.
-    ``df`` is read twice; give it a written table.
+    ``df`` is read once more per rank; give it a written table.
     """
-    values = df.groupBy(*within, by).agg(F.count("*").alias("_ties"))
-    w = order_window(F.col(by).desc_nulls_first(), within)
-    if kind == "rank":
-        before = F.sum("_ties").over(w.rowsBetween(Window.unboundedPreceding, -1))
-        place = F.coalesce(before, F.lit(0)) + 1
-    else:
-        place = F.row_number().over(w)
-    keys = [*within, by]
-    ranks = values.select(*[F.col(c).alias(f"_{c}") for c in keys], place.cast("bigint").alias(name))
-    match = F.lit(True)
-    for c in keys:
-        match = match & F.col(c).eqNullSafe(F.col(f"_{c}"))
-    return df.join(ranks, match, "left").drop(*[f"_{c}" for c in keys])
+    ranked = df
+    for name, (by, kind, within) in ranks.items():
+        values = df.groupBy(*within, by).agg(F.count("*").alias("_ties"))
+        w = order_window(F.col(by).desc_nulls_first(), within)
+        if kind == "rank":
+            before = F.sum("_ties").over(w.rowsBetween(Window.unboundedPreceding, -1))
+            place = F.coalesce(before, F.lit(0)) + 1
+        else:
+            place = F.row_number().over(w)
+        keys = [*within, by]
+        places = values.select(*[F.col(c).alias(f"_{c}") for c in keys], place.cast("bigint").alias(name))
+        match = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in keys])
+        ranked = ranked.join(places, match, "left").drop(*[f"_{c}" for c in keys])
+    return ranked
 
 
 def top_ranked(df: DataFrame, by: str, n: int, name: str, within: Sequence[str] = ()) -> DataFrame:

@@ -93,9 +93,14 @@ def int_geo_hotspots(staged: DataFrame) -> DataFrame:
     cities = settle(staged.groupBy("city", "state").agg(*agg.additive()))
     measures = [c.alias(name) for name, c in agg.finished().items()]
     city = cities.select(F.lit("city").alias("geo_level"), "city", "state", *measures)
-    city = win.rank_by_value(city, "accident_count", "volume_rank")
-    city = win.rank_by_value(city, "avg_severity", "severity_rank")
-    city = win.rank_by_value(city, "accident_count", "rank_within_state", within=["state"])
+    city = win.ranks_by_value(
+        city,
+        {
+            "volume_rank": ("accident_count", "rank", ()),
+            "severity_rank": ("avg_severity", "rank", ()),
+            "rank_within_state": ("accident_count", "rank", ("state",)),
+        },
+    )
     state = agg.add_up(cities, ["state"]).select(
         F.lit("state").alias("geo_level"), F.lit(None).cast("string").alias("city"), "state", *measures
     )

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from roadlens.operators import joins, maps, profile
 from roadlens.operators.ordering import number_rows
-from roadlens.operators.windows import rank_by_value, top_ranked
+from roadlens.operators.windows import ranks_by_value, top_ranked
 from roadlens.session import settle, shared_folder
 
 
@@ -38,8 +38,8 @@ def test_settled_tables_lie_in_the_shared_folder(spark, table):
 
 @pytest.mark.parametrize("kind", ["rank", "dense_rank"])
 @pytest.mark.parametrize("within", [(), ("g",)])
-def test_rank_by_value_equals_the_window(table, kind, within):
-    got = rank_by_value(table.select("id", "g", "n"), "n", "r", kind, within)
+def test_ranks_by_value_equal_the_window(table, kind, within):
+    got = ranks_by_value(table.select("id", "g", "n"), {"r": ("n", kind, within)})
     w = Window.partitionBy(*within).orderBy(F.desc_nulls_first("n"))
     want = table.select("id", "g", "n", {"rank": F.rank, "dense_rank": F.dense_rank}[kind]().over(w).cast("bigint").alias("r"))
     assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)

@@ -65,8 +65,7 @@ def _seconds(value: Column) -> Column:
 def _numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
     # few narrow columns: spread them over the cores before the many are made from them
-    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    spread = orders.repartitionByRange(ranges, "o_orderkey").sortWithinPartitions("o_orderkey")
+    spread = orders.repartitionByRange(spark.sparkContext.defaultParallelism, "o_orderkey").sortWithinPartitions("o_orderkey")
     return spread.select(
         F.col("o_orderkey").alias("k"),
         F.col("o_custkey").alias("c"),
