@@ -8,16 +8,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def text_key(columns: Sequence[str | Column], null_as: str | None = "null") -> Column:
-    """MD5 of the columns' text joined by ``|``.
+def text_key(columns: Sequence[str], null_as: str | None = "null") -> Column:
+    """MD5 of the columns' text joined by ``|``; a column may be any SQL expression.
 
     A NULL part is written as ``null_as``; with ``null_as=None`` it makes the
     whole key NULL.
     """
-    parts: list[Column] = []
-    for c in columns:
-        text = (F.col(c) if isinstance(c, str) else c).cast("string")
-        if parts:
-            parts.append(F.lit("|"))
-        parts.append(text if null_as is None else F.coalesce(text, F.lit(null_as)))
-    return F.md5(F.concat(*parts))
+    texts = [f"CAST({c} AS STRING)" for c in columns]
+    if null_as is not None:
+        texts = [f"coalesce({t}, '{null_as}')" for t in texts]
+    return F.expr("md5(concat(" + ", '|', ".join(texts) + "))")

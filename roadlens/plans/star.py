@@ -35,8 +35,7 @@ def weather_key():
 
 def road_key():
     """NULL if any flag is; only the context may be missing."""
-    context = F.coalesce(F.col("incident_context"), F.lit("null"))
-    return text_key([context, *FLAGS], null_as=None)
+    return text_key(["coalesce(incident_context, 'null')", *FLAGS], null_as=None)
 
 
 def _dimension(staged: DataFrame, columns, name: str, key) -> DataFrame:

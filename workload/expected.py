@@ -579,8 +579,9 @@ def _checks() -> dict[str, str]:
           (SELECT count(*) FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders))
         UNION ALL SELECT 'lineitem', 'l_suppkey', 'relationships',
           (SELECT count(*) FROM lineitem WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier)))"""
-    out["serial_id"] = """SELECT row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey) AS id,
-        l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity FROM lineitem"""
+    out["serial_id"] = """SELECT row_number() OVER (
+        ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice) AS id,
+        l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice FROM lineitem"""
     return out
 
 

@@ -51,7 +51,8 @@ DESCRIPTIONS = (
 
 
 def _pick(values, index: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (index % len(values) + 1).cast("int"))
+    listed = F.expr("array(" + ", ".join(f"'{v}'" for v in values) + ")")
+    return F.element_at(listed, (index % len(values) + 1).cast("int"))
 
 
 def _div(value: Column, by: int) -> Column:

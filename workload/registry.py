@@ -203,8 +203,9 @@ def layout_read(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def serial_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
-    rows = table(spark, sf_dir, "lineitem").select(*keys, "l_quantity")
+    # the first four columns alone are not unique at every scale
+    keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
+    rows = table(spark, sf_dir, "lineitem").select(*keys)
     return number_rows(rows, [F.col(k).asc() for k in keys], "id")
 
 
