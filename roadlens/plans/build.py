@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from roadlens.operators.quality import check_all
@@ -27,9 +27,14 @@ def mart_order(name: str) -> list:
     }[name]
 
 
-def load_raw_file(spark: SparkSession, raw_path: str, root: str, null_exempt: Sequence[str] = ()) -> DataFrame:
-    """Cleans a raw file and replaces the incident table under ``root``."""
-    return load_table(clean(read_raw(spark, raw_path), null_exempt), f"{root}/incidents")
+def load_raw_file(
+    spark: SparkSession, raw_path: str, root: str, null_exempt: Sequence[str] = (), totals: Observation | None = None
+) -> DataFrame:
+    """Cleans a raw file and replaces the incident table under ``root``.
+
+    ``totals`` receives the rows seen, dropped and kept, counted on the way.
+    """
+    return load_table(clean(read_raw(spark, raw_path), null_exempt, totals), f"{root}/incidents")
 
 
 def views(incidents: DataFrame) -> dict[str, DataFrame]:

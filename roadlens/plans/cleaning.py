@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from roadlens.functions import buckets, calendar, text
@@ -37,20 +37,32 @@ def parse(raw: DataFrame) -> DataFrame:
     return raw.drop(*DROPPED).select(*[repairs.get(c, f"`{c}`") for c in KEPT])
 
 
-def fill_and_drop(parsed: DataFrame, null_exempt: Sequence[str] = ()) -> DataFrame:
-    """No recorded precipitation is 0.0; after that a row with any NULL goes.
+def fill(parsed: DataFrame) -> DataFrame:
+    """No recorded precipitation is 0.0."""
+    return parsed.withColumn("Precipitation(in)", F.coalesce(F.col("`Precipitation(in)`"), F.lit(0.0)))
+
+
+def _must_hold(null_exempt: Sequence[str]) -> list[str]:
+    return [f"`{c}`" for c in KEPT if c not in null_exempt]
+
+
+def drop_incomplete(filled: DataFrame, null_exempt: Sequence[str] = ()) -> DataFrame:
+    """Drops every row with a NULL left.
 
     The filter also looks at the split's number. Spark does not move such a
     filter below the projection, which would repair and parse every field twice.
     """
-    filled = parsed.withColumns({
-        "Precipitation(in)": F.coalesce(F.col("`Precipitation(in)`"), F.lit(0.0)),
-        "_split": F.spark_partition_id(),
-    })
-    whole = filled.dropna(how="any", subset=[f"`{c}`" for c in KEPT if c not in null_exempt])
+    whole = filled.withColumn("_split", F.spark_partition_id()).dropna(how="any", subset=_must_hold(null_exempt))
     return whole.filter("_split >= 0").drop("_split")
 
 
+def accounting(null_exempt: Sequence[str] = ()) -> list[Column]:
+    """Aggregates over the filled rows: seen, dropped by the null rule, kept."""
+    whole = " AND ".join(f"{c} IS NOT NULL" for c in _must_hold(null_exempt))
+    counts = {"rows_seen": "count(*)", "rows_dropped": f"count_if(NOT ({whole}))", "rows_kept": f"count_if({whole})"}
+    return [F.expr(count).alias(name) for name, count in counts.items()]
+
+
 def engineered(start: Column, end: Column, temperature: Column, visibility: Column, twilights) -> dict[str, Column]:
     """The derived columns that need no text."""
     hour = F.hour(start)
@@ -75,20 +87,16 @@ def add_features(rows: DataFrame) -> DataFrame:
     return text.classify(rows.withColumns(derived), "Description", "incident_context", fallback=fallback)
 
 
-def clean(raw: DataFrame, null_exempt: Sequence[str] = ()) -> DataFrame:
-    rows = fill_and_drop(parse(raw), null_exempt)
-    return add_features(rows).select(*[f"`{c}`" for c in RENAME])
+def clean(raw: DataFrame, null_exempt: Sequence[str] = (), totals: Observation | None = None) -> DataFrame:
+    """The 51 clean columns. ``totals`` receives the row counts of the run that reads the result."""
+    rows = fill(parse(raw))
+    if totals is not None:
+        rows = rows.observe(totals, *accounting(null_exempt))
+    return add_features(drop_incomplete(rows, null_exempt)).select(*[f"`{c}`" for c in RENAME])
 
 
 def clean_totals(raw: DataFrame, null_exempt: Sequence[str] = ()) -> DataFrame:
-    """Rows seen, dropped by the null rule and kept, in one scan."""
-    parsed = parse(raw).fillna({"Precipitation(in)": 0.0})
-    whole = F.lit(True)
-    for c in KEPT:
-        if c not in null_exempt:
-            whole = whole & F.col(f"`{c}`").isNotNull()
-    dropped, seen = F.count_if(~whole), F.count("*")
-    return parsed.agg(
-        seen.alias("rows_seen"), dropped.alias("rows_dropped"), F.count_if(whole).alias("rows_kept"),
-        F.coalesce(percent(dropped, seen, 3), F.lit(0).cast("decimal(18,3)")).alias("dropped_pct"),
-    )
+    """Rows seen, dropped by the null rule and kept, without cleaning them."""
+    counts = fill(parse(raw)).agg(*accounting(null_exempt))
+    share = percent(F.col("rows_dropped"), F.col("rows_seen"), 3)
+    return counts.withColumn("dropped_pct", F.coalesce(share, F.lit(0).cast("decimal(18,3)")))

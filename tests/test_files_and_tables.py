@@ -9,6 +9,7 @@ from decimal import Decimal
 
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from roadlens.operators import quality
@@ -77,6 +78,27 @@ def test_null_rule_as_stated_and_as_observed(spark, tmp_path):
     assert cleaning.clean_totals(raw, cleaning.OBSERVED_EXEMPT).collect()[0].rows_kept == 3
 
 
+def test_totals_are_counted_while_loading(spark, tmp_path):
+    totals = Observation("totals")
+    loaded = load_raw_file(spark, write_raw(tmp_path / "raw", CASES), str(tmp_path / "root"), totals=totals)
+    assert loaded.count() == 2
+    assert totals.get == {"rows_seen": 6, "rows_dropped": 4, "rows_kept": 2}
+
+
+def test_rows_in_order_of_arrival(spark, tmp_path):
+    clean = cleaning.clean(delimited.read_raw(spark, write_raw(tmp_path / "raw", CASES)))
+    loaded = tables.load_table(clean, str(tmp_path / "table"), order_by=())
+    assert sorted(r.id for r in loaded.collect()) == [1, 2]
+
+
+def test_layout_cuts_a_hot_state_over_many_files(spark, tmp_path):
+    rows = spark.range(4000).selectExpr(
+        "id", "timestamp_ntz'2020-05-01 00:00:00' AS start_time", "'CA' AS state", "2 AS severity")
+    tables.write_layout(rows, str(tmp_path / "layout"), files=4)
+    sizes = [r["count"] for r in spark.read.parquet(str(tmp_path / "layout")).groupBy(F.input_file_name()).count().collect()]
+    assert len(sizes) == 4 and max(sizes) < 2000
+
+
 def test_totals_of_nothing(spark, tmp_path):
     raw = delimited.read_raw(spark, write_raw(tmp_path / "raw", []))
     assert cleaning.clean_totals(raw).collect()[0][:] == (0, 0, 0, Decimal("0.000"))
