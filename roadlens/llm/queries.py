@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from roadlens.llm.base import table
+from roadlens.llm.decontaminate import contamination_digest, find_contamination
+from roadlens.llm.oracle_contamination import contamination_sql
 from roadlens.llm.oracle_quality import quality_sql
+from roadlens.llm.packing import packed
 from roadlens.llm.quality_rules import quality_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,9 +21,20 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents")).drop("class_distance", "word_distance")
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination_digest(find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
+
+
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")).drop("ids")
+
+
 QUERIES: dict[str, Query] = {
+    "op3_decontamination": op3_decontamination,
+    "op4_packing": op4_packing,
     "op5_quality_rules": op5_quality_rules,
 }
 ORACLES: dict[str, str] = {
+    "op3_decontamination": contamination_sql(),
     "op5_quality_rules": quality_sql(),
 }
