@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from roadlens.llm.base import table
 from roadlens.llm.decontaminate import contamination_digest, find_contamination
+from roadlens.llm.line_dedup import dedup_lines, dedup_lines_sql
 from roadlens.llm.oracle_contamination import contamination_sql
 from roadlens.llm.oracle_quality import quality_sql
 from roadlens.llm.packing import packed
@@ -21,6 +22,10 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents")).drop("class_distance", "word_distance")
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_lines(table(spark, sf_dir, "documents"))
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination_digest(find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
@@ -30,11 +35,13 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_line_dedup": op1_line_dedup,
     "op3_decontamination": op3_decontamination,
     "op4_packing": op4_packing,
     "op5_quality_rules": op5_quality_rules,
 }
 ORACLES: dict[str, str] = {
+    "op1_line_dedup": dedup_lines_sql(),
     "op3_decontamination": contamination_sql(),
     "op5_quality_rules": quality_sql(),
 }
