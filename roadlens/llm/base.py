@@ -37,3 +37,8 @@ def rows_out(schema: pa.Schema, columns: dict) -> pa.RecordBatch:
 def remainder(doc_id: Column, divisor: int) -> Column:
     """crc32 of the id as text modulo ``divisor``; a null id counts as the empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % divisor
+
+
+def text_key() -> Column:
+    """Tells rows of one doc_id apart by their texts; equal rows share it, a null text counts as empty."""
+    return F.xxhash64(F.coalesce("text", F.lit("")))

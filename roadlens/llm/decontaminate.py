@@ -11,7 +11,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roadlens.llm.base import pieces, rows_out
+from roadlens.llm.base import pieces, rows_out, text_key
+from roadlens.session import settle
 
 WINDOW = 10
 #: Windows that one broadcast holds at most (about 100 MB of Python objects); more are scanned in several passes.
@@ -22,7 +23,7 @@ UPPER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvw
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 OUT = pa.schema([
-    ("doc_id", pa.int64()), ("row", pa.string()), ("n_words", pa.int64()),
+    ("doc_id", pa.int64()), ("row", pa.int64()), ("n_words", pa.int64()),
     ("spans", pa.list_(pa.list_(pa.int32()))), ("items", pa.list_(pa.string())),
 ])
 
@@ -120,7 +121,7 @@ def _blocks(rows: Iterable, n: int, bound: int) -> Iterator[list[tuple[str, list
 def find_contamination(docs: DataFrame, items: DataFrame, n: int = WINDOW, bound: int = BLOCK_WINDOWS) -> DataFrame:
     """Where texts of ``docs`` (doc_id, text) hold windows of ``items`` (item_id, text): one row per row of ``docs``.
 
-    Columns: doc_id, row (hash of the text, null for null), n_words, spans (word
+    Columns: doc_id, row (key of the text), n_words, spans (word
     ranges, merged, in order), items (ids with occurring windows, as strings,
     sorted). A window is ``n`` consecutive words of an item, or all words of a
     shorter one; items without words have none. Hash hits are verified word by
@@ -130,7 +131,7 @@ def find_contamination(docs: DataFrame, items: DataFrame, n: int = WINDOW, bound
     repeated rows of ``docs`` give repeated results, of ``items`` count once.
     """
     spark = docs.sparkSession
-    texts = docs.select("doc_id", F.sha2(F.col("text"), 256).alias("row"), "text")
+    texts = docs.select("doc_id", text_key().alias("row"), "text")
     listed = items.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")), "text").toLocalIterator()
     found = []
     for block in _blocks(listed, n, bound):
@@ -181,6 +182,38 @@ def remove_spans(text: str | None, spans: list[list[int]]) -> str | None:
     return b"".join([*out, raw[end:]]).decode("utf-8")
 
 
+def _without_spans(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        at = batch.schema.names.index("text")
+        spans = batch.column("spans").to_pylist()
+        texts = [remove_spans(t, s) for t, s in zip(batch.column(at).to_pylist(), spans, strict=True)]
+        columns = [pa.array(texts, pa.string()) if k == at else c for k, c in enumerate(batch.columns)]
+        names = [n for n in batch.schema.names if n != "spans"]
+        yield pa.RecordBatch.from_arrays([c for c, n in zip(columns, batch.schema.names, strict=True) if n in names], names)
+
+
+def clean_texts(docs: DataFrame, items: DataFrame, most: float, n: int = WINDOW) -> DataFrame:
+    """``docs`` with benchmark spans cut out of ``text``; rows with more than a share ``most`` of hit words go.
+
+    Rows keep their columns; n_chars, if there is one, follows the text where it changed.
+    """
+    found = find_contamination(docs, items, n).filter(F.size("spans") > 0)
+    found = settle(
+        found.select(
+            F.col("doc_id").alias("hit_id"), F.col("row").alias("hit_row"), "n_words", F.col("spans").alias("hit_spans")
+        ).distinct()
+    )
+    mine = F.col("doc_id").eqNullSafe(F.col("hit_id")) & (text_key() == F.col("hit_row"))
+    clean = docs.join(found, mine, "left_anti")
+    few = found.filter(F.expr(f"aggregate(hit_spans, 0L, (a, s) -> a + s[1] - s[0]) <= {most} * n_words"))
+    names = docs.columns
+    dirty = docs.join(few, mine).select(*names, F.col("hit_spans").alias("spans"))
+    cut = dirty.mapInArrow(_without_spans, docs.schema)
+    if "n_chars" in names:
+        cut = cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*names)
+    return clean.unionByName(cut)
+
+
 def contamination_digest(found: DataFrame) -> DataFrame:
     """The figures of ``find_contamination``: n_hit words, n_items, sha256 of the item ids."""
     return found.select(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from roadlens.llm.base import text_key
 from roadlens.session import settle
 
 #: A line on so many distinct sites is boilerplate.
@@ -27,11 +28,6 @@ def _lines(docs: DataFrame) -> DataFrame:
     )
 
 
-def text_key() -> Column:
-    """Tells rows of one doc_id apart; equal rows share it."""
-    return F.xxhash64("text")
-
-
 def _line_key(line: Column) -> Column:
     core = F.btrim(line, F.lit(" \t\r"))
     return F.when(core != "", F.struct(F.xxhash64(core).alias("a"), F.xxhash64(F.lit(1), core).alias("b")))
@@ -62,10 +58,10 @@ def boilerplate_lines(docs: DataFrame, sites: int = SITES) -> DataFrame:
     return sure.unionByName(exact)
 
 
-def dedup_lines(docs: DataFrame, sites: int = SITES) -> DataFrame:
+def dedup_lines(docs: DataFrame, sites: int = SITES, extra: tuple[str, ...] = ()) -> DataFrame:
     """``docs`` (doc_id, text, source) without repeated boilerplate lines.
 
-    Columns: doc_id, n_lines, n_removed, text. Of each boilerplate line the first
+    Columns: doc_id, n_lines, n_removed, text, and those named in ``extra``. Of each boilerplate line the first
     occurrence (by doc_id, then hash of the text, then line) stays, so nothing is
     lost from the corpus; all others go. Null texts stay null with no lines;
     blank lines are never boilerplate; an empty text is one blank line. Equal
@@ -80,7 +76,7 @@ def dedup_lines(docs: DataFrame, sites: int = SITES) -> DataFrame:
     removed = again.groupBy(F.col("doc_id").alias("hit_id"), F.col("text_key").alias("hit_key")).agg(
         F.collect_set("pos").alias("gone")
     )
-    texts = docs.select("doc_id", "text", text_key().alias("text_key"))
+    texts = docs.select("doc_id", "text", *extra, text_key().alias("text_key"))
     joined = texts.join(
         removed, F.col("doc_id").eqNullSafe(F.col("hit_id")) & (F.col("text_key") == F.col("hit_key")), "left"
     ).withColumn("lines", F.split("text", "\n"))
@@ -90,6 +86,7 @@ def dedup_lines(docs: DataFrame, sites: int = SITES) -> DataFrame:
         F.coalesce(F.array_size("gone"), F.lit(0)).cast("long").alias("n_removed"),
         F.when(F.col("gone").isNull(), F.col("text"))
         .otherwise(F.concat_ws("\n", F.transform(stay, lambda i: F.col("lines")[i]))).alias("text"),
+        *extra,
     )
 
 

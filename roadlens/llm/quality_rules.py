@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from roadlens.llm.base import text_key
 from roadlens.session import settle
 
 # Frequent function words of four languages.
@@ -62,7 +63,7 @@ def measure(docs: DataFrame) -> DataFrame:
     Null text counts as the empty text. Rows stay as they are, repeated ones too;
     columns other than doc_id, text and lang are not read.
     """
-    text = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "lang")
+    text = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "lang", text_key().alias("row"))
     words = text.select(
         "*",
         F.expr(rf"filter(split(text, '[{SPACE}]++'), w -> w != '')".replace("\\", "\\\\")).alias("words"),
@@ -80,7 +81,7 @@ def measure(docs: DataFrame) -> DataFrame:
     length = {c: F.length(c).cast("long") for c in ("text", "not_lower", "others")}
     classes = [length["text"] - length["not_lower"], length["not_lower"] - length["others"]]
     measured = lists.select(
-        "doc_id", "lang",
+        "doc_id", "lang", "row",
         F.size("words").cast("long").alias("n_words"),
         length["text"].alias("chars"),
         (length["text"] - length["not_lower"] + length["others"]).alias("word_chars"),
@@ -95,7 +96,7 @@ def measure(docs: DataFrame) -> DataFrame:
         100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")
     )
     return measured.select(
-        "doc_id", "lang", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "doc_id", "lang", "row", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         base_failed.alias("base_failed"),
         rest("chars", "classes").alias("classes"), rest("n_words", "common").alias("common"),
     )
@@ -148,5 +149,5 @@ def quality_rules(docs: DataFrame) -> DataFrame:
     )
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-        (~F.col("base_failed") & ~diverges).alias("kept"), "class_distance", "word_distance",
+        (~F.col("base_failed") & ~diverges).alias("kept"), "class_distance", "word_distance", "row",
     )

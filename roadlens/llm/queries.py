@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from roadlens.llm.base import table
 from roadlens.llm.decontaminate import contamination_digest, find_contamination
 from roadlens.llm.line_dedup import dedup_lines, dedup_lines_sql
+from roadlens.llm.ngram_join import ngram_join, ngram_join_sql
 from roadlens.llm.oracle_contamination import contamination_sql
 from roadlens.llm.oracle_quality import quality_sql
 from roadlens.llm.packing import packed
@@ -19,7 +20,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules(table(spark, sf_dir, "documents")).drop("class_distance", "word_distance")
+    return quality_rules(table(spark, sf_dir, "documents")).drop("class_distance", "word_distance", "row")
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,13 +35,19 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")).drop("ids")
 
 
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join(table(spark, sf_dir, "documents")).drop("row")
+
+
 QUERIES: dict[str, Query] = {
     "op1_line_dedup": op1_line_dedup,
     "op3_decontamination": op3_decontamination,
     "op4_packing": op4_packing,
     "op5_quality_rules": op5_quality_rules,
+    "op10_ngram_join": op10_ngram_join,
 }
 ORACLES: dict[str, str] = {
+    "op10_ngram_join": ngram_join_sql(),
     "op1_line_dedup": dedup_lines_sql(),
     "op3_decontamination": contamination_sql(),
     "op5_quality_rules": quality_sql(),
