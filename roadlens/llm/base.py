@@ -7,6 +7,8 @@ from collections.abc import Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import from_arrow_schema
+from pyspark.sql.types import StructType
 
 #: Characters of text that a task turns into arrays at once; a longer text is a piece of its own.
 PIECE = 1 << 21
@@ -34,6 +36,10 @@ def rows_out(schema: pa.Schema, columns: dict) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in schema], schema=schema)
 
 
+def schema_of(schema: pa.Schema) -> StructType:
+    return from_arrow_schema(schema)
+
+
 def remainder(doc_id: Column, divisor: int) -> Column:
     """crc32 of the id as text modulo ``divisor``; a null id counts as the empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % divisor

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roadlens.llm.base import pieces, rows_out, text_key
+from roadlens.llm.base import pieces, rows_out, schema_of, text_key
 from roadlens.session import settle
 
 WINDOW = 10
@@ -163,12 +163,6 @@ def _merged(spans: str) -> Column:
         ELSE concat(out, array(s)) END)""")
 
 
-def schema_of(schema: pa.Schema) -> str:
-    from pyspark.sql.pandas.types import from_arrow_schema
-
-    return from_arrow_schema(schema).simpleString().removeprefix("struct<")[:-1]
-
-
 def remove_spans(text: str | None, spans: list[list[int]]) -> str | None:
     """``text`` without the given ranges of words, and without what stands between the words of a range."""
     if text is None or not spans:

@@ -11,9 +11,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadlens.llm.base import pieces, rows_out, text_key
+from roadlens.llm.base import pieces, rows_out, schema_of, text_key
 from roadlens.llm.components import components
-from roadlens.llm.decontaminate import UPPER, schema_of
+from roadlens.llm.decontaminate import UPPER
 from roadlens.session import settle
 
 WORDS = 5

@@ -12,8 +12,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from roadlens.llm.base import pieces, rows_out
-from roadlens.llm.decontaminate import schema_of
+from roadlens.llm.base import pieces, rows_out, schema_of
 from roadlens.llm.tokens import encoder
 from roadlens.session import settle
 

@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from roadlens.llm.base import table
+from roadlens.llm.base import remainder, table
 from roadlens.llm.decontaminate import contamination_digest, find_contamination
+from roadlens.llm.language_id import identify, learn_languages
 from roadlens.llm.line_dedup import dedup_lines, dedup_lines_sql
 from roadlens.llm.ngram_join import ngram_join, ngram_join_sql
 from roadlens.llm.oracle_contamination import contamination_sql
@@ -35,6 +37,13 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")).drop("ids")
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = remainder(F.col("doc_id"), 4) == 2
+    model = learn_languages(docs.filter(~held_out))
+    return identify(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join(table(spark, sf_dir, "documents")).drop("row")
 
@@ -44,6 +53,7 @@ QUERIES: dict[str, Query] = {
     "op3_decontamination": op3_decontamination,
     "op4_packing": op4_packing,
     "op5_quality_rules": op5_quality_rules,
+    "op6_language_id": op6_language_id,
     "op10_ngram_join": op10_ngram_join,
 }
 ORACLES: dict[str, str] = {
