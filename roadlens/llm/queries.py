@@ -16,6 +16,7 @@ from roadlens.llm.ngram_join import ngram_join, ngram_join_sql
 from roadlens.llm.oracle_contamination import contamination_sql
 from roadlens.llm.oracle_quality import quality_sql
 from roadlens.llm.packing import packed
+from roadlens.llm.quality_classifier import CUT, learn_quality, score_quality
 from roadlens.llm.quality_rules import quality_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +45,14 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = table(spark, sf_dir, "documents"), remainder(F.col("doc_id"), 5) == 0
+    model = learn_quality(docs, table(spark, sf_dir, "labels").filter(~held_out))
+    return score_quality(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= CUT).cast("int").alias("predicted")
+    )
+
+
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join(table(spark, sf_dir, "documents")).drop("row")
 
@@ -54,6 +63,7 @@ QUERIES: dict[str, Query] = {
     "op4_packing": op4_packing,
     "op5_quality_rules": op5_quality_rules,
     "op6_language_id": op6_language_id,
+    "op8_quality_classifier": op8_quality_classifier,
     "op10_ngram_join": op10_ngram_join,
 }
 ORACLES: dict[str, str] = {
