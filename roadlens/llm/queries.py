@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from roadlens.llm.base import remainder, table
 from roadlens.llm.decontaminate import contamination_digest, find_contamination
 from roadlens.llm.language_id import identify, learn_languages
+from roadlens.llm.language_model import learn, score_texts
 from roadlens.llm.line_dedup import dedup_lines, dedup_lines_sql
 from roadlens.llm.ngram_join import ngram_join, ngram_join_sql
 from roadlens.llm.oracle_contamination import contamination_sql
@@ -53,6 +54,12 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = table(spark, sf_dir, "documents"), remainder(F.col("doc_id"), 5) == 1
+    scored = score_texts(docs, *learn(docs.filter(~held_out)))
+    return scored.select("doc_id", held_out.alias("held_out"), *scored.columns[1:])
+
+
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join(table(spark, sf_dir, "documents")).drop("row")
 
@@ -64,6 +71,7 @@ QUERIES: dict[str, Query] = {
     "op5_quality_rules": op5_quality_rules,
     "op6_language_id": op6_language_id,
     "op8_quality_classifier": op8_quality_classifier,
+    "op9_language_model": op9_language_model,
     "op10_ngram_join": op10_ngram_join,
 }
 ORACLES: dict[str, str] = {
