@@ -17,6 +17,7 @@ from roadlens.llm.ngram_join import ngram_join, ngram_join_sql
 from roadlens.llm.oracle_contamination import contamination_sql
 from roadlens.llm.oracle_quality import quality_sql
 from roadlens.llm.packing import packed
+from roadlens.llm.personal_data import find_personal_data, learn_spans, spans_digest
 from roadlens.llm.quality_classifier import CUT, learn_quality, score_quality
 from roadlens.llm.quality_rules import quality_rules
 
@@ -46,6 +47,11 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return spans_digest(find_personal_data(docs, learn_spans(docs)))
+
+
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, held_out = table(spark, sf_dir, "documents"), remainder(F.col("doc_id"), 5) == 0
     model = learn_quality(docs, table(spark, sf_dir, "labels").filter(~held_out))
@@ -70,6 +76,7 @@ QUERIES: dict[str, Query] = {
     "op4_packing": op4_packing,
     "op5_quality_rules": op5_quality_rules,
     "op6_language_id": op6_language_id,
+    "op7_personal_data": op7_personal_data,
     "op8_quality_classifier": op8_quality_classifier,
     "op9_language_model": op9_language_model,
     "op10_ngram_join": op10_ngram_join,
