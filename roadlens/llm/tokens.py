@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 from functools import lru_cache
 
-import numpy as np
-
 #: Chunks whose ids a worker remembers at most, and the longest chunk worth remembering.
-REMEMBERED = 500_000
+REMEMBERED = 700_000
 LONGEST = 64
+STOPS = ".,;:!?"
+DIGITS = "0123456789"
+UPPER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
 
 class Encoder:
@@ -19,7 +21,8 @@ class Encoder:
     Both kinds of tokenizer split a text at white space before any merge, so a
     text's ids are those of its chunks, one after the other: a chunk is a run
     without white space, with ``leading_space`` the one space before it too, or
-    white space. Where a text holds control or rare white-space characters, on
+    white space. Letters and digits are split from stops by any of them, so the
+    ids of "word" and "," make those of "word,". Where a text holds control or rare white-space characters, on
     which patterns may differ, the library gets the whole text.
     """
 
@@ -36,29 +39,52 @@ class Encoder:
             space += r"\x0b\x0c\x85\xa0  -     　"
         self.rare = re.compile(f"[{space}]").search
         self.split = re.compile(r" ?[^ \t\n\r]+|[ \t\n\r]+(?![^ \t\n\r])|[ \t\n\r]+").findall if leading_space else str.split
+        # a tokenizer that lowers case gives A-Z the ids of a-z, unless marks could combine with them
+        self.lowers = not leading_space and self._ids(["A Z"]) == self._ids(["a z"])
+        self.marks = re.compile("[\u0300-\u036f\u1ab0-\u1aff\u1dc0-\u1dff\u20d0-\u20ff\u3099\u309a\ufe20-\ufe2f]").search
         self.known: dict[str, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u2").tobytes() for e in found]
+        return [array("H", e.ids).tobytes() for e in found]
+
+    def _learn(self, new: set[str]) -> None:
+        """Finds the ids of new chunks; a chunk that ends in a letter or digit and stops is cut before the stops."""
+        known, cut, plain = self.known, [], set()
+        for c in new:
+            if c[-1] in STOPS and (core := c.rstrip(STOPS)) and (core[-1].isalpha() or core[-1] in DIGITS):
+                stops = c[len(core) :]
+                cut.append((c, core, stops))
+                plain.add(core)
+                plain.add(stops)
+            else:
+                plain.add(c)
+        unknown = [p for p in plain if p not in known]
+        known.update(zip(unknown, self._ids(unknown), strict=True))
+        known.update([(c, known[core] + known[stops]) for c, core, stops in cut])
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as little-endian unsigned 16-bit integers."""
-        known = self.known
+        """The ids of each text as unsigned 16-bit integers of this machine, little-endian on all that Spark runs on."""
         whole = [i for i, t in enumerate(texts) if self.rare(t)]
-        skip = set(whole)
-        chunks = [() if i in skip else self.split(t) for i, t in enumerate(texts)]
-        new = list({c for cs in chunks for c in cs if c not in known})
-        known.update(zip(new, self._ids(new), strict=True))
+        at_once = self._ids([texts[i] for i in whole])
+        if self.lowers:
+            texts = [t if self.marks(t) else t.encode("utf-8", "replace").translate(UPPER).decode() for t in texts]
+        chunks = [self.split(t) for t in texts]
+        for i in whole:
+            chunks[i] = []
+        known, new = self.known, set()
+        for cs in chunks:
+            new.update(cs)
+        new.difference_update(known)
+        self._learn(new)
         out = [b"".join([known[c] for c in cs]) for cs in chunks]
-        for i, ids in zip(whole, self._ids([texts[i] for i in whole]), strict=True):
+        for i, ids in zip(whole, at_once, strict=True):
             out[i] = ids
         if len(known) > REMEMBERED:
             known.clear()
-        else:
-            for c in new:
-                if len(c) > LONGEST:
-                    del known[c]
+        for c in new:
+            if len(c) > LONGEST:
+                known.pop(c, None)
         return out
 
 
