@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import public_tokenizers
@@ -20,6 +21,8 @@ from roadlens.llm.packing import packed
 from roadlens.llm.personal_data import find_personal_data, learn_spans, spans_digest
 from roadlens.llm.quality_classifier import CUT, learn_quality, score_quality
 from roadlens.llm.quality_rules import quality_rules
+from roadlens.llm.token_files import read_ids, write_ids
+from roadlens.session import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,6 +35,12 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(table(spark, sf_dir, "documents"))
 
 
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = f"{shared_folder(spark).rstrip('/')}/token-ids-{uuid.uuid4().hex}"
+    write_ids(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), out)
+    return read_ids(spark, out, with_ids=False)
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination_digest(find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
@@ -72,6 +81,7 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_token_files": op2_token_files,
     "op3_decontamination": op3_decontamination,
     "op4_packing": op4_packing,
     "op5_quality_rules": op5_quality_rules,
