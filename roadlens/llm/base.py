@@ -48,3 +48,14 @@ def remainder(doc_id: Column, divisor: int) -> Column:
 def text_key() -> Column:
     """Tells rows of one doc_id apart by their texts; equal rows share it, a null text counts as empty."""
     return F.xxhash64(F.coalesce("text", F.lit("")))
+
+
+def spare(columns: Iterable[str], *names: str) -> list[str]:
+    """``names`` as they are or with underscores before them, so that none is in ``columns``, whatever the case."""
+    taken = {c.lower() for c in columns}
+    out = []
+    for name in names:
+        while name in taken:
+            name = f"_{name}"
+        out.append(name)
+    return out

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roadlens.llm.base import pieces, rows_out, schema_of, text_key
+from roadlens.llm.base import pieces, rows_out, schema_of, spare, text_key
 from roadlens.session import settle
 
 WINDOW = 10
@@ -177,13 +177,13 @@ def remove_spans(text: str | None, spans: list[list[int]]) -> str | None:
 
 
 def _without_spans(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The last column has the spans to cut from ``text``; it goes too."""
     for batch in batches:
-        at = batch.schema.names.index("text")
-        spans = batch.column("spans").to_pylist()
-        texts = [remove_spans(t, s) for t, s in zip(batch.column(at).to_pylist(), spans, strict=True)]
-        columns = [pa.array(texts, pa.string()) if k == at else c for k, c in enumerate(batch.columns)]
-        names = [n for n in batch.schema.names if n != "spans"]
-        yield pa.RecordBatch.from_arrays([c for c, n in zip(columns, batch.schema.names, strict=True) if n in names], names)
+        names, columns = batch.schema.names[:-1], batch.columns
+        at = names.index("text")
+        pairs = zip(columns[at].to_pylist(), columns[-1].to_pylist(), strict=True)
+        columns[at] = pa.array([remove_spans(t, s) for t, s in pairs], pa.string())
+        yield pa.RecordBatch.from_arrays(columns[:-1], names)
 
 
 def clean_texts(docs: DataFrame, items: DataFrame, most: float, n: int = WINDOW) -> DataFrame:
@@ -191,18 +191,19 @@ def clean_texts(docs: DataFrame, items: DataFrame, most: float, n: int = WINDOW)
 
     Rows keep their columns; n_chars, if there is one, follows the text where it changed.
     """
+    names = docs.columns
+    doc_id, row, spans, words = spare(names, "hit_id", "hit_row", "hit_spans", "hit_words")
     found = find_contamination(docs, items, n).filter(F.size("spans") > 0)
     found = settle(
         found.select(
-            F.col("doc_id").alias("hit_id"), F.col("row").alias("hit_row"), "n_words", F.col("spans").alias("hit_spans")
+            F.col("doc_id").alias(doc_id), F.col("row").alias(row), F.col("n_words").alias(words),
+            F.col("spans").alias(spans),
         ).distinct()
-    )
-    mine = F.col("doc_id").eqNullSafe(F.col("hit_id")) & (text_key() == F.col("hit_row"))
+    )
+    mine = F.col("doc_id").eqNullSafe(F.col(doc_id)) & (text_key() == F.col(row))
     clean = docs.join(found, mine, "left_anti")
-    few = found.filter(F.expr(f"aggregate(hit_spans, 0L, (a, s) -> a + s[1] - s[0]) <= {most} * n_words"))
-    names = docs.columns
-    dirty = docs.join(few, mine).select(*names, F.col("hit_spans").alias("spans"))
-    cut = dirty.mapInArrow(_without_spans, docs.schema)
+    few = found.filter(F.expr(f"aggregate({spans}, 0L, (a, s) -> a + s[1] - s[0]) <= {most} * {words}"))
+    cut = docs.join(few, mine).select(*names, spans).mapInArrow(_without_spans, docs.schema)
     if "n_chars" in names:
         cut = cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*names)
     return clean.unionByName(cut)

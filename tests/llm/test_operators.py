@@ -1,0 +1,252 @@
+"""The corpus operators by themselves: unusual rows, plain counterparts, hot groups, damaged files."""
+
+from __future__ import annotations
+
+import random
+
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+
+from roadlens.llm import decontaminate, language_id, line_dedup, ngram_join, packing, personal_data
+from roadlens.llm import quality_classifier, quality_rules, range_coder, token_files
+from roadlens.llm.components import components
+from roadlens.llm.context_tree import ContextTree, log_kt, text_bytes
+from roadlens.llm.language_model import learn, score_texts
+from roadlens.llm.tokens import Encoder
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_words string, row string, kept string"
+PROSE = "the cat of the house and a dog in the garden that is to be seen by all of us on this day " * 8
+WORDS = " ".join(f"w{i}" for i in range(60))
+
+
+def made(spark, rows):
+    return spark.createDataFrame([(*r, "x", "y", "z") for r in rows], SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    """Nulls, empty and very long texts, repeated rows, and columns that bear the results' names."""
+    return made(spark, [
+        (1, None, "en", "a"), (2, "", None, None), (3, PROSE, "en", "a"), (3, PROSE, "en", "a"), (None, WORDS, "en", "b"),
+        (4, " \t\n ", "de", "b"), (5, "é" * 5000 + "\n" + PROSE * 40, "en", "c"), (6, WORDS, None, "c"), (7, "\x00\x1c", "de", "d"),
+    ])
+
+
+@pytest.fixture(scope="module")
+def empty(odd):
+    return odd.limit(0)
+
+
+def operators(spark, docs):
+    items = spark.createDataFrame([(1, WORDS), (2, None), (3, ""), (4, "é")], "item_id long, text string")
+    labels = spark.createDataFrame([(3, 1, 0), (6, 0, 0), (7, None, 1)], "doc_id long, quality int, toxic int")
+    return {
+        "line": line_dedup.dedup_lines(docs, 2),
+        "contamination": decontaminate.find_contamination(docs, items),
+        "packing": packing.packed(docs, public_tokenizers.path("word_bpe_49k.json")),
+        "rules": quality_rules.quality_rules(docs),
+        "language": language_id.identify(docs, language_id.learn_languages(docs)),
+        "personal": personal_data.find_personal_data(docs, personal_data.learn_spans(docs)),
+        "quality": quality_classifier.score_quality(docs, quality_classifier.learn_quality(docs, labels)),
+        "model": score_texts(docs, *learn(docs)),
+        "join": ngram_join.ngram_join(docs),
+    }
+
+
+def test_unusual_rows_have_defined_results(spark, odd):
+    found = {name: df.collect() for name, df in operators(spark, odd).items()}
+    for name, rows in found.items():
+        ids = sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in rows)
+        if name == "packing":
+            ids = sorted(set(ids))
+            assert len(ids) == 8
+        else:
+            assert len(ids) == 9, name
+    line = {r["doc_id"]: r for r in found["line"]}
+    assert (line[1]["text"], line[1]["n_lines"], line[2]["text"]) == (None, 0, "")
+    assert {r["doc_id"]: r["n_words"] for r in found["contamination"]}[1] == 0
+    hit = {r["doc_id"]: r["items"] for r in found["contamination"]}
+    assert hit[None] == ["1"] and hit[6] == ["1"] and hit[3] == []
+    rules = {r["doc_id"]: r for r in found["rules"]}
+    assert rules[1]["base_failed"] and rules[2]["n_words"] == 0 and rules[3]["n_repeat_words"] > 0
+    language = {r["doc_id"]: r["lang_pred"] for r in found["language"]}
+    assert language[1] == language[2] == language[4] == language[7] == "und"
+    assert all(0 <= r["score"] <= 1 for r in found["quality"])
+    join = {r["doc_id"]: r for r in found["join"]}
+    assert (join[None]["class_id"], join[6]["class_id"], join[1]["class_id"], join[2]["class_id"]) == (6, 6, 1, 2)
+    model = {r["doc_id"]: r for r in found["model"]}
+    assert model[1]["n_tokens"] == model[2]["n_tokens"] == 1 and model[1]["score"] == model[2]["score"]
+
+
+def test_empty_tables(spark, empty):
+    assert {name: df.count() for name, df in operators(spark, empty).items()} == dict.fromkeys(operators(spark, empty), 0)
+
+
+def test_token_files_round_trip(spark, odd, empty, tmp_path):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    token_files.write_ids(odd, path, str(tmp_path / "odd"))
+    rows = token_files.read_ids(spark, str(tmp_path / "odd")).collect()
+    assert len(rows) == 9 and sorted(r["start"] for r in rows)[0] == 0
+    plain = Encoder(path, True).tokenizer
+    texts = {(r["doc_id"], r["text"] or "") for r in odd.select("doc_id", "text").collect()}
+    ids = {(r["doc_id"], plain.decode(np.frombuffer(r["ids"], "<u2")[:-1].tolist(), skip_special_tokens=False)) for r in rows}
+    assert ids == texts
+    token_files.write_ids(empty, path, str(tmp_path / "empty"))
+    assert token_files.read_ids(spark, str(tmp_path / "empty")).count() == 0
+
+
+def test_encoder_equals_the_library():
+    draw = random.Random(3)
+    alphabet = "ab ZÉéß.,!?'\n\t  12_-́  Σ日\x1c　"
+    texts = ["".join(draw.choice(alphabet) for _ in range(draw.randint(0, 60))) for _ in range(1500)]
+    texts += ["<|endoftext|> a.", "don't rock'sand 3.14, x!!! ...", "H̱ x.", "İstanbul, ΟΔΟΣ.", "x" * 3000, "  ", ""]
+    for name, spaced in (("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)):
+        own = Encoder(public_tokenizers.path(name), spaced)
+        expected = own.tokenizer.encode_batch(texts, add_special_tokens=False)
+        assert [np.frombuffer(b, "<u2").tolist() for b in own.encode(texts)] == [e.ids for e in expected]
+
+
+@pytest.mark.parametrize("n,block,top", [(0, 8, 9), (1, 8, 1), (9, 8, 300), (3000, 64, 65536), (6000, 6000, 300), (500, 500, 1)])
+def test_range_coder_round_trip(n, block, top):
+    ids = np.random.default_rng(n).integers(0, top, n)
+    assert range_coder.decode(range_coder.encode(ids, block)).tolist() == ids.tolist()
+
+
+def test_range_coder_blocks_stand_alone_and_are_checked():
+    ids = np.tile(np.arange(50), 100)
+    data = range_coder.encode(ids, 1000)
+    assert len(data) < len(ids)  # repeated ids cost less than a byte
+    n, words, _ = range_coder.HEAD.unpack_from(data)
+    end = range_coder.HEAD.size + 4 * words
+    assert range_coder.decode(data[end:]).tolist() == ids[n:].tolist()
+    for bad in (data[:-1], data[: end - 4], data[:40] + bytes([data[40] ^ 1]) + data[41:]):
+        with pytest.raises(ValueError):
+            range_coder.decode(bad)
+
+
+def test_windows_of_several_passes_and_lengths(spark):
+    docs = made(spark, [(1, f"x {WORDS} y", "en", "a"), (2, "a short item here", "en", "a"), (3, "w1 w2 w3", "en", "a")])
+    items = spark.createDataFrame([(1, WORDS), (2, "short item"), (3, WORDS)], "item_id long, text string")
+    one = decontaminate.find_contamination(docs, items).collect()
+    many = decontaminate.find_contamination(docs, items, bound=7).collect()
+    key = lambda rows: sorted((r["doc_id"], r["n_words"], str(r["spans"]), str(r["items"])) for r in rows)
+    assert key(one) == key(many)
+    assert {r["doc_id"]: r["spans"] for r in one} == {1: [[1, 61]], 2: [[1, 3]], 3: []}
+    cut = {r["doc_id"]: r["text"] for r in decontaminate.clean_texts(docs, items, 0.7).collect()}
+    assert cut == {2: "a  here", 3: "w1 w2 w3"}
+
+
+def test_lines_near_the_threshold_are_counted_exactly(spark):
+    rows = [(i, f"line {n}", "en", f"s{i % n}") for n in range(7, 14) for i in range(40 * n, 40 * n + 40)]
+    left = {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(made(spark, rows), 10).collect()}
+    for n in range(7, 14):
+        kept = [i for i in range(40 * n, 40 * n + 40) if left[i]]
+        assert kept == ([40 * n] if n >= 10 else list(range(40 * n, 40 * n + 40)))
+
+
+def plain_classes(texts: dict[int, str], least: float = 0.8) -> dict[int, tuple[int, int]]:
+    sets = {}
+    for i, t in texts.items():
+        w = t.split()
+        sets[i] = frozenset(tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4)))
+    distinct = {s: min(i for i in sets if sets[i] == s) for s in sets.values()}
+    links = {s: [x for x in distinct if x != s and len(s & x) >= least * len(s | x) - 1e-9] for s in distinct}
+    root = {}
+    for s in distinct:
+        reach, new = {s}, [s]
+        while new:
+            new = [x for y in new for x in links[y] if x not in reach and not reach.add(x)]
+        root[s] = min(distinct[x] for x in reach)
+    return {i: (root[s], len(links[s])) for i, s in sets.items()}
+
+
+def test_near_duplicates_in_blocks_equal_all_pairs(spark, monkeypatch):
+    draw = random.Random(1)
+    base = [[f"w{draw.randint(0, 400)}" for _ in range(120)] for _ in range(6)]
+    texts = {}
+    for i in range(150):
+        words = list(base[i % 6])
+        for _ in range(draw.choice((0, 0, 1, 1, 2, 3, 6))):
+            words[draw.randrange(len(words))] = f"n{draw.randint(0, 99)}"
+        texts[i] = " ".join(words)
+    docs = made(spark, [(i, t, "en", "a") for i, t in texts.items()])
+    expected = plain_classes(texts)
+    for grams in (100, 10**6):  # many blocks, and one
+        monkeypatch.setattr(ngram_join, "BLOCK_GRAMS", grams)
+        found = {r["doc_id"]: (r["class_id"], r["n_links"]) for r in ngram_join.ngram_join(docs).collect()}
+        assert found == expected
+
+
+def test_components_of_paths_and_stars(spark):
+    links = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(7, 7), (300, 300)]
+    found = dict(components(spark.createDataFrame(links, "u long, v long")).collect())
+    assert found == {i: 0 for i in range(41)} | {100 + i: 100 for i in range(30)} | {300: 300}
+
+
+def test_least_squares_and_plan():
+    draw = np.random.default_rng(2)
+    a = draw.random((12, 30))
+    x = np.where(draw.random(30) < 0.2, draw.random(30), 0)
+    assert np.allclose(a @ packing.nonnegative_least_squares(a, a @ x), a @ x, atol=1e-4)
+    histogram = np.bincount(draw.integers(1, 33, 5000), minlength=33)
+    plan = packing.Plan(histogram)
+    assert (plan.left >= 0).all() and plan.left.sum() < 0.1 * histogram.sum()
+    used = [sum(b - a for a, b in zip(f, f[1:], strict=False)) for f in plan.first]
+    assert [u + int(n) for u, n in zip(used, plan.left, strict=True)] == histogram.tolist()
+    assert packing.last_windows(1 + 8 + 1024) == [1024, 8, 1] and packing.last_windows(0) == []
+
+
+def test_context_tree_is_a_distribution():
+    assert np.allclose(np.exp(log_kt(np.array([0, 1, 2]), np.array([0, 0, 1]))), [1, 0.5, 0.0625])
+    grams, _, _ = text_bytes([b"abracadabra", b"abba", b""])
+    counts = []
+    for d in range(6):
+        key, n = np.unique(grams & np.uint64((1 << (8 * d + 8)) - 1), return_counts=True)
+        counts.append((key, n))
+    tree = ContextTree(counts)
+    for context in (b"abrac", b"zzzab", b"\xff" * 5, b"qqqqq"):
+        start = np.uint64(int.from_bytes(context, "big") << 8)
+        chances = np.exp(tree.log_chances(start | np.arange(256, dtype=np.uint64)))
+        assert chances.sum() == pytest.approx(1, abs=1e-5) and chances.min() > 0
+    assert tree.log_chances(text_bytes([b"abra"])[0]).sum() > tree.log_chances(text_bytes([b"qzxw"])[0]).sum()
+
+
+def test_filter_corrects_for_false_positives():
+    grams = np.random.default_rng(1).integers(-(2**62), 2**62, 6000)
+    rows = [("a", int(g)) for g in grams[:4000]] + [("b", int(g)) for g in grams[3000:]]
+    small = language_id.Filter(rows, ["a", "b"], 1 << 13)
+    assert (small.false > 0.05).all()
+    codes, starts = language_id._codes(["ab cd" * 400], 4)
+    held, total = small.counts(codes, starts, (3, 4))
+    assert (held < 0.2 * total).all()
+    assert language_id.Filter([("a", 1)], [f"l{i}" for i in range(70)] + ["a"]).masks.shape[0] == 2
+
+
+def test_redaction_and_email_runs():
+    text = "x" * 20000 + "a.b@c.de and @ @@ 1@2.3 +1 (555) 123-4567"
+    spans = [f"{k}:{a}:{b}" for k, a, b in personal_data.base_spans(text)]
+    assert personal_data.redacted(text, spans) == "[email] and @ @@ [email] [phone]"
+    assert personal_data.redacted(None, []) is None
+
+
+def test_bradley_terry_orders_pairs():
+    draw = np.random.default_rng(1)
+    x = draw.normal(size=(400, len(quality_classifier.FEATURES)))
+    good = x[:, 0] + 0.5 * x[:, 1] > -0.5
+    model = quality_classifier.fit(x, good)
+    score = model.score(x)
+    assert ((score >= quality_classifier.CUT) == good).mean() > 0.97
+
+
+def test_no_python_in_the_quality_rules(spark, odd):
+    plan = quality_rules.measure(odd)._jdf.queryExecution().executedPlan().toString()
+    assert not any(word in plan for word in ("Python", "Pandas", "Arrow", "Exchange"))
+
+
+def test_rules_ignore_row_order(spark, odd):
+    key = ["doc_id", "n_words", "n_repeat_words", "kept"]
+    one = quality_rules.quality_rules(odd).select(*key).orderBy(*key).collect()
+    two = quality_rules.quality_rules(odd.orderBy(F.rand(1)).repartition(5)).select(*key).orderBy(*key).collect()
+    assert one == two
