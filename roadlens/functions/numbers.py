@@ -29,16 +29,20 @@ def quotient(num: Column, den: Column) -> Column:
 
 
 def in_units(value: Column, scale: int) -> Column:
-    """A decimal with ``scale`` places as a whole number of its smallest unit."""
-    return (value * F.lit(10**scale)).cast("bigint")
+    """A number as a whole number of units of ``scale`` places, rounded to the nearest."""
+    return F.round(value * F.lit(10**scale)).cast("bigint")
 
 
 def mean(value: Column, digits: int, scale: int = 0, where: Column | None = None) -> Column:
-    """Aggregate: average of a whole number, or of a decimal with ``scale`` places.
+    """Aggregate: average of a whole number, or of a number with ``scale`` places.
 
-    ``where`` restricts the rows averaged without dropping them from the group.
+    A value with more places stops the job where ``scale`` is 0, rather than lose them. ``where`` restricts the rows averaged without dropping them from the group.
     """
-    units = in_units(value, scale) if scale else value.cast("bigint")
+    if scale:
+        units = in_units(value, scale)
+    else:
+        fraction = F.raise_error(F.lit("an average of fractions needs a scale"))
+        units = F.when(value.isNull() | (value == F.floor(value)), value.cast("bigint")).otherwise(fraction)
     if where is not None:
         units = F.when(where, units)
     return ratio(F.sum(units), F.count(units) * F.lit(10**scale), digits)

@@ -44,18 +44,23 @@ def critical_rate(name: str = "critical_rate_pct") -> Column:
     return percent(F.count_if(F.col("severity") == 4), F.count("*")).alias(name)
 
 
-def share_of_total(count: str = "accident_count") -> Column:
-    """Percent of the sum over all groups; the window holds one row per group."""
-    return percent(F.col(count), F.sum(count).over(Window.partitionBy()))
+def share_of_total(count: str = "accident_count", total: Column | None = None) -> Column:
+    """Percent of ``total``, or of the sum over all groups, for which one task reads every group: give a total
+    unless the groups are few."""
+    return percent(F.col(count), F.sum(count).over(Window.partitionBy()) if total is None else total)
 
 
 def distribution(df: DataFrame, by: str | Column, *measures: Column) -> DataFrame:
-    """Count and share per group, then any further measures."""
+    """Count and share per group, then any further measures.
+
+    The total is a count of rows apart, which reads no column; groups may be any number.
+    """
     name = by if isinstance(by, str) else "value"
     key = F.col(by) if isinstance(by, str) else by.alias(name)
     grouped = df.groupBy(key).agg(incidents(), *measures)
     rest = [c for c in grouped.columns if c not in (name, "accident_count")]
-    return grouped.select(name, "accident_count", share_of_total().alias("pct_of_total"), *rest)
+    rows = df.agg(F.count("*")).scalar()
+    return grouped.select(name, "accident_count", share_of_total(total=rows).alias("pct_of_total"), *rest)
 
 
 def funnel(df: DataFrame, by: Sequence[str | Column] = ()) -> DataFrame:

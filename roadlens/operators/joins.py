@@ -8,50 +8,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def frequent_keys(df: DataFrame, key: str, share: float) -> DataFrame:
-    """Keys that hold at least ``share`` of all rows: never more than ``1 / share`` of them."""
-    counts = df.groupBy(key).agg(F.count("*").alias("_n"))
-    total = counts.agg(F.sum("_n")).scalar()
-    return counts.filter(F.col(key).isNotNull() & (F.col("_n") >= total * F.lit(share))).select(key)
-
-
-def join_spread(fact: DataFrame, dim: DataFrame, key: str, spread_by: str, hot: DataFrame, ways: int = 64) -> DataFrame:
-    """Inner join on ``key`` for a dimension that may be too large to broadcast.
-
-    Fact rows of the ``hot`` keys are cut into ``ways`` parts by a hash of
-    ``spread_by``, and such a key's dimension row is repeated once per part, so
-    no task gets all rows of one key. Only the list from ``frequent_keys`` is
-    broadcast, whose length is bounded by its share.
-    """
-    hot = F.broadcast(hot.withColumn("_hot", F.lit(True)))
-    part = F.when(F.col("_hot"), F.pmod(F.xxhash64(spread_by), F.lit(ways)).cast("int")).otherwise(0)
-    parts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(ways - 1))).otherwise(F.array(F.lit(0)))
-    left = fact.join(hot, key, "left").withColumn("_part", part).drop("_hot")
-    right = dim.join(hot, key, "left").withColumn("_part", F.explode(parts)).drop("_hot")
-    return left.join(right, [key, "_part"]).drop("_part")
-
-
-def star_join(
-    fact: DataFrame,
-    dims: Mapping[str, DataFrame],
-    spread_by: str = "accident_id",
-    spread_keys: tuple[str, ...] = ("location_id", "time_id"),
-    share: float = 0.001,
-) -> DataFrame:
+def star_join(fact: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
     """The fact rows with the attributes of every dimension, joined on its key.
 
-    Keys in ``spread_keys`` belong to dimensions that grow with the data and
-    are joined by ``join_spread``. The others stay small (products of category
-    values); Spark chooses broadcast or shuffle from their measured size.
-    Attributes the fact has already are taken from the fact. Fact and
-    dimensions are read more than once: give tables, not long plans.
+    Every fact row stays: where a key is NULL or has no dimension row, the
+    attributes are NULL. Spark chooses broadcast or shuffle per dimension from
+    its measured size, and cuts the rows of a hot key over several tasks while
+    the join runs (``session.TUNING``); a dimension has one row per key, so
+    nothing multiplies. Attributes the fact has already are taken from the fact.
     """
     joined = fact
     for key, dim in dims.items():
-        new = [c for c in dim.columns if c == key or c not in joined.columns]
-        dim = dim.select(*new)
-        if key in spread_keys:
-            joined = join_spread(joined, dim, key, spread_by, frequent_keys(fact, key, share))
-        else:
-            joined = joined.join(dim, key)
+        joined = joined.join(dim.select(*[c for c in dim.columns if c == key or c not in joined.columns]), key, "left")
     return joined
+
+
+def unmatched(joined: DataFrame, attributes: Mapping[str, str]) -> DataFrame:
+    """Fact rows without a dimension row, counted per key; ``attributes`` names a never-NULL attribute per key."""
+    counts = [F.count_if(F.col(a).isNull()).alias(key) for key, a in attributes.items()]
+    return joined.agg(*counts)

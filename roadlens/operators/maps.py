@@ -13,6 +13,7 @@ from roadlens.functions.numbers import mean, percent
 from roadlens.functions.predicates import build_predicate
 from roadlens.operators.aggregate import avg_duration, avg_severity, critical_rate, distinct_values, incidents
 
+# Columns of a map point and of a record.
 POINT = ("city", "state", "incident_context", "start_time", "duration_mins", "weather_condition", "hour_of_day")
 RECORD = (
     "source_id", "severity", "start_time", "end_time", "duration_mins", "start_lat", "start_lng",
@@ -67,15 +68,18 @@ def hex_density(df: DataFrame, radius: float = 8000.0) -> DataFrame:
     return cells.agg(incidents(), avg_severity()).withColumns({"lat": lat, "lng": lng})
 
 
-def heat_grid(df: DataFrame, step: float = 0.5, weight: Column | None = None) -> DataFrame:
-    """Incidents and the mean weight (severity unless given) per square cell, with its centre."""
+def heat_grid(df: DataFrame, step: float = 0.5, weight: Column | None = None, scale: int = 6) -> DataFrame:
+    """Incidents and the mean weight (severity unless given) per square cell, with its centre.
+
+    Weights are taken to ``scale`` places.
+    """
     row, col = grid_cell(F.col("start_lat"), F.col("start_lng"), step)
-    value = F.col("severity") if weight is None else weight
+    average = mean(F.col("severity"), 3) if weight is None else mean(weight.cast(f"decimal(18,{scale})"), 3, scale)
     cells = df.filter("start_lat IS NOT NULL AND start_lng IS NOT NULL").groupBy(
         row.alias("cell_row"), col.alias("cell_col")
     )
     half = F.lit(0.5)
-    return cells.agg(incidents(), mean(value, 3).alias("mean_weight")).withColumns(
+    return cells.agg(incidents(), average.alias("mean_weight")).withColumns(
         {"lat": (F.col("cell_row") + half) * F.lit(step), "lng": (F.col("cell_col") + half) * F.lit(step)}
     )
 

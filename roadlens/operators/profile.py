@@ -16,7 +16,7 @@ FULL_BREAKDOWN_UP_TO = 20
 TOP_N = 15
 CATEGORICAL_UP_TO = 25
 OTHER = "__other__"
-SKIPPED = ("ID", "Description", "id", "description")
+SKIPPED = ("ID", "Description", "id", "source_id", "description")
 
 
 def null_audit(df: DataFrame) -> DataFrame:
@@ -44,16 +44,12 @@ def _is_number(field: T.StructField) -> bool:
     return isinstance(field.dataType, T.NumericType)
 
 
-def classify_columns(
-    df: DataFrame, skip: Sequence[str] = SKIPPED, limit: int = CATEGORICAL_UP_TO, sample_rows: int | None = None
-) -> dict[str, str]:
+def classify_columns(df: DataFrame, skip: Sequence[str] = SKIPPED, limit: int = CATEGORICAL_UP_TO) -> dict[str, str]:
     """``categorical`` or ``numeric`` per column: numbers with many distinct values are numeric.
 
     One scan of sketches; only columns whose estimate is near the limit are
-    counted exactly. ``sample_rows`` looks at the first rows only.
+    counted exactly.
     """
-    if sample_rows:
-        df = df.limit(sample_rows)
     fields = [f for f in df.schema.fields if f.name not in skip]
     numbers = [f.name for f in fields if _is_number(f)]
     kinds = {f.name: "categorical" for f in fields}
@@ -197,9 +193,36 @@ def numeric_summary(df: DataFrame, columns: Sequence[str], exact: bool = True) -
     )
 
 
+def classification(df: DataFrame, skip: Sequence[str] = SKIPPED, limit: int = CATEGORICAL_UP_TO) -> DataFrame:
+    """(column_name, kind) per column, from one scan; numbers' distinct values are counted exactly."""
+    fields = [f for f in df.schema.fields if f.name not in skip]
+    numbers = [f.name for f in fields if _is_number(f)]
+    others = df.sparkSession.range(1).select(
+        F.inline(F.array(*[F.struct(F.lit(f.name).alias("column_name"), F.lit("categorical").alias("kind")) for f in fields]))
+    )
+    if not numbers:
+        return others
+    values = unpivot(df, numbers).distinct().groupBy("column_name").agg(F.count("*").alias("n"))
+    numeric = values.filter(F.col("n") > limit).select("column_name", F.lit("numeric").alias("is"))
+    return others.join(numeric, "column_name", "left").select("column_name", F.coalesce("is", "kind").alias("kind"))
+
+
 def profile(df: DataFrame, skip: Sequence[str] = SKIPPED, exact: bool = True) -> tuple[DataFrame, DataFrame]:
     """Frequencies of the categorical columns and summaries of the numeric ones."""
     kinds = classify_columns(df, skip)
     categorical = [c for c, kind in kinds.items() if kind == "categorical"]
     numeric = [c for c, kind in kinds.items() if kind == "numeric"]
     return value_frequencies(df, categorical), numeric_summary(df, numeric, exact)
+
+
+def stats_report(df: DataFrame, skip: Sequence[str] = SKIPPED, exact: bool = True) -> DataFrame:
+    """The whole statistics report in one table: frequencies and summaries, and on each row the report's header."""
+    skipped = [c for c in df.columns if c in skip]
+    frequencies, summaries = profile(df, skip, exact)
+    rows = frequencies.drop("unique_values_total", "truncated_to_top_n").withColumn("kind", F.lit("categorical"))
+    rows = rows.unionByName(summaries.withColumn("kind", F.lit("numeric")), allowMissingColumns=True)
+    return rows.withColumns({
+        "total_rows": df.agg(F.count("*")).scalar(),
+        "total_columns_analyzed": F.lit(len(df.columns) - len(skipped)).cast("bigint"),
+        "columns_skipped": F.lit(",".join(skipped)),
+    })

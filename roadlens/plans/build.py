@@ -37,13 +37,14 @@ def load_raw_file(
     return load_table(clean(read_raw(spark, raw_path), null_exempt, totals), f"{root}/incidents")
 
 
-def views(incidents: DataFrame) -> dict[str, DataFrame]:
-    """The staged rows and the intermediate models, all lazy."""
+def views(incidents: DataFrame, cities: DataFrame | None = None) -> dict[str, DataFrame]:
+    """The staged rows and the intermediate models, all lazy; ``cities`` may be written ``city_sums``."""
     staged = stage(incidents)
+    cities = models.city_sums(staged) if cities is None else cities
     return {
         "staged": staged,
         "int_temporal": models.int_temporal(staged),
-        "int_geo_hotspots": models.int_geo_hotspots(staged),
+        "int_geo_hotspots": models.int_geo_hotspots(cities),
         "int_weather_poi": models.int_weather_poi(staged),
         "int_funnel": models.int_funnel(staged),
     }
@@ -75,7 +76,8 @@ def build(incidents: DataFrame, root: str, export: bool = False) -> dict[str, Da
     geographic one) and are written too, so that marts and checks do not read
     the incident table again.
     """
-    view = views(incidents)
+    cities = materialise(models.city_sums(stage(incidents)), f"{root}/city_sums")
+    view = views(incidents, cities)
     tables = {"incidents": incidents, "staged": view["staged"]}
     for name, df in view.items():
         if name != "staged":

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from roadlens.functions import buckets, calendar, text
 from roadlens.functions.numbers import percent
 from roadlens.sources.schema import (
-    DROPPED, KEPT, RAW_FLAGS, RAW_NUMBERS, RAW_TIMES, RAW_TWILIGHTS, RENAME,
+    DROPPED, KEPT, RAW_FLAGS, RAW_NUMBERS, RAW_TIMES, RAW_TWILIGHTS, RENAME, UNREADABLE,
 )
 
 # Columns whose missing values get past the null rule in the observed output,
@@ -23,7 +23,7 @@ OBSERVED_EXEMPT = ("Zipcode", "Timezone")
 
 
 def parse(raw: DataFrame) -> DataFrame:
-    """Repairs and types; what cannot be read as its type becomes NULL."""
+    """Repairs and types; what cannot be read as its type becomes NULL. The mark of unreadable rows stays."""
     types = {"Severity": "int", "Weather_Timestamp": "timestamp_ntz"}
     types |= dict.fromkeys(RAW_NUMBERS, "double") | dict.fromkeys(RAW_FLAGS, "boolean")
     read_as = dict(raw.dtypes)
@@ -34,7 +34,8 @@ def parse(raw: DataFrame) -> DataFrame:
         "Timezone": text.strip_zone_prefix(F.col("Timezone")).alias("Timezone"),
         **{c: calendar.parse_wall_clock(F.col(c)).alias(c) for c in RAW_TIMES},
     }
-    return raw.drop(*DROPPED).select(*[repairs.get(c, f"`{c}`") for c in KEPT])
+    marks = [UNREADABLE] if UNREADABLE in raw.columns else []
+    return raw.drop(*DROPPED).select(*[repairs.get(c, f"`{c}`") for c in KEPT], *marks)
 
 
 def fill(parsed: DataFrame) -> DataFrame:
@@ -47,22 +48,33 @@ def _must_hold(null_exempt: Sequence[str]) -> list[str]:
 
 
 def drop_incomplete(filled: DataFrame, null_exempt: Sequence[str] = ()) -> DataFrame:
-    """Drops every row with a NULL left.
+    """Drops every row with a NULL left, and rows marked as unreadable.
 
     The filter also looks at the split's number. Spark does not move such a
     filter below the projection, which would repair and parse every field twice.
     """
     whole = filled.withColumn("_split", F.spark_partition_id()).dropna(how="any", subset=_must_hold(null_exempt))
-    return whole.filter("_split >= 0").drop("_split")
+    if UNREADABLE in filled.columns:
+        whole = whole.filter(f"NOT {UNREADABLE}")
+    return whole.filter("_split >= 0").drop("_split", UNREADABLE)
 
 
-def accounting(null_exempt: Sequence[str] = ()) -> list[Column]:
-    """Aggregates over the filled rows: seen, dropped by the null rule, kept."""
+def accounting(filled: DataFrame, null_exempt: Sequence[str] = ()) -> list[Column]:
+    """Aggregates over the filled rows: seen, unreadable, dropped by the null rule, kept."""
     whole = " AND ".join(f"{c} IS NOT NULL" for c in _must_hold(null_exempt))
-    counts = {"rows_seen": "count(*)", "rows_dropped": f"count_if(NOT ({whole}))", "rows_kept": f"count_if({whole})"}
+    bad = UNREADABLE if UNREADABLE in filled.columns else "false"
+    counts = {
+        "rows_seen": "count(*)", "rows_unreadable": f"count_if({bad})",
+        "rows_dropped": f"count_if(NOT {bad} AND NOT ({whole}))", "rows_kept": f"count_if(NOT {bad} AND {whole})",
+    }
     return [F.expr(count).alias(name) for name, count in counts.items()]
 
 
+def rejected(raw: DataFrame) -> DataFrame:
+    """The rows of a raw file that hold an unreadable field or the wrong number of fields."""
+    return raw.filter(UNREADABLE).drop(UNREADABLE)
+
+
 def engineered(start: Column, end: Column, temperature: Column, visibility: Column, twilights) -> dict[str, Column]:
     """The derived columns that need no text."""
     hour = F.hour(start)
@@ -91,12 +103,18 @@ def clean(raw: DataFrame, null_exempt: Sequence[str] = (), totals: Observation |
     """The 51 clean columns. ``totals`` receives the row counts of the run that reads the result."""
     rows = fill(parse(raw))
     if totals is not None:
-        rows = rows.observe(totals, *accounting(null_exempt))
+        rows = rows.observe(totals, *accounting(rows, null_exempt))
     return add_features(drop_incomplete(rows, null_exempt)).select(*[f"`{c}`" for c in RENAME])
 
 
-def clean_totals(raw: DataFrame, null_exempt: Sequence[str] = ()) -> DataFrame:
-    """Rows seen, dropped by the null rule and kept, without cleaning them."""
-    counts = fill(parse(raw)).agg(*accounting(null_exempt))
+def reading_totals(raw: DataFrame, null_exempt: Sequence[str] = ()) -> DataFrame:
+    """Rows seen, unreadable, dropped by the null rule and kept, without cleaning them."""
+    rows = fill(parse(raw))
+    counts = rows.agg(*accounting(rows, null_exempt))
     share = percent(F.col("rows_dropped"), F.col("rows_seen"), 3)
     return counts.withColumn("dropped_pct", F.coalesce(share, F.lit(0).cast("decimal(18,3)")))
+
+
+def clean_totals(raw: DataFrame, null_exempt: Sequence[str] = ()) -> DataFrame:
+    """Rows seen, dropped by the null rule and kept, without cleaning them."""
+    return reading_totals(raw, null_exempt).drop("rows_unreadable")

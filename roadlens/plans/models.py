@@ -15,7 +15,6 @@ from roadlens.functions import calendar
 from roadlens.functions.numbers import percent, ratio
 from roadlens.operators import aggregate as agg
 from roadlens.operators import windows as win
-from roadlens.session import settle
 
 # Fixed value: from this year on the data is partial and left out of yearly figures.
 PARTIAL_YEAR = 2023
@@ -28,6 +27,11 @@ def _facets(*pairs: tuple[str, Column]) -> Column:
     return F.array(*[F.struct(F.lit(tag).alias("tag"), value.alias("value")) for tag, value in pairs])
 
 
+def _nothing(df: DataFrame, heading: Column, counts: Sequence[str]) -> DataFrame:
+    """Rows of zeros under headings that are reported in any case."""
+    return df.sparkSession.range(1).select(heading, *[F.lit(0).cast("bigint").alias(c) for c in counts])
+
+
 # ---------------------------------------------------------------- temporal --
 
 
@@ -84,13 +88,16 @@ def mart_temporal(temporal: DataFrame) -> DataFrame:
 # --------------------------------------------------------------------- geo --
 
 
-def int_geo_hotspots(staged: DataFrame) -> DataFrame:
-    """Measures and ranks per city and per state.
+def city_sums(staged: DataFrame) -> DataFrame:
+    """Additive measures per city, from which all of the geographic model is made."""
+    return staged.groupBy("city", "state").agg(*agg.additive())
+
 
-    The staged rows are read once, into city sums that are written down; the
-    states and all ranks are made from those.
+def int_geo_hotspots(cities: DataFrame) -> DataFrame:
+    """Measures and ranks per city and per state, from ``city_sums``.
+
+    The sums are read several times: give them as a written table.
     """
-    cities = settle(staged.groupBy("city", "state").agg(*agg.additive()))
     measures = [c.alias(name) for name, c in agg.finished().items()]
     city = cities.select(F.lit("city").alias("geo_level"), "city", "state", *measures)
     city = win.ranks_by_value(
@@ -157,6 +164,9 @@ def int_weather_poi(
     facets = [facet(kind, F.col(column), yes) for kind, column in ENVIRONMENT.items()]
     facets += [facet(kind, F.lit(label), side) for kind, (label, side) in states.items()]
     split = cells.select(F.explode(F.array(*facets)).alias("f"), *agg.ADDITIVE)
+    # the flags have a row each, also where nothing was selected
+    flag_facets = F.array(*[facet(kind, F.lit(label), yes) for kind, (label, _) in states.items()])
+    split = split.unionByName(_nothing(staged, F.explode(flag_facets).alias("f"), agg.ADDITIVE))
     sides = agg.add_up(split, ["f.kind", "f.category", "f.side"])
 
     def on(side: bool, column: str) -> Column:
@@ -187,7 +197,10 @@ def mart_weather_poi(weather_poi: DataFrame, top: int = TOP_WEATHER) -> DataFram
     weather = kind == "weather_condition"
     group = F.when(kind.isin(*ENVIRONMENT), kind).otherwise(F.lit("flag"))
     by = F.when(weather, F.col("accident_count")).otherwise(F.col("avg_severity"))
-    place = F.rank().over(Window.partitionBy(group).orderBy(by.desc_nulls_last())).cast("bigint")
+    # among visibilities and lights a missing average leads, among flags it comes last
+    leads = by.isNull() & kind.isin("visibility_bucket", "light_condition")
+    order = Window.partitionBy(group).orderBy(leads.desc(), by.desc_nulls_last())
+    place = F.rank().over(order).cast("bigint")
     return weather_poi.withColumn("display_rank", place).filter(~weather | (F.col("display_rank") <= top))
 
 
@@ -215,6 +228,7 @@ def int_funnel(staged: DataFrame, partial_year: int = PARTIAL_YEAR) -> DataFrame
     cohort = F.col("funnel_dimension") == "monthly_cohort"
     sums = (
         cells.select(F.explode(facets).alias("f"), *counts)
+        .unionByName(_nothing(staged, F.explode(_facets(("overall", F.lit("all")))).alias("f"), counts))
         .select(F.col("f.tag").alias("funnel_dimension"), F.col("f.value").alias("dimension_value"), *counts)
         .filter(~cohort | F.col("dimension_value").isNotNull())
         .groupBy("funnel_dimension", "dimension_value")
@@ -243,28 +257,25 @@ def mart_funnel(funnels: DataFrame) -> DataFrame:
 
 
 def highlights(funnels: DataFrame, geo: DataFrame, weather_poi: DataFrame, state: str = "CA") -> DataFrame:
-    """Nine figures from the marts in one row; a figure whose row is missing is NULL."""
+    """Nine figures from the written marts in one row; a figure whose row is missing is NULL."""
     dimension, value, rate = F.col("funnel_dimension"), F.col("dimension_value"), F.col("critical_rate_pct")
-    is_context = dimension == "by_context"
+    light, context = dimension == "by_light", dimension == "by_context"
     from_funnel = {
         "national_critical_rate": F.max(F.when(dimension == "overall", rate)),
-        "night_critical_rate": F.max(F.when((dimension == "by_light") & (value == "Full_Night"), rate)),
-        "day_critical_rate": F.max(F.when((dimension == "by_light") & (value == "Full_Day"), rate)),
+        "night_critical_rate": F.max(F.when(light & (value == "Full_Night"), rate)),
+        "day_critical_rate": F.max(F.when(light & (value == "Full_Day"), rate)),
         # highest rate, then first name
-        "top_context_name": F.min_by(F.when(is_context, value), F.when(is_context, F.struct(-rate, value))),
-        "top_context_rate": F.max(F.when(is_context, rate)),
-    }
-    in_state = (F.col("geo_level") == "state") & (F.col("state") == state)
-    from_geo = {
-        "state_accidents": F.max(F.when(in_state, F.col("accident_count"))),
-        "state_critical_rate": F.max(F.when(in_state, rate)),
+        "top_context_name": F.min_by(F.when(context, value), F.when(context, F.struct(-rate, value))),
+        "top_context_rate": F.max(F.when(context, rate)),
     }
+    from_geo = {"state_accidents": F.max("accident_count"), "state_critical_rate": F.max(rate)}
     kind, severity = F.col("analysis_type"), F.col("avg_severity")
-    from_weather = {
-        "roundabout_severity": F.max(F.when(kind == "roundabout", severity)),
-        "junction_severity": F.max(F.when(kind == "junction", severity)),
-    }
-    parts = [(funnels, from_funnel), (geo, from_geo), (weather_poi, from_weather)]
+    from_weather = {f"{k}_severity": F.max(F.when(kind == k, severity)) for k in ("roundabout", "junction")}
+    parts = [
+        (funnels.filter(dimension.isin("overall", "by_light", "by_context")), from_funnel),
+        (geo.filter((F.col("geo_level") == "state") & (F.col("state") == state)), from_geo),
+        (weather_poi.filter(kind.isin("roundabout", "junction")), from_weather),
+    ]
     one_row = [df.agg(*[c.alias(n) for n, c in cols.items()]) for df, cols in parts]
     both = one_row[0].unionByName(one_row[1], allowMissingColumns=True).unionByName(one_row[2], allowMissingColumns=True)
     order = (

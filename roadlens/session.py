@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,17 +45,21 @@ def get_session(app: str = "roadlens", **conf: str) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``, which all executors can reach.
 
-    Where it is unset, a local session gets a temporary folder of its own; a
-    cluster has to name one, as its executors share no local disk.
+    Where it is unset, a local session gets a folder of its own, which goes when
+    Python ends; a cluster has to name one, as its executors share no local disk.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = spark.sparkContext.getCheckpointDir()
-    if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        folder = tempfile.mkdtemp(prefix="roadlens-")
-        spark.sparkContext.setCheckpointDir(folder)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if folder:
+        return folder
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
+    return _own_folder()
+
+
+@lru_cache(maxsize=1)
+def _own_folder() -> str:
+    folder = tempfile.mkdtemp(prefix="roadlens-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
     return folder
 
 
@@ -61,9 +68,18 @@ def settle(df: DataFrame) -> DataFrame:
 
     Used where several branches read one result: the work before it runs once,
     later branches read only their columns, and a lost executor cannot change
-    or undo what was written.
+    or undo what was written. ``discard`` deletes it when nothing reads it any more.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/roadlens-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    settled = spark.read.schema(df.schema).parquet(path)
+    settled.settled_at = path
+    return settled
+
+
+def discard(settled: DataFrame) -> None:
+    """Deletes what ``settle`` wrote for the frame it returned."""
+    jvm, conf = settled.sparkSession._jvm, settled.sparkSession._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(settled.settled_at)
+    path.getFileSystem(conf).delete(path, True)

@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import csv
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from roadlens.sources.schema import NULL_TOKENS, RENAME, TYPES, raw_schema, text_schema
+from roadlens.sources.schema import NULL_TOKENS, RENAME, TYPES, UNREADABLE, raw_schema, text_schema
 
 QUOTING = {"quote": '"', "escape": '"'}
+#: How times stand in files.
+TIMES = {"timestampNTZFormat": "yyyy-MM-dd HH:mm:ss", "timestampFormat": "yyyy-MM-dd HH:mm:ss"}
+_MALFORMED = "_malformed"
 
 
 def header_of(spark: SparkSession, path: str) -> list[str]:
@@ -15,51 +21,97 @@ def header_of(spark: SparkSession, path: str) -> list[str]:
     return spark.read.options(header=True, **QUOTING).csv(path).columns
 
 
-def read_raw(spark: SparkSession, path: str, columns=None, multi_line: bool = False) -> DataFrame:
-    """The raw file, with every spelling of "missing" as NULL.
-
-    Files are split and read in parallel. ``multi_line`` allows line breaks
-    inside quotes, but then each file is read by one task: use it only on data
-    cut into many files.
+def headers_of(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
+    """The files under ``path`` by their column names; only first lines are read."""
+    found: dict[tuple[str, ...], list[str]] = {}
+    for file in sorted(spark.read.text(path).inputFiles()):
+        if line := _first_line(spark, file):
+            found.setdefault(tuple(next(csv.reader([line]))), []).append(file)
+    return found
+
+
+def _first_line(spark: SparkSession, file: str) -> str | None:
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(file))
+    stream = path.getFileSystem(conf).open(path)
+    try:
+        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(path)
+        unpacked = codec.createInputStream(stream) if codec else stream
+        return jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(unpacked, "UTF-8")).readLine()
+    finally:
+        stream.close()
+
+
+def read_raw(spark: SparkSession, path: str, columns=None, multi_line: bool = True) -> DataFrame:
+    """Raw files with their types, every spelling of "missing" as NULL.
+
+    Columns are found by the names in each file's header, in whatever order;
+    with ``columns`` given, a file with another header stops the job. A row with
+    a field that cannot be read as its type, or with too few or too many fields,
+    is marked in the column UNREADABLE. Line breaks inside quotes are kept; a
+    file is then read by one task, so cut the data into many. Without
+    ``multi_line`` large files are split: only for data known to hold no line
+    break in quotes, as the pieces of such a row are marked or dropped.
     """
-    schema = raw_schema(columns or header_of(spark, path))
-    reader = spark.read.schema(schema).options(header=True, multiLine=multi_line, mode="PERMISSIVE", **QUOTING)
-    return blank_missing(reader.csv(path))
+    headers = {tuple(columns): [path]} if columns else headers_of(spark, path)
+    if not headers:
+        raise ValueError(f"no file with a header under {path}")
+    reader = spark.read.options(header=True, multiLine=multi_line, **READING)
+    frames = [typed_raw(reader.schema(malformed_schema(h)).csv(files)) for h, files in headers.items()]
+    return reduce(DataFrame.unionByName, frames)
 
 
-def blank_missing(df: DataFrame) -> DataFrame:
-    """NULL for every text, or not-a-number, that stands for a missing value."""
-    tokens = ", ".join(f"'{t}'" for t in NULL_TOKENS)
+READING = {**QUOTING, "mode": "PERMISSIVE", "enforceSchema": False, "columnNameOfCorruptRecord": _MALFORMED}
+
 
-    def blanked(field: T.StructField) -> str:
-        name = f"`{field.name}`"
-        if isinstance(field.dataType, T.StringType):
-            return f"CASE WHEN {name} NOT IN ({tokens}) THEN {name} END AS {name}"
-        return f"nullif({name}, double('NaN')) AS {name}" if isinstance(field.dataType, T.DoubleType) else name
+def malformed_schema(columns) -> T.StructType:
+    """All text, and a place for rows whose fields do not match the header."""
+    return text_schema([*columns, _MALFORMED])
 
-    return df.selectExpr(*[blanked(f) for f in df.schema.fields])
+
+def typed_raw(text: DataFrame) -> DataFrame:
+    """Rows read with ``malformed_schema``: numbers and flags cast, what could not be read marked."""
+    blank = blank_missing(text)
+    names = [c for c in text.columns if c != _MALFORMED]
+    types = {f.name: f.dataType.simpleString() for f in raw_schema(names).fields}
+    checked = {**types, "Weather_Timestamp": "timestamp_ntz"}
+    bad = [f"`{c}` IS NOT NULL AND try_cast(`{c}` AS {checked[c]}) IS NULL" for c in names if checked[c] != "string"]
+    unreadable = " OR ".join([f"{_MALFORMED} IS NOT NULL", *bad])
+    casts = [f"`{c}`" if types[c] == "string" else f"try_cast(`{c}` AS {types[c]}) AS `{c}`" for c in names]
+    return blank.selectExpr(*casts, f"({unreadable}) AS {UNREADABLE}")
+
+
+def blank_missing(df: DataFrame) -> DataFrame:
+    """NULL for every text that stands for a missing value."""
+    tokens = ", ".join(f"'{t}'" for t in NULL_TOKENS)
+    return df.selectExpr(
+        *[f"`{c}`" if c == _MALFORMED else f"CASE WHEN `{c}` NOT IN ({tokens}) THEN `{c}` END AS `{c}`" for c in df.columns]
+    )
 
 
-def read_clean(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+def read_clean(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """The clean file with its types; the postal code stays text, empty fields are NULL.
 
     A field that does not fit its type stops the job.
     """
-    reader = spark.read.schema(text_schema(RENAME)).options(header=True, multiLine=multi_line, **QUOTING)
+    reader = spark.read.schema(text_schema(RENAME)).options(
+        header=True, multiLine=multi_line, enforceSchema=False, mode="FAILFAST", **QUOTING
+    )
     text = blank_missing(reader.csv(path))
     return text.selectExpr(*[f"CAST(`{raw}` AS {TYPES.get(name, 'string')}) AS `{raw}`" for raw, name in RENAME.items()])
 
 
 def write_clean(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """A folder of part files, each with the header; a failed task leaves no half file behind."""
-    df.write.mode(mode).options(header=True, **QUOTING).csv(path)
+    df.write.mode(mode).options(header=True, **QUOTING, **TIMES).csv(path)
 
 
 def export_csv(df: DataFrame, path: str, null_value: str = "", order_by=()) -> None:
-    """A mart as one file with a header. Marts have at most some hundred rows."""
+    """A mart as one file with a header, in the order given. Marts have at most some hundred rows."""
+    one = df.repartition(1)
     if order_by:
-        df = df.orderBy(*order_by)
-    df.coalesce(1).write.mode("overwrite").options(header=True, nullValue=null_value, **QUOTING).csv(path)
+        one = one.sortWithinPartitions(*order_by)
+    one.write.mode("overwrite").options(header=True, nullValue=null_value, **QUOTING, **TIMES).csv(path)
 
 
 def head(df: DataFrame, n: int) -> DataFrame:

@@ -105,6 +105,8 @@ MAX_LENGTH = {
     "temp_bucket": 15, "visibility_bucket": 15, "light_condition_category": 25, "incident_context": 40,
 }
 REQUIRED = ("severity", "start_time")
+#: Marks rows of a raw file with a field that is there but cannot be read.
+UNREADABLE = "_unreadable"
 # Column order of the table: core, place, weather, flags, light, engineered, text.
 TABLE_COLUMNS = (
     "source_id", "source", "severity", "start_time", "end_time", "duration_mins",
@@ -125,10 +127,7 @@ NULL_TOKENS = (
 
 
 def raw_schema(columns) -> T.StructType:
-    """Types of a raw file, never inferred: numbers and flags by name, all else text.
-
-    The reader parses each field once; one it cannot read as its type is NULL.
-    """
+    """Types of a raw file, never inferred: numbers and flags by name, all else text."""
     types = {
         "Severity": T.IntegerType(),
         **{c: T.DoubleType() for c in RAW_NUMBERS},

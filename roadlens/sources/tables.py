@@ -6,9 +6,10 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from roadlens.operators.ordering import number_rows
-from roadlens.session import settle
+from roadlens.operators.ordering import number_by_key, number_rows, ranges_of
+from roadlens.session import discard, settle
 from roadlens.sources.schema import RENAME, REQUIRED, TABLE_COLUMNS, TYPES
 
 
@@ -29,22 +30,34 @@ def require(df: DataFrame, columns: Sequence[str] = REQUIRED) -> DataFrame:
     )
 
 
-def with_serial_id(df: DataFrame, order_by: Sequence[str] = ("source_id",), name: str = "id") -> DataFrame:
+def with_serial_id(
+    df: DataFrame, order_by: Sequence[str] = ("source_id",), name: str = "id", ranges: int | None = None
+) -> DataFrame:
     """Adds a contiguous id from 1 in key order as the first column."""
-    return number_rows(df, [F.col(c).asc_nulls_first() for c in order_by], name).select(name, *df.columns)
+    return number_rows(df, [F.col(c).asc_nulls_first() for c in order_by], name, ranges).select(name, *df.columns)
 
 
-def load_table(clean: DataFrame, path: str, order_by: Sequence[str] = ("source_id",)) -> DataFrame:
+def load_table(
+    clean: DataFrame, path: str, order_by: Sequence[str] = ("source_id",), ranges: int | None = None
+) -> DataFrame:
     """Replaces the table at ``path`` by the clean rows, renamed, typed and numbered.
 
-    The clean rows are written before they are put in order, as ordering reads
-    its input twice. Without ``order_by`` they are numbered as they arrive,
-    which needs no shuffle.
+    The clean rows are written once before they are put in order, as ordering
+    reads its input twice; that copy is deleted afterwards. Without ``order_by``
+    they are numbered as they arrive, which needs no shuffle. ``ranges`` is the
+    number of pieces to order them in, by default as many as the copy is read in.
     """
     rows = require(typed(rename_columns(clean)))
-    if order_by:
-        rows = settle(rows)
-    with_serial_id(rows, order_by).write.mode("overwrite").parquet(path)
+    if not order_by:
+        with_serial_id(rows, order_by).write.mode("overwrite").parquet(path)
+        return clean.sparkSession.read.parquet(path)
+    copy = settle(rows)
+    if len(order_by) == 1 and isinstance(copy.schema[order_by[0]].dataType, T.IntegralType):
+        numbered = number_by_key(copy, order_by[0], "id", ranges or ranges_of(copy)).select("id", *copy.columns)
+    else:
+        numbered = with_serial_id(copy, order_by, ranges=ranges)
+    numbered.write.mode("overwrite").parquet(path)
+    discard(copy)
     return clean.sparkSession.read.parquet(path)
 
 
@@ -65,7 +78,7 @@ def write_layout(
     salt = F.xxhash64(spread_by)
     keys = [F.col("year"), *[F.col(c) for c in sort_by], salt]
     df = df.withColumn("year", F.year(time))
-    df = df.repartitionByRange(files, *keys) if files else df.repartitionByRange(*keys)
+    df = df.repartitionByRange(files or ranges_of(df), *keys)
     df.sortWithinPartitions("year", *sort_by).write.mode("overwrite").partitionBy("year").parquet(path)
 
 

@@ -13,21 +13,23 @@ from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from roadlens.plans.cleaning import clean
-from roadlens.sources.delimited import QUOTING, blank_missing
-from roadlens.sources.schema import raw_schema
+from roadlens.sources.delimited import READING, malformed_schema, typed_raw
 
 
 def clean_arrivals(
     spark: SparkSession, folder: str, columns: Sequence[str], out: str, checkpoint: str, files_per_batch: int = 1000
 ) -> StreamingQuery:
-    """Cleans the files in ``folder`` that are not done yet, appends to ``out`` and stops."""
+    """Cleans the files in ``folder`` that are not done yet, appends to ``out`` and stops.
+
+    A file whose header is not ``columns`` stops the query before anything of its batch is written.
+    """
     raw = (
-        spark.readStream.schema(raw_schema(columns))
-        .options(header=True, maxFilesPerTrigger=files_per_batch, **QUOTING)
+        spark.readStream.schema(malformed_schema(columns))
+        .options(header=True, multiLine=True, maxFilesPerTrigger=files_per_batch, **READING)
         .csv(folder)
     )
     return (
-        clean(blank_missing(raw))
+        clean(typed_raw(raw))
         .writeStream.format("parquet")
         .option("path", out)
         .option("checkpointLocation", checkpoint)

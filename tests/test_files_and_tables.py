@@ -82,7 +82,7 @@ def test_totals_are_counted_while_loading(spark, tmp_path):
     totals = Observation("totals")
     loaded = load_raw_file(spark, write_raw(tmp_path / "raw", CASES), str(tmp_path / "root"), totals=totals)
     assert loaded.count() == 2
-    assert totals.get == {"rows_seen": 6, "rows_dropped": 4, "rows_kept": 2}
+    assert totals.get == {"rows_seen": 6, "rows_unreadable": 0, "rows_dropped": 4, "rows_kept": 2}
 
 
 def test_rows_in_order_of_arrival(spark, tmp_path):
@@ -115,7 +115,39 @@ def test_clean_file_round_trip(spark, tmp_path):
 
 def test_line_breaks_inside_quotes(spark, tmp_path):
     path = write_raw(tmp_path / "raw", [{"Description": "two\nlines"}])
-    assert delimited.read_raw(spark, path, multi_line=True).collect()[0].Description == "two\nlines"
+    raw = delimited.read_raw(spark, path)
+    assert raw.collect()[0].Description == "two\nlines"
+    delimited.write_clean(cleaning.clean(raw), str(tmp_path / "clean"))
+    assert delimited.read_clean(spark, str(tmp_path / "clean")).collect()[0].Description == "two\nlines"
+    split = cleaning.reading_totals(delimited.read_raw(spark, path, multi_line=False)).collect()[0]
+    assert split.rows_kept == 0 and split.rows_unreadable > 0
+
+
+def test_unreadable_fields_are_no_missing_values(spark, tmp_path):
+    bad = [{"ID": "A-7", "Temperature(F)": "hot"}, {"ID": "A-8", "Junction": "maybe"}, {"ID": "A-9", "Weather_Timestamp": "noon"}]
+    path = write_raw(tmp_path / "raw", CASES + bad)
+    with open(f"{path}/raw.csv", "a") as f:
+        f.write("A-10,too,few\n")
+    raw = delimited.read_raw(spark, path)
+    assert cleaning.reading_totals(raw).collect()[0][:4] == (10, 4, 4, 2)
+    assert sorted(r.ID for r in cleaning.rejected(raw).collect()) == ["A-10", "A-7", "A-8", "A-9"]
+    assert sorted(r.ID for r in cleaning.clean(raw).collect()) == [1, 5]
+
+
+def test_columns_are_found_by_name(spark, tmp_path):
+    path = write_raw(tmp_path / "raw", [{"ID": "A-1"}])
+    swapped = [{"City": "County", "County": "City"}.get(c, c) for c in GOOD]
+    with open(f"{path}/swapped.csv", "w", newline="") as f:
+        writer = csv.DictWriter(f, swapped)
+        writer.writeheader()
+        writer.writerow({**GOOD, "ID": "A-2"})
+    rows = cleaning.clean(delimited.read_raw(spark, path)).collect()
+    assert {(r.ID, r.City, r.County) for r in rows} == {(1, "Dayton", "Montgomery"), (2, "Dayton", "Montgomery")}
+    with pytest.raises(Exception, match="header does not conform"):
+        delimited.read_raw(spark, path, columns=list(GOOD)).collect()
+    query = clean_arrivals(spark, path, list(GOOD), str(tmp_path / "out"), str(tmp_path / "done"))
+    with pytest.raises(PySparkException, match="header does not conform"):
+        query.awaitTermination()
 
 
 def test_required_columns(spark, tmp_path):

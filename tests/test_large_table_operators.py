@@ -11,9 +11,9 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from roadlens.operators import joins, maps, profile
-from roadlens.operators.ordering import number_rows
+from roadlens.operators.ordering import number_by_key, number_rows
 from roadlens.operators.windows import ranks_by_value, top_ranked
-from roadlens.session import settle, shared_folder
+from roadlens.session import discard, settle, shared_folder
 
 
 def skewed(n=3000, seed=1):
@@ -83,26 +83,23 @@ def test_summary_of_an_empty_column(spark):
     assert row["count"] == 0 and row.median is None
 
 
-def test_spread_join_equals_join(spark, table):
-    dim = spark.createDataFrame([("hot", 1)] + [(f"k{i}", i) for i in range(150)], "k string, attribute int")
-    hot = joins.frequent_keys(table, "k", 0.05)
-    assert [r.k for r in hot.collect()] == ["hot"]
-    got = joins.join_spread(table, dim, "k", "id", hot, ways=8)
-    assert sorted((r.id, r.attribute) for r in got.collect()) == sorted(
-        (r.id, r.attribute) for r in table.join(dim, "k").collect())
-
-
-def test_hot_rows_go_to_many_parts(spark, table):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        dim = spark.createDataFrame([("hot", 1)], "k string, attribute int")
-        joined = joins.join_spread(table, dim, "k", "id", joins.frequent_keys(table, "k", 0.05), ways=32)
-        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
-    finally:
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert len(sizes) > 1 and max(sizes) < 0.6 * sum(sizes)
+def test_star_join_keeps_fact_rows_without_a_match(spark, table):
+    dim = spark.createDataFrame([("hot", 1)] + [(f"k{i}", i) for i in range(20)], "k string, attribute int")
+    joined = joins.star_join(table, {"k": dim})
+    known = dict(dim.collect())
+    assert sorted((r.id, r.attribute or 0) for r in joined.collect()) == sorted(
+        (r.id, known.get(r.k) or 0) for r in table.collect())
+    assert joins.unmatched(joined, {"k": "attribute"}).collect()[0].k == sum(r.k not in known for r in table.collect())
+
+
+def test_positions_by_key(spark):
+    for keys in (range(500, 2500), [*range(1000), *[5000] * 700, 10**9], [7] * 300, [-5, None, 3, None]):
+        rows = settle(spark.createDataFrame([(k,) for k in keys], "k bigint").repartition(5))
+        got = number_by_key(rows, "k", "no", 4).collect()
+        assert sorted(r.no for r in got) == list(range(1, len(got) + 1))
+        ordered = [r.k for r in sorted(got, key=lambda r: r.no)]
+        assert ordered == sorted(keys, key=lambda k: (k is not None, k or 0))
+        discard(rows)
 
 
 @pytest.mark.parametrize("n", [1, 50, 3000, 5000])

@@ -300,6 +300,9 @@ def _models() -> dict[str, str]:
         "mart_weather_poi": f"SELECT * FROM ({_MART_WEATHER})",
         "mart_funnel": _MART_FUNNEL,
         "mart_export": _MART_FUNNEL,
+        "mart_temporal_export": _MART_TEMPORAL,
+        "mart_geo_export": _MART_GEO,
+        "mart_weather_poi_export": f"SELECT * FROM ({_MART_WEATHER})",
         "highlights": f"""SELECT
             (SELECT {pct(CRIT, N)} FROM inc) AS national_critical_rate,
             (SELECT {pct(CRIT, N)} FROM inc WHERE light_condition_category = 'Full_Night') AS night_critical_rate,
@@ -388,6 +391,13 @@ def _cleaning() -> dict[str, str]:
         "clean_stream": clean,
         "clean_file_round_trip": clean,
         "load_and_stage": f"SELECT row_number() OVER (ORDER BY source_id) AS accident_id, {staged} {_CLEAN_ROWS}",
+        "raw_line_breaks": f"SELECT source_id, description || chr(10) || 'second line' AS description {_CLEAN_ROWS}",
+        "raw_header_order": f"SELECT source_id, city, county {_CLEAN_ROWS}",
+        "clean_unreadable": f"""SELECT {N} AS rows_seen, count(*) FILTER (WHERE bad) AS rows_unreadable,
+            count(*) FILTER (WHERE NOT bad AND {DROPPED}) AS rows_dropped,
+            count(*) FILTER (WHERE NOT bad AND NOT {DROPPED}) AS rows_kept,
+            {pct(f'count(*) FILTER (WHERE NOT bad AND {DROPPED})', N, 3)} AS dropped_pct
+            FROM (SELECT *, k % 41 = 0 OR k % 43 = 0 AS bad FROM inc)""",
         "clean_strings": """SELECT source_id, zipcode, timezone, count(*) AS n FROM inc GROUP BY ALL""",
         "parse_time": """SELECT source_id, CASE WHEN p % 997 <> 0 THEN start_time END AS start_time, end_time FROM inc""",
         "drop_null_rows": f"""SELECT {N} AS rows_seen, count(*) FILTER (WHERE {DROPPED}) AS rows_dropped,
@@ -463,21 +473,30 @@ def _maps() -> dict[str, str]:
         "distinct_sorted": "SELECT DISTINCT weather_condition FROM inc WHERE weather_condition IS NOT NULL ORDER BY 1",
         "severity_names": f"""SELECT severity, CASE severity WHEN 1 THEN 'Minor' WHEN 2 THEN 'Moderate' WHEN 3 THEN 'Serious'
             WHEN 4 THEN 'Critical' END AS label, {_COLOURS} AS colour, {N} AS accident_count FROM inc GROUP BY ALL""",
-        "hex_bin": f"""SELECT cell_q, cell_r, {N} AS accident_count, {AVG_SEV} AS avg_severity FROM (
+        "hex_bin": f"""SELECT cell_q, cell_r, {N} AS accident_count, {AVG_SEV} AS avg_severity,
+            round(cell_r * CAST(1.5 AS DOUBLE) * {RADIUS} / {north}, 6) AS lat,
+            round((cell_q + cell_r / CAST(2 AS DOUBLE)) * sqrt(3) * {RADIUS} / {east}, 6) AS lng FROM (
             SELECT severity, CAST(CASE WHEN mq > mr AND mq > ms THEN -r0 - s0 ELSE q0 END AS BIGINT) AS cell_q,
               CAST(CASE WHEN NOT (mq > mr AND mq > ms) AND mr > ms THEN -q0 - s0 ELSE r0 END AS BIGINT) AS cell_r
             FROM ({moved})) GROUP BY 1, 2""",
         "heat_grid": f"""SELECT *, CAST((cell_row + 0.5) * {STEP} AS DOUBLE) AS lat, CAST((cell_col + 0.5) * {STEP} AS DOUBLE) AS lng FROM (
             SELECT CAST(floor(start_lat / {STEP}) AS BIGINT) AS cell_row, CAST(floor(start_lng / {STEP}) AS BIGINT) AS cell_col,
               {N} AS accident_count, {AVG_SEV} AS mean_weight FROM inc GROUP BY 1, 2)""",
+        "heat_grid_weighted": f"""SELECT *, CAST((cell_row + 0.5) * {STEP} AS DOUBLE) AS lat,
+            CAST((cell_col + 0.5) * {STEP} AS DOUBLE) AS lng FROM (
+            SELECT CAST(floor(start_lat / {STEP}) AS BIGINT) AS cell_row, CAST(floor(start_lng / {STEP}) AS BIGINT) AS cell_col,
+              {N} AS accident_count, {fixed("sum(dur_c)", "count(*) * 100", 3)} AS mean_weight FROM inc GROUP BY 1, 2)""",
     }
     return {name: over_incidents(sql) for name, sql in q.items()}
 
 
 # ---------------------------------------------------- profiles, checks, load
 
-PROFILED = ("source", "state", "weather_condition", "city", "day_of_week", "severity", "zipcode", "is_weekend")
-SUMMARISED = ("distance_mi", "temperature_f", "duration_mins", "start_lat", "pressure_in")
+# all columns but the ids and the description
+REPORTED = tuple(c for c in RENAME.values() if c not in ("source_id", "description"))
+NUMBERS = tuple(c for c in REPORTED if TYPES.get(c, "string").startswith(("int", "double", "decimal")))
+PROFILED = tuple(c for c in REPORTED if c not in NUMBERS or c in ("severity", "hour_of_day"))
+SUMMARISED = tuple(c for c in NUMBERS if c not in ("severity", "hour_of_day"))
 
 
 def _frequencies() -> str:
@@ -521,20 +540,26 @@ def _null_audit() -> str:
       count(*) OVER () AS total_columns, count(*) FILTER (WHERE m > 0) OVER () AS columns_with_missing_values FROM ({one})"""
 
 
-CLASSIFIED = (
-    "id", "severity", "hour_of_day", "source_id", "distance_mi", "humidity_pct", "visibility_mi",
-    "precipitation_in", "state", "is_weekend", "start_time",
-)
-
-
 def _classes() -> str:
-    numbers = ("severity", "hour_of_day", "source_id", "distance_mi", "humidity_pct", "visibility_mi", "precipitation_in")
     parts = [
         f"SELECT '{c}' AS column_name, CASE WHEN count(DISTINCT {c}) <= 25 THEN 'categorical' ELSE 'numeric' END AS kind FROM inc"
-        for c in numbers
+        if c in NUMBERS else f"SELECT '{c}', 'categorical'"
+        for c in REPORTED
     ]
-    parts += [f"SELECT '{c}', 'categorical'" for c in ("state", "is_weekend", "start_time")]
-    return " UNION ALL ".join(parts)
+    return "SELECT * FROM (SELECT '' AS column_name, '' AS kind WHERE false) UNION ALL " + " UNION ALL ".join(parts)
+
+
+def _report() -> str:
+    """All frequencies and summaries, with the figures of the report's header."""
+    head = f"(SELECT count(*) FROM inc) AS total_rows, CAST({len(REPORTED)} AS BIGINT) AS total_columns_analyzed, 'id,source_id,description' AS columns_skipped"
+    kinds = f"kinds AS ({_classes()})"
+    summaries = " UNION ALL ".join(_summary(c) for c in NUMBERS)
+    return f""", {kinds}, f AS (SELECT * FROM (WITH {_frequencies()[2:]})), n AS ({summaries})
+      SELECT column_name, 'categorical' AS kind, place, value, count, pct, NULL::DOUBLE AS min, NULL::DOUBLE AS max,
+        NULL::DOUBLE AS mean, NULL::DOUBLE AS median, NULL::DOUBLE AS std, NULL::DOUBLE AS q1_25pct, NULL::DOUBLE AS q3_75pct, {head}
+      FROM f WHERE column_name IN (SELECT column_name FROM kinds WHERE kind = 'categorical')
+      UNION ALL SELECT column_name, 'numeric', NULL, NULL, count, NULL, min, max, mean, median, std, q1_25pct, q3_75pct, {head}
+      FROM n WHERE column_name IN (SELECT column_name FROM kinds WHERE kind = 'numeric')"""
 
 
 def _contract() -> str:
@@ -549,6 +574,15 @@ def _contract() -> str:
     return f"SELECT * FROM (VALUES {values}) AS t(model, column_name, \"check\", failures)"
 
 
+_FAILURES = """SELECT 'fact' AS model, column_name, "check", failures FROM (
+      SELECT 'accident_id' AS column_name, 'unique' AS "check", count(*) FILTER (WHERE id % 13 = 0) AS failures FROM inc
+      UNION ALL SELECT 'severity', 'not_null', CAST(coalesce(sum(times) FILTER (WHERE id % 5 = 0), 0) AS BIGINT) FROM t
+      UNION ALL SELECT 'start_time', 'not_null', 0
+      UNION ALL SELECT 'severity', 'accepted_values', CAST(coalesce(sum(times) FILTER (WHERE id % 5 <> 0 AND id % 7 = 0), 0) AS BIGINT) FROM t
+      UNION ALL SELECT 'location_id', 'relationships', CAST(coalesce(sum(times) FILTER (WHERE id % 11 = 0), 0) AS BIGINT) FROM t)"""
+_TIMES = ", t AS (SELECT id, CASE WHEN id % 13 = 0 THEN 2 ELSE 1 END AS times FROM inc)"
+
+
 def _checks() -> dict[str, str]:
     q = {
         "null_audit": _null_audit(),
@@ -567,6 +601,11 @@ def _checks() -> dict[str, str]:
     }
     out = {name: over_incidents(sql) for name, sql in q.items()}
     out["value_frequencies"] = f"WITH {INCIDENTS}{_frequencies()}"
+    out["contract_failures"] = f"WITH {INCIDENTS}{_TIMES} {_FAILURES}"
+    out["check_summary"] = f"""WITH {INCIDENTS}{_TIMES} SELECT "check", count(*) AS checks,
+        count(*) FILTER (WHERE failures = 0) AS passed, count(*) FILTER (WHERE failures > 0) AS failed
+        FROM ({_FAILURES}) GROUP BY 1"""
+    out["stats_report"] = f"WITH {INCIDENTS}{_report()}"
     out["dq_unique"] = """SELECT l_orderkey, l_linenumber, count(*) AS n_records FROM lineitem
         GROUP BY 1, 2 HAVING count(*) > 1"""
     out["dq_accepted"] = """SELECT 'orders' AS model, column_name, 'accepted_values' AS "check", failures FROM (

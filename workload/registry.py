@@ -14,11 +14,12 @@ from roadlens.operators import joins, maps, profile, quality
 from roadlens.operators.ordering import number_rows
 from roadlens.plans import build, cleaning, models, star
 from roadlens.plans.questions import QUESTIONS
-from roadlens.session import shared_folder, tune
+from roadlens.session import settle, shared_folder, tune
 from roadlens.sources import delimited, tables
+from roadlens.sources.schema import UNREADABLE
 from roadlens.streaming.arrivals import clean_arrivals
-from workload.expected import CLASSIFIED, DOCUMENT_RULES, PROFILED, RADIUS, STEP, SUMMARISED
-from workload.incidents import incidents, raw_file, raw_rows
+from workload.expected import DOCUMENT_RULES, PROFILED, RADIUS, STEP, SUMMARISED
+from workload.incidents import incidents, raw_file, raw_incidents, raw_rows
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -71,12 +72,33 @@ def _funnel(s: DataFrame) -> DataFrame:
     return models.int_funnel(s, PARTIAL_YEAR)
 
 
-def _highlights(s: DataFrame) -> DataFrame:
-    return models.highlights(
-        models.mart_funnel(_funnel(s)),
-        models.mart_geo(models.int_geo_hotspots(s)),
-        models.mart_weather_poi(models.int_weather_poi(s)),
-    )
+def _geo(s: DataFrame) -> DataFrame:
+    return models.int_geo_hotspots(settle(models.city_sums(s)))
+
+
+MARTS = {
+    "mart_temporal": lambda s: models.mart_temporal(_temporal(s)),
+    "mart_geo": lambda s: models.mart_geo(_geo(s)),
+    "mart_weather_poi": lambda s: models.mart_weather_poi(models.int_weather_poi(s)),
+    "mart_funnel": lambda s: models.mart_funnel(_funnel(s)),
+}
+
+
+_written: dict[tuple[str, str, str], str] = {}
+
+
+def written_mart(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A mart as the build leaves it: written once per session, then read."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _written:
+        path = folder(spark, name)
+        tables.materialise(MARTS[name](staged(spark, sf_dir)), path)
+        _written[key] = path
+    return spark.read.parquet(_written[key])
+
+
+def highlights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return models.highlights(*[written_mart(spark, sf_dir, m) for m in ("mart_funnel", "mart_geo", "mart_weather_poi")])
 
 
 def _starred(s: DataFrame) -> DataFrame:
@@ -136,6 +158,36 @@ def load_and_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.stage(tables.load_table(cleaning.clean(raw_rows(spark, sf_dir)), folder(spark, "incidents")))
 
 
+def raw_line_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Descriptions of two lines, through the raw file, cleaning and the clean file."""
+    raw = raw_incidents(spark, sf_dir).withColumn("Description", F.concat("Description", F.lit("\nsecond line")))
+    path, out = folder(spark, "broken"), folder(spark, "clean")
+    raw.write.options(header=True, **delimited.QUOTING).csv(path)
+    delimited.write_clean(cleaning.clean(delimited.read_raw(spark, path)), out)
+    return delimited.read_clean(spark, out).select(F.col("ID").alias("source_id"), F.col("Description").alias("description"))
+
+
+def raw_header_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of which some have city and county the other way round."""
+    raw, path = raw_incidents(spark, sf_dir), folder(spark, "headers")
+    other = [{"City": "County", "County": "City"}.get(c, c) for c in raw.columns]
+    first = F.pmod(F.xxhash64("ID"), F.lit(2)) == 0
+    raw.filter(first).write.options(header=True, **delimited.QUOTING).csv(path)
+    raw.filter(~first).select(*[f"`{c}`" for c in other]).write.mode("append").options(header=True, **delimited.QUOTING).csv(path)
+    clean = cleaning.clean(delimited.read_raw(spark, path))
+    return clean.select(F.col("ID").alias("source_id"), F.col("City").alias("city"), F.col("County").alias("county"))
+
+
+def clean_unreadable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of a raw file in which some temperatures and flags are no such thing."""
+    raw, path = raw_incidents(spark, sf_dir), folder(spark, "unreadable")
+    key = F.expr("bigint(substring(ID, 3)) div 3")
+    raw = raw.withColumn("Temperature(F)", F.when(key % 41 == 0, "warm").otherwise(F.col("`Temperature(F)`")))
+    raw = raw.withColumn("Junction", F.when(key % 43 == 0, "maybe").otherwise(F.col("Junction")))
+    raw.write.options(header=True, **delimited.QUOTING).csv(path)
+    return cleaning.reading_totals(delimited.read_raw(spark, path))
+
+
 def keyword_context(spark: SparkSession, sf_dir: str) -> DataFrame:
     labelled = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id", "left")
     fallback = [(F.col("quality") == 1, "rated_good"), (F.col("toxic") == 1, "rated_toxic")]
@@ -156,11 +208,16 @@ def severity_names(df: DataFrame) -> DataFrame:
     return df.groupBy("severity", label.alias("label"), colour.alias("colour")).agg(agg.incidents())
 
 
-def mart_export(s: DataFrame) -> DataFrame:
-    """The funnel mart as an exported file, read back."""
-    mart, path = models.mart_funnel(_funnel(s)), folder(s.sparkSession, "export")
-    delimited.export_csv(mart, path, null_value="NULL", order_by=build.mart_order("mart_funnel"))
-    return s.sparkSession.read.schema(mart.schema).csv(path, header=True, nullValue="NULL")
+def mart_export(name: str) -> Callable[[DataFrame], DataFrame]:
+    """A mart as an exported file, read back."""
+
+    def export(s: DataFrame) -> DataFrame:
+        mart, path = MARTS[name](s), folder(s.sparkSession, "export")
+        delimited.export_csv(mart, path, null_value="NULL", order_by=build.mart_order(name))
+        reader = s.sparkSession.read.schema(mart.schema).options(header=True, nullValue="NULL", **delimited.TIMES)
+        return reader.csv(path)
+
+    return export
 
 
 def newest_record(df: DataFrame) -> DataFrame:
@@ -168,12 +225,8 @@ def newest_record(df: DataFrame) -> DataFrame:
 
 
 def hex_bin(df: DataFrame) -> DataFrame:
-    return maps.hex_density(df, RADIUS).drop("lat", "lng")
-
-
-def column_classes(df: DataFrame) -> DataFrame:
-    kinds = profile.classify_columns(df.select(*CLASSIFIED))
-    return df.sparkSession.createDataFrame(list(kinds.items()), "column_name string, kind string")
+    centre = {c: F.round(c, 6) for c in ("lat", "lng")}
+    return maps.hex_density(df, RADIUS).withColumns(centre)
 
 
 def dq_accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -195,6 +248,24 @@ def contract_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build.check(build.build(loaded, folder(spark, "models")))
 
 
+DAMAGED_CONTRACT = {
+    "fact": {
+        "unique": ["accident_id"], "not_null": ["severity", "start_time"], "accepted": {"severity": [1, 2, 3, 4]},
+        "relationships": {"location_id": ("dim_location", "location_id")},
+    },
+}
+
+
+def contract_failures(s: DataFrame) -> DataFrame:
+    """Checks over a fact table with missing, unknown, repeated and orphaned values."""
+    key = F.col("accident_id")
+    severity = F.when(key % 5 == 0, None).when(key % 7 == 0, 9).otherwise(F.col("severity"))
+    place = F.when(key % 11 == 0, "nowhere").otherwise(F.col("location_id"))
+    fact = star.fact(s).withColumns({"severity": severity, "location_id": place})
+    made = {"fact": settle(fact.unionByName(fact.filter(key % 13 == 0))), "dim_location": star.dim_location(s)}
+    return quality.check_all(made, DAMAGED_CONTRACT)
+
+
 def layout_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = folder(spark, "layout")
     tables.write_layout(incidents(spark, sf_dir), path)
@@ -213,14 +284,11 @@ def all_queries() -> dict[str, Query]:
     queries: dict[str, Query] = {name: on_incidents(f) for name, f in QUESTIONS.items()}
     queries |= {
         "int_temporal": on_staged(_temporal),
-        "int_geo": on_staged(models.int_geo_hotspots),
+        "int_geo": on_staged(_geo),
         "int_weather_poi": on_staged(models.int_weather_poi),
         "int_funnel": on_staged(_funnel),
-        "mart_temporal": on_staged(lambda s: models.mart_temporal(_temporal(s))),
-        "mart_geo": on_staged(lambda s: models.mart_geo(models.int_geo_hotspots(s))),
-        "mart_weather_poi": on_staged(lambda s: models.mart_weather_poi(models.int_weather_poi(s))),
-        "mart_funnel": on_staged(lambda s: models.mart_funnel(_funnel(s))),
-        "highlights": on_staged(_highlights),
+        **{name: on_staged(mart) for name, mart in MARTS.items()},
+        "highlights": highlights,
         "dim_location": on_staged(star.dim_location),
         "dim_time": on_staged(star.dim_time),
         "dim_weather": on_staged(star.dim_weather),
@@ -233,6 +301,9 @@ def all_queries() -> dict[str, Query]:
         "clean_stream": clean_stream,
         "clean_file_round_trip": clean_file_round_trip,
         "load_and_stage": load_and_stage,
+        "raw_line_breaks": raw_line_breaks,
+        "raw_header_order": raw_header_order,
+        "clean_unreadable": clean_unreadable,
         "clean_strings": on_raw(clean_strings),
         "parse_time": on_raw(parse_time),
         "drop_null_rows": on_raw(cleaning.clean_totals),
@@ -253,11 +324,14 @@ def all_queries() -> dict[str, Query]:
         "filter_options": on_incidents(maps.filter_options),
         "distinct_sorted": on_incidents(lambda d: maps.options_of(d, "weather_condition", keep_null=False)),
         "severity_names": on_incidents(severity_names),
-        "mart_export": on_staged(mart_export),
+        "mart_export": on_staged(mart_export("mart_funnel")),
+        **{f"{name}_export": on_staged(mart_export(name)) for name in MARTS if name != "mart_funnel"},
         "hex_bin": on_incidents(hex_bin),
         "heat_grid": on_incidents(lambda d: maps.heat_grid(d, STEP)),
-        "null_audit": on_raw(profile.null_audit),
-        "column_classes": on_incidents(column_classes),
+        "heat_grid_weighted": on_incidents(lambda d: maps.heat_grid(d, STEP, F.col("duration_mins"), 2)),
+        "null_audit": on_raw(lambda r: profile.null_audit(r.drop(UNREADABLE))),
+        "column_classes": on_incidents(profile.classification),
+        "stats_report": on_incidents(profile.stats_report),
         "column_profile": on_incidents(lambda d: profile.numeric_summary(d, SUMMARISED)),
         "value_frequencies": on_incidents(lambda d: profile.value_frequencies(d, PROFILED)),
         "dq_not_null": on_raw(lambda r: quality.check_rows(r, "raw", ["Zipcode", "Wind_Speed(mph)", "City"])),
@@ -265,6 +339,8 @@ def all_queries() -> dict[str, Query]:
         "dq_accepted": dq_accepted,
         "dq_relationships": dq_relationships,
         "contract_checks": contract_checks,
+        "contract_failures": on_staged(contract_failures),
+        "check_summary": on_staged(lambda s: quality.summarise(contract_failures(s))),
         "layout_read": layout_read,
         "serial_id": serial_id,
         "load_verify": on_incidents(tables.verify_load),
