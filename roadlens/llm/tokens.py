@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import re
 from array import array
+from collections.abc import Iterable
 from functools import lru_cache
 
 #: Chunks whose ids a worker remembers at most, and the longest chunk worth remembering.
@@ -15,6 +16,17 @@ DIGITS = "0123456789"
 UPPER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
 
+# White space beside space, tab and line ends; blocks of marks that combine with letters.
+RARE_SPACE = (0x0B, 0x0C, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
+MARKS = (
+    (0x0300, 0x036F), (0x1AB0, 0x1AFF), (0x1DC0, 0x1DFF), (0x20D0, 0x20FF), (0x3099, 0x309A), (0xFE20, 0xFE2F),
+)
+
+
+def _any_of(codes: Iterable[int]) -> str:
+    return "[" + "".join(re.escape(chr(c)) for c in codes) + "]"
+
+
 class Encoder:
     """Encodes texts with a tokenizer file; each white-space-delimited chunk goes to the library once per worker.
 
@@ -34,14 +46,12 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         if self.tokenizer.get_vocab_size() > 1 << 16:
             raise ValueError("ids of more than 16 bits")
-        space = r"\x1c-\x1f"
-        if leading_space:
-            space += r"\x0b\x0c\x85\xa0  -     　"
-        self.rare = re.compile(f"[{space}]").search
+        space = [*range(0x1C, 0x20), *(RARE_SPACE if leading_space else ())]
+        self.rare = re.compile(_any_of(space)).search
         self.split = re.compile(r" ?[^ \t\n\r]+|[ \t\n\r]+(?![^ \t\n\r])|[ \t\n\r]+").findall if leading_space else str.split
         # a tokenizer that lowers case gives A-Z the ids of a-z, unless marks could combine with them
         self.lowers = not leading_space and self._ids(["A Z"]) == self._ids(["a z"])
-        self.marks = re.compile("[\u0300-\u036f\u1ab0-\u1aff\u1dc0-\u1dff\u20d0-\u20ff\u3099\u309a\ufe20-\ufe2f]").search
+        self.marks = re.compile(_any_of([c for first, last in MARKS for c in range(first, last + 1)])).search
         self.known: dict[str, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
