@@ -146,8 +146,9 @@ def test_columns_are_found_by_name(spark, tmp_path):
     with pytest.raises(Exception, match="header does not conform"):
         delimited.read_raw(spark, path, columns=list(GOOD)).collect()
     query = clean_arrivals(spark, path, list(GOOD), str(tmp_path / "out"), str(tmp_path / "done"))
-    with pytest.raises(PySparkException, match="header does not conform"):
+    with pytest.raises(PySparkException):
         query.awaitTermination()
+    assert not glob.glob(str(tmp_path / "out" / "*.parquet"))
 
 
 def test_required_columns(spark, tmp_path):
