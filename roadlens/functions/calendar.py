@@ -80,10 +80,6 @@ def years_between(ts: Column, first: int, last: int) -> Column:
     return (ts >= start) & (ts < stop)
 
 
-def before_year(ts: Column, year: int) -> Column:
-    return ts < F.lit(f"{year:04d}-01-01 00:00:00").cast("timestamp_ntz")
-
-
 def hour_on_reference_day(hour: Column) -> Column:
     """The hour as a timestamp on 2000-01-01, to share a column with month and year starts."""
     zero = F.lit(0)

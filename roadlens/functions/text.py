@@ -97,7 +97,7 @@ def zip_base(text: Column) -> Column:
 
 
 def strip_zone_prefix(text: Column) -> Column:
-    return F.when(text.startswith("US/"), F.substring(text, 4, 1 << 30)).otherwise(text)
+    return F.when(text.startswith("US/"), F.substr(text, F.lit(4))).otherwise(text)
 
 
 def contains_any(value: Column, words: Sequence[str]) -> Column:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -19,22 +21,28 @@ OTHER = "__other__"
 SKIPPED = ("ID", "Description", "id", "source_id", "description")
 
 
+def column(name: str) -> Column:
+    """A column by its name, whatever characters that holds."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def null_audit(df: DataFrame) -> DataFrame:
     """Type, missing rows and their share per column, worst first, with the table's totals.
 
     One scan that ends in one row, which is then turned into a row per column.
     """
     fields = df.schema.fields
-    counts = [F.expr(f"count_if(`{f.name}` IS NULL) AS m{i}") for i, f in enumerate(fields)]
-    with_missing = " + ".join(f"int(m{i} > 0)" for i in range(len(fields)))
-    rows = ", ".join(
-        f"struct('{f.name}' AS column_name, '{f.dataType.simpleString()}' AS dtype, m{i} AS missing_count)"
+    counts = [F.count_if(column(f.name).isNull()).alias(f"m{i}") for i, f in enumerate(fields)]
+    with_missing = reduce(add, [(F.col(f"m{i}") > 0).cast("bigint") for i in range(len(fields))])
+    rows = [
+        F.struct(F.lit(f.name).alias("column_name"), F.lit(f.dataType.simpleString()).alias("dtype"),
+                 F.col(f"m{i}").alias("missing_count"))
         for i, f in enumerate(fields)
-    )
-    one = df.agg(F.expr("count(*) AS total_rows"), *counts)
-    audit = one.selectExpr(
-        f"inline(array({rows}))", "total_rows", f"bigint({len(fields)}) AS total_columns",
-        f"bigint({with_missing}) AS columns_with_missing_values",
+    ]
+    one = df.agg(F.count("*").alias("total_rows"), *counts)
+    audit = one.select(
+        F.inline(F.array(*rows)), "total_rows", F.lit(len(fields)).cast("bigint").alias("total_columns"),
+        with_missing.alias("columns_with_missing_values"),
     )
     missing_pct = percent(F.col("missing_count"), F.col("total_rows"), 3)
     return audit.withColumn("missing_pct", missing_pct).orderBy(F.desc("missing_pct"), F.asc("column_name"))
@@ -55,7 +63,7 @@ def classify_columns(df: DataFrame, skip: Sequence[str] = SKIPPED, limit: int =
     kinds = {f.name: "categorical" for f in fields}
     if not numbers:
         return kinds
-    guess = df.agg(*[F.approx_count_distinct(f"`{c}`", 0.02).alias(c) for c in numbers]).first().asDict()
+    guess = df.agg(*[F.approx_count_distinct(column(c), 0.02).alias(c) for c in numbers]).first().asDict()
     near = [c for c in numbers if limit / 2 < guess[c] < limit * 2]
     if near:
         values = unpivot(df, near).distinct().groupBy("column_name").count()
@@ -67,7 +75,7 @@ def classify_columns(df: DataFrame, skip: Sequence[str] = SKIPPED, limit: int =
 def unpivot(df: DataFrame, columns: Sequence[str], dtype: str = "string") -> DataFrame:
     """(column_name, value) for every non-null value of the columns, in one pass over the rows."""
     cells = [
-        F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").cast(dtype).alias("value")) for c in columns
+        F.struct(F.lit(c).alias("column_name"), column(c).cast(dtype).alias("value")) for c in columns
     ]
     return df.select(F.inline(F.array(*cells))).filter(F.col("value").isNotNull())
 
@@ -153,7 +161,7 @@ def numeric_summary(df: DataFrame, columns: Sequence[str], exact: bool = True) -
     ``exact=False`` estimates the quartiles in the same scan as the rest.
     """
     def value(c: str) -> Column:
-        return F.col(f"`{c}`").cast("double")
+        return column(c).cast("double")
 
     aggregates = []
     for i, c in enumerate(columns):

@@ -588,10 +588,10 @@ def _checks() -> dict[str, str]:
         "null_audit": _null_audit(),
         "column_classes": _classes(),
         "column_profile": " UNION ALL ".join(_summary(c) for c in SUMMARISED),
-        "dq_not_null": f"""SELECT 'raw' AS model, column_name, 'not_null' AS "check", failures FROM (
-            SELECT 'Zipcode' AS column_name, count(*) FILTER (WHERE c % 50 = 0) AS failures FROM inc
-            UNION ALL SELECT 'Wind_Speed(mph)', count(*) FILTER (WHERE p % 37 = 0) FROM inc
-            UNION ALL SELECT 'City', 0)""",
+        "dq_not_null": " UNION ALL ".join(
+            f"""SELECT 'raw' AS model, '{name}' AS column_name, 'not_null' AS "check",
+            count(*) FILTER (WHERE {missing}) AS failures FROM inc""" for name, _, missing in _raw_columns()
+        ),
         "layout_read": f"""SELECT state, severity, CAST(year(start_time) AS INTEGER) AS year, {N} AS accident_count FROM inc
             WHERE year(start_time) BETWEEN 1997 AND 1998 GROUP BY ALL""",
         "load_verify": f"""SELECT 'total' AS section, 'all' AS value, {N} AS row_count FROM inc
@@ -619,8 +619,8 @@ def _checks() -> dict[str, str]:
         UNION ALL SELECT 'lineitem', 'l_suppkey', 'relationships',
           (SELECT count(*) FROM lineitem WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier)))"""
     out["serial_id"] = """SELECT row_number() OVER (
-        ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice) AS id,
-        l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice FROM lineitem"""
+        ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax,
+          l_returnflag, l_linestatus, l_shipdate) AS id, * FROM lineitem"""
     return out
 
 

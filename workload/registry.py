@@ -274,9 +274,10 @@ def layout_read(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def serial_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "lineitem")
     # the first four columns alone are not unique at every scale
     keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
-    rows = table(spark, sf_dir, "lineitem").select(*keys)
+    keys += [c for c in rows.columns if c not in keys]
     return number_rows(rows, [F.col(k).asc() for k in keys], "id")
 
 
@@ -334,7 +335,7 @@ def all_queries() -> dict[str, Query]:
         "stats_report": on_incidents(profile.stats_report),
         "column_profile": on_incidents(lambda d: profile.numeric_summary(d, SUMMARISED)),
         "value_frequencies": on_incidents(lambda d: profile.value_frequencies(d, PROFILED)),
-        "dq_not_null": on_raw(lambda r: quality.check_rows(r, "raw", ["Zipcode", "Wind_Speed(mph)", "City"])),
+        "dq_not_null": on_raw(lambda r: quality.check_rows(r, "raw", [c for c in r.columns if c != UNREADABLE])),
         "dq_unique": lambda s, d: quality.duplicates(table(s, d, "lineitem"), ["l_orderkey", "l_linenumber"]),
         "dq_accepted": dq_accepted,
         "dq_relationships": dq_relationships,
