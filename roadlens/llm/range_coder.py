@@ -2,10 +2,11 @@
 
 Three predictions of the next id are mixed. Orders 2 and 1 name the id that last
 followed the same two ids, or the same one; how often they were right lately, by
-how often in a row that entry was, is their chance. The rest goes to order 0: a
-prior that falls with the id, as vocabularies are sorted by frequency, plus the
-block's counts. A range coder writes each choice. Every block starts afresh and
-carries a checksum, so any block can be read by itself.
+how often in a row that entry was, is their chance. The rest goes to order 0: ids
+in groups of 16, with a prior that falls with the id, as vocabularies are sorted
+by frequency, plus the block's counts; in a group, the id seen last has more than
+half. A range coder writes each choice. Every block starts afresh and carries a
+checksum, so any block can be read by itself.
 """
 
 from __future__ import annotations
@@ -15,9 +16,9 @@ import zlib
 
 import numpy as np
 
-#: Ids in a block, and blocks coded side by side at most (about 0.1 MB of state each).
+#: Ids in a block, and blocks coded side by side at most (about 40 KB of state each).
 BLOCK = 4096
-LANES = 1400
+LANES = 2000
 HEAD = struct.Struct("<III")  # ids, words of 32 bits, crc32 of the ids
 
 SLOTS = 1 << 12  # entries of the tables of orders 1 and 2
@@ -25,22 +26,27 @@ SCALE = 15  # bits of the choice between the orders
 WEIGHT = 48  # what one occurrence adds to an id's prior
 TRUST = 9  # entries' states: 0 for none, then by hits in a row
 
-_ids = np.arange(1 << 16)
-_prior = 1 + 60_000 // (_ids + 60)
+GROUP = 4  # bits of an id that its group leaves open
+BITS = 16 - GROUP
+UNITS = 2 << GROUP  # shares of a group: 2 for each id, or 1 and the rest for the one seen last
+NONE = 255
+
+_groups = np.arange(1 << BITS)
+_prior = 1 + (60_000 >> GROUP) // (_groups + 4)
 PRIOR = int(_prior.sum())
 _sums = np.concatenate([[0], np.cumsum(_prior)])
-#: For each node of the binary tree over ids (root 1), the prior of its lower half.
-LOWER = np.zeros(1 << 16, np.int32)
-for _k in range(16):
-    _first = np.arange(1 << _k) << (16 - _k)
-    LOWER[1 << _k : 2 << _k] = _sums[_first + (1 << (15 - _k))] - _sums[_first]
-LEVELS = np.arange(16, dtype=np.int32)
-DEEPER = (LEVELS > np.arange(-1, 16, dtype=np.int32)[:, None]).astype(np.int32)  # by last level: the levels after it
+#: For each node of the binary tree over groups (root 1), the prior of its lower half.
+LOWER = np.zeros(1 << BITS, np.int32)
+for _k in range(BITS):
+    _first = np.arange(1 << _k) << (BITS - _k)
+    LOWER[1 << _k : 2 << _k] = _sums[_first + (1 << (BITS - 1 - _k))] - _sums[_first]
+LEVELS = np.arange(BITS, dtype=np.int32)
+DEEPER = (LEVELS > np.arange(-1, BITS, dtype=np.int32)[:, None]).astype(np.int32)  # by last level: the levels after it
 FIRST = np.int32(1) << LEVELS
-#: For each id the last level at which its path goes to the lower half, or -1.
-LAST_LOWER = np.full(1 << 16, -1, np.int8)
-for _k in range(16):
-    LAST_LOWER[(_ids >> (15 - _k) & 1) == 0] = _k
+#: For each group the last level at which its path goes to the lower half, or -1.
+LAST_LOWER = np.full(1 << BITS, -1, np.int8)
+for _k in range(BITS):
+    LAST_LOWER[(_groups >> (BITS - 1 - _k) & 1) == 0] = _k
 LOW32 = np.uint64(0xFFFFFFFF)
 B32 = np.uint64(32)
 
@@ -53,9 +59,8 @@ class _Model:
         self.tables = [(np.zeros(lanes * SLOTS, np.uint16), np.zeros(lanes * SLOTS, np.uint8)) for _ in range(2)]
         start = np.minimum(4000, 500 + 500 * np.arange(TRUST)).astype(np.int32)
         self.chances = [np.tile(start, lanes) for _ in range(2)]
-        # how often a path went to a node's lower half; the many deep nodes leave out a path that would pass 255
-        self.top = np.zeros(lanes << 8, np.int16)
-        self.deep = np.zeros(lanes << 16, np.uint8)
+        self.counts = np.zeros(lanes << BITS, np.int16)  # how often a path went to a node's lower half
+        self.last = np.full(lanes << BITS, NONE, np.uint8)  # the id of a group that was seen last
         self.seen = np.zeros(lanes, np.int64)
         self.before = [np.zeros(lanes, np.int64) for _ in range(2)]
 
@@ -88,47 +93,68 @@ class _Model:
         self.before[1][:m] = self.before[0][:m]
         self.before[0][:m] = ids
 
-    def path(self, lanes: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Each id's nodes, counted by lane; whether it goes to the upper half there; weight of the lower half."""
-        nodes = ids[:, None] >> (16 - LEVELS)
+    def _path(self, groups: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The nodes of each group's path, and whether it goes to the upper half there."""
+        nodes = groups[:, None] >> (BITS - LEVELS)
         nodes += FIRST
-        lower = LOWER.take(nodes)
-        nodes[:, :8] += (lanes << 8).astype(np.int32)[:, None]
-        nodes[:, 8:] += (lanes << 16).astype(np.int32)[:, None]
-        lower[:, :8] += self.top.take(nodes[:, :8]) * np.int32(WEIGHT)
-        lower[:, 8:] += self.deep.take(nodes[:, 8:]) * np.int32(WEIGHT)
-        return nodes, ids[:, None] >> (15 - LEVELS) & 1, lower
+        return nodes, groups[:, None] >> (BITS - 1 - LEVELS) & 1
+
+    def _count(self, lanes: np.ndarray, nodes: np.ndarray, upper: np.ndarray, groups, own_ids: np.ndarray) -> None:
+        """Adds one to the lower halves gone to; ``nodes`` are numbered by lane."""
+        self.counts[nodes] += (1 - upper).astype(np.int16)
+        self.last[(lanes << BITS) + groups] = own_ids
+        self.seen[lanes] += 1
 
     def span(self, lanes: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Order 0: weight of all smaller ids, and the id's own; counts the ids."""
-        nodes, upper, lower = self.path(lanes, ids.astype(np.int32))
-        last = LAST_LOWER.take(ids)
+        ids = ids.astype(np.int32)
+        groups, own_ids = ids >> GROUP, ids & ((1 << GROUP) - 1)
+        nodes, upper = self._path(groups)
+        lower = LOWER.take(nodes)
+        nodes += (lanes << BITS).astype(np.int32)[:, None]
+        lower += self.counts.take(nodes) * np.int32(WEIGHT)
+        last = LAST_LOWER.take(groups)
         whole = np.where(last >= 0, lower[np.arange(len(ids)), last], self.total(lanes))
         own = whole - np.einsum("ij,ij->i", lower, DEEPER.take(last + 1, axis=0))
         below = np.einsum("ij,ij->i", lower, upper)
-        self.top[nodes[:, :8]] += (1 - upper[:, :8]).astype(np.int16)
-        deep, went = nodes[:, 8:], upper[:, 8:] == 0
-        held = self.deep.take(deep)
-        full = ((held == 255) & went).any(axis=1)
-        self.deep[deep] = held + (went & ~full[:, None])
-        self.seen[lanes] += 1
-        return below, own
+        before, share = self._share(self.last[(lanes << BITS) + groups].astype(np.int32), own_ids)
+        self._count(lanes, nodes, upper, groups, own_ids)
+        return below * np.int64(UNITS) + before * own, share * own
+
+    @staticmethod
+    def _share(last: np.ndarray, own_ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Units of a group before an id, and its own."""
+        most = UNITS - (1 << GROUP)  # what the last id has beside its one unit
+        fresh = last == NONE
+        before = np.where(fresh, 2 * own_ids, own_ids + most * (own_ids > last))
+        return before, np.where(fresh, 2, 1 + most * (own_ids == last))
 
     def total(self, lanes: np.ndarray) -> np.ndarray:
         return PRIOR + WEIGHT * self.seen[lanes]
 
-    def find(self, lanes: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """The ids whose spans hold ``at``."""
-        node, at = np.ones(len(lanes), np.int32), at.astype(np.int32)
-        for counts, shift in ((self.top, 8), (self.deep, 16)):
-            base = (lanes << shift).astype(np.int32)
-            for _ in range(8):
-                lower = counts.take(base + node) * np.int32(WEIGHT)
-                lower += LOWER.take(node)
-                upper = at >= lower
-                at -= lower * upper
-                node += node + upper
-        return node - (1 << 16)
+    def find(self, lanes: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The ids whose spans hold ``at``, with these spans as ``span`` gives them; counts the ids."""
+        node, units = np.ones(len(lanes), np.int32), at.astype(np.int32)
+        rest, own = units // UNITS, self.total(lanes).astype(np.int32)
+        start, base = rest.copy(), (lanes << BITS).astype(np.int32)
+        for _ in range(BITS):
+            lower = self.counts.take(base + node) * np.int32(WEIGHT)
+            lower += LOWER.take(node)
+            upper = rest >= lower
+            rest -= lower * upper
+            own = np.where(upper, own - lower, lower)
+            node += node + upper
+        groups = node - np.int32(1 << BITS)
+        below = (start - rest) * np.int64(UNITS)
+        unit = ((units - below) // own).astype(np.int32)
+        last, most = self.last[base + groups].astype(np.int32), UNITS - (1 << GROUP)
+        own_ids = np.where(unit < last, unit, np.where(unit <= last + most, last, unit - most))
+        own_ids = np.where(last == NONE, unit >> 1, own_ids)
+        before, share = self._share(last, own_ids)
+        nodes, upper = self._path(groups)
+        nodes += base[:, None]
+        self._count(lanes, nodes, upper, groups, own_ids)
+        return (groups << GROUP) + own_ids, below + before * own, share * own
 
 
 class _Range:
@@ -191,7 +217,7 @@ def _encode_lanes(ids: np.ndarray, block: int) -> bytes:
         flush(all_lanes)
         miss = np.flatnonzero(~hit2 & ~hit1)
         if len(miss):
-            total = model.total(miss).astype(np.uint64)
+            total = (UNITS * model.total(miss)).astype(np.uint64)
             below, own = model.span(miss, now[miss])
             coder.narrow(miss, coder.width[miss] // total, below, own)
             flush(miss)
@@ -255,11 +281,10 @@ def _decode_lanes(blocks: list[tuple[int, int, np.ndarray]]) -> list[np.ndarray]
         now = np.where(hit2, two, one).astype(np.int64)
         miss = np.flatnonzero(~hit2 & ~hit1)
         if len(miss):
-            total = model.total(miss)
+            total = UNITS * model.total(miss)
             step = coder.width[miss] // total.astype(np.uint64)
             at = np.minimum((code[miss] - coder.low[miss]) // step, total.astype(np.uint64) - np.uint64(1))
-            now[miss] = model.find(miss, at)
-            below, own = model.span(miss, now[miss])
+            now[miss], below, own = model.find(miss, at)
             coder.narrow(miss, step, below, own)
             fill(miss)
         model.learn(now)
