@@ -21,10 +21,11 @@ def components(links: DataFrame) -> DataFrame:
     was = _figures(stars)
     while was[0]:
         both = stars.select("u", "v").unionByName(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        # written, so that the join deals out both sides itself and can cut a hot node's links over tasks
+        least = settle(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
         large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         large = settle(large)
-        lower = large.groupBy("u").agg(F.min("v").alias("m"))
+        lower = settle(large.groupBy("u").agg(F.min("v").alias("m")))
         small = large.join(lower, "u").filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         stars = settle(_down(small.unionByName(lower.select("u", F.col("m").alias("v")))))
         now = _figures(stars)
