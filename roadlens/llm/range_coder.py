@@ -56,7 +56,7 @@ class _Model:
 
     def __init__(self, lanes: int) -> None:
         self.lane = np.arange(lanes)
-        self.tables = [(np.zeros(lanes * SLOTS, np.uint16), np.zeros(lanes * SLOTS, np.uint8)) for _ in range(2)]
+        self.tables = [np.zeros(lanes * SLOTS, np.uint32) for _ in range(2)]  # an entry: its state, then 16 bits of id
         start = np.minimum(4000, 500 + 500 * np.arange(TRUST)).astype(np.int32)
         self.chances = [np.tile(start, lanes) for _ in range(2)]
         self.counts = np.zeros(lanes << BITS, np.int16)  # how often a path went to a node's lower half
@@ -71,10 +71,11 @@ class _Model:
             lane * SLOTS + (((two * 0x9E3779B1 + one * 0x85EBCA6B) >> 9) & (SLOTS - 1)),
             lane * SLOTS + (((one * 0x9E3779B1) >> 9) & (SLOTS - 1)),
         ]
-        self.named = [ids[at] for (ids, _), at in zip(self.tables, self.at, strict=True)]
-        self.trust = [trust[at] for (_, trust), at in zip(self.tables, self.at, strict=True)]
+        entries = [table.take(at) for table, at in zip(self.tables, self.at, strict=True)]
+        self.named = [(e & 0xFFFF).astype(np.int32) for e in entries]
+        self.trust = [(e >> 16).astype(np.int32) for e in entries]
         self.cell = [lane * TRUST + t for t in self.trust]
-        self.chance = [c[cell] for c, cell in zip(self.chances, self.cell, strict=True)]
+        self.chance = [c.take(cell) for c, cell in zip(self.chances, self.cell, strict=True)]
         share2 = np.where(self.trust[0] > 0, self.chance[0] << (SCALE - 12), 0)
         share1 = np.where(self.trust[1] > 0, ((1 << SCALE) - share2) * self.chance[1] >> 12, 0)
         same = (self.named[0] == self.named[1]) & (self.trust[0] > 0)
@@ -88,8 +89,8 @@ class _Model:
             hit = (self.named[k] == ids) & (self.trust[k] > 0)
             goal = np.where(hit, 4032, 48)
             self.chances[k][self.cell[k]] += ((goal - self.chance[k]) >> 4).astype(np.int32)
-            self.tables[k][1][self.at[k]] = np.where(hit, np.minimum(self.trust[k] + 1, TRUST - 1), 1)
-            self.tables[k][0][self.at[k]] = ids
+            state = np.where(hit, np.minimum(self.trust[k] + 1, TRUST - 1), 1)
+            self.tables[k][self.at[k]] = (state << 16) + ids
         self.before[1][:m] = self.before[0][:m]
         self.before[0][:m] = ids
 
@@ -180,7 +181,7 @@ class _Range:
 
 def encode(ids: np.ndarray, block: int = BLOCK) -> bytes:
     """``ids`` (below 2^16) as blocks, one after the other."""
-    ids = np.asarray(ids, np.int64)
+    ids = np.asarray(ids).astype("<u2")
     count = -(-len(ids) // block)
     side = _side(count)
     return b"".join(
@@ -197,16 +198,16 @@ def _encode_lanes(ids: np.ndarray, block: int) -> bytes:
     lanes = -(-len(ids) // block)
     sizes = np.minimum(block, len(ids) - block * np.arange(lanes))
     model, coder = _Model(lanes), _Range(lanes)
-    words, used = np.zeros((lanes, 2 * int(sizes[0]) + 2), np.uint32), np.zeros(lanes, np.int64)
+    written: list[tuple[np.ndarray, np.ndarray]] = []
 
     def flush(where: np.ndarray) -> None:
         out, word = coder.shift(where)
-        words[out, used[out]] = word
-        used[out] += 1
+        if len(out):
+            written.append((out.astype(np.int32), word.astype("<u4")))
 
     for t in range(int(sizes[0])):
         m = lanes if t < sizes[-1] else lanes - 1  # only the last block is shorter
-        now, all_lanes = ids[t : t + (m - 1) * block + 1 : block], model.lane[:m]
+        now, all_lanes = ids[t : t + (m - 1) * block + 1 : block].astype(np.int64), model.lane[:m]
         two, one, share2, share1 = model.shares(m)
         hit2 = (two == now) & (share2 > 0)
         hit1 = (one == now) & (share1 > 0) & ~hit2
@@ -222,12 +223,15 @@ def _encode_lanes(ids: np.ndarray, block: int) -> bytes:
             coder.narrow(miss, coder.width[miss] // total, below, own)
             flush(miss)
         model.learn(now)
-    words[np.arange(lanes), used] = coder.low >> B32
-    words[np.arange(lanes), used + 1] = coder.low & LOW32
-    out = []
-    for i, n in enumerate(sizes.tolist()):
-        raw = ids[i * block : i * block + n].astype("<u2").tobytes()
-        out += [HEAD.pack(n, int(used[i]) + 2, zlib.crc32(raw)), words[i, : used[i] + 2].astype("<u4").tobytes()]
+    written += [(model.lane.astype(np.int32), half.astype("<u4")) for half in (coder.low >> B32, coder.low & LOW32)]
+    of_lane = np.concatenate([lane for lane, _ in written])
+    words = np.concatenate([word for _, word in written])[np.argsort(of_lane, kind="stable")]
+    ends = np.cumsum(np.bincount(of_lane, minlength=lanes))
+    out, first = [], 0
+    for i, (n, end) in enumerate(zip(sizes.tolist(), ends.tolist(), strict=True)):
+        raw = ids[i * block : i * block + n].tobytes()
+        out += [HEAD.pack(n, end - first, zlib.crc32(raw)), words[first:end].tobytes()]
+        first = end
     return b"".join(out)
 
 
@@ -247,7 +251,7 @@ def decode(data: bytes) -> np.ndarray:
     side = _side(len(blocks))
     for first in range(0, len(blocks), side):
         out += _decode_lanes(blocks[first : first + side])
-    return np.concatenate(out) if out else np.zeros(0, np.int64)
+    return np.concatenate(out) if out else np.zeros(0, "<u2")
 
 
 def _decode_lanes(blocks: list[tuple[int, int, np.ndarray]]) -> list[np.ndarray]:
@@ -260,7 +264,7 @@ def _decode_lanes(blocks: list[tuple[int, int, np.ndarray]]) -> list[np.ndarray]
     model, coder = _Model(lanes), _Range(lanes)
     code = words[:, 0] << B32 | words[:, 1]
     used = np.full(lanes, 2)
-    ids = np.zeros((lanes, int(sizes.max(initial=0))), np.int64)
+    ids = np.zeros((lanes, int(sizes.max(initial=0))), "<u2")
 
     def fill(where: np.ndarray) -> None:
         out, _ = coder.shift(where)
@@ -292,6 +296,6 @@ def _decode_lanes(blocks: list[tuple[int, int, np.ndarray]]) -> list[np.ndarray]
     out: list = [None] * lanes
     for k, i in enumerate(order):
         out[i] = ids[k, : sizes[k]]
-        if zlib.crc32(out[i].astype("<u2").tobytes()) != blocks[i][1]:
+        if zlib.crc32(out[i].tobytes()) != blocks[i][1]:
             raise ValueError("a block fails its checksum")
     return out
