@@ -9,7 +9,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from roadlens.llm import decontaminate, language_id, line_dedup, ngram_join, packing, personal_data
+from roadlens.llm import decontaminate, language_id, language_model, line_dedup, ngram_join, packing, personal_data
 from roadlens.llm import quality_classifier, quality_rules, range_coder, token_files
 from roadlens.llm.components import components
 from roadlens.llm.context_tree import ContextTree, log_kt, text_bytes
@@ -213,6 +213,28 @@ def test_context_tree_is_a_distribution():
     assert tree.log_chances(text_bytes([b"abra"])[0]).sum() > tree.log_chances(text_bytes([b"qzxw"])[0]).sum()
 
 
+def test_scores_are_those_of_the_tree_of_all_grams(spark, monkeypatch):
+    draw = random.Random(4)
+    texts = ["".join(draw.choice("abcdé ") for _ in range(draw.randint(0, 200))) for _ in range(60)]
+    learned, scored = made(spark, [(i, t, "en", "a") for i, t in enumerate(texts[:40])]), texts[20:] + ["xyz qqq", "\u4e2d"]
+    grams = text_bytes([t.encode() for t in texts[:40]])[0]
+    tree = ContextTree([np.unique(grams & np.uint64((1 << (8 * d + 8)) - 1), return_counts=True) for d in range(6)])
+    expected = [tree.log_chances(text_bytes([t.encode()])[0]).sum() / np.log(10) for t in scored]
+    for share in (1e-7, 1e-3, 1.0):  # all, some and no chances broadcast: at 10 GB, 1e-7 is a count of 1000
+        monkeypatch.setattr(language_model, "FREQUENT_GRAMS", share)
+        rows = score_texts(made(spark, [(i, t, "en", "a") for i, t in enumerate(scored)]), *learn(learned)).collect()
+        assert [r["score"] for r in sorted(rows, key=lambda r: r["doc_id"])] == pytest.approx(expected, rel=1e-4)
+
+
+def test_rare_grams_count_in_a_large_corpus(spark):
+    texts = ["ab " * 400_000] * 30 + ["quiz zephyr"]  # at 36 MB, a share of 1e-7 is more than three bytes
+    grams = text_bytes([t.encode() for t in texts])[0]
+    tree = ContextTree([np.unique(grams & np.uint64((1 << (8 * d + 8)) - 1), return_counts=True) for d in range(6)])
+    docs = made(spark, [(i, t, "en", "a") for i, t in enumerate(texts)])
+    rows = score_texts(docs.filter("doc_id = 30"), *learn(docs)).collect()
+    assert rows[0]["score"] == pytest.approx(tree.log_chances(text_bytes([b"quiz zephyr"])[0]).sum() / np.log(10), rel=1e-4)
+
+
 def test_filter_corrects_for_false_positives():
     grams = np.random.default_rng(1).integers(-(2**62), 2**62, 6000)
     rows = [("a", int(g)) for g in grams[:4000]] + [("b", int(g)) for g in grams[3000:]]
