@@ -8,7 +8,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roadlens.llm.base import pieces, rows_out, schema_of
@@ -30,9 +30,36 @@ CUES = frozenset(
 EXAMPLES = frozenset("password changeme secret example test null none true false xxxxxxxx 12345678 undefined".split())
 PREFIXES = ("AKIA", "ASIA", "ghp_", "gho_", "sk-", "sk_live_", "xoxb-", "xoxp-", "AIza", "eyJ", "glpat-", "-----BEGIN")
 
-#: What may be a span beside the base ones: a run of token characters that mixes digits with letters, or a long one.
+#: Words that may stand between a cue and its value.
+FILLERS = frozenset("number no nr nummer num numero número numéro id is ist es est code".split())
+TITLES = frozenset("Mr Mrs Ms Miss Dr Prof Herr Frau Monsieur Madame Mme Señor Señora Sr Sra".split())
+#: Given names; with a capitalised word behind, or a title before, they make a name. Other names are not known.
+NAMES = frozenset("""
+Adam Alain Alejandro Alexander Alice Amanda Amy Ana Andrea Andreas Andrew Angela Anna Anne Anthony Antonio Barbara
+Benjamin Bernard Birgit Brian Camille Carlos Carmen Catherine Charles Charlotte Christian Christine Christopher Claire
+Claudia Daniel David Deborah Diego Donald Dorothy Edward Elena Elisabeth Elizabeth Emily Emma Eric Eva Fernando Florian
+Francisco Frank Frédéric Gabriel George Gérard Hans Heike Helen Helga Henry Isabel Isabelle Jack Jacob Jacques James Jan
+Javier Jean Jennifer Jessica Joan John Jonas Jorge Joseph José Juan Juan Julia Julie Julien Jürgen Karen Karin Katharina
+Kevin Klaus Laura Lea Linda Lisa Louis Lucas Lucía Luis Lukas Manuel Marco Margaret María Marie Mark Markus Martin Mary
+Matthew Max Michael Michel Miguel Monika Nancy Nathalie Nicolas Olivier Pablo Patricia Paul Pedro Peter Petra Philippe
+Pierre Rafael Rebecca Richard Robert Rosa Ruth Sabine Samuel Sandra Sarah Sebastian Sharon Sofía Sophie Stefan Stephen
+Steven Susan Susanne Sylvie Teresa Thomas Ursula Valérie Véronique Walter William Wolfgang
+""".split())
+
+#: Runs of token characters, candidates where they mix digits with letters or begin like a known key.
 CANDIDATE = re.compile(r"[A-Za-z0-9_\-+/.~]{6,}+")
-LABELERS = ("known_prefix", "hex", "key_shape", "cue", "assigned", "quoted", "mixed", "example", "word_like")
+#: What stands behind a cue: a filler, marks, then groups of digits or a run up to white space or a mark.
+BEHIND = re.compile(
+    rf"(?:[\x20\t]+(?:{'|'.join(sorted(FILLERS))})(?![\w])\.?)?[\x20\t\"'=:#]{{1,8}}"
+    r"([0-9]{2,}+(?:[\x20-][0-9]{2,}+)*+(?![\w-])|[^\s\"'<>,;=()]+)", re.I,
+)
+SOCIAL = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
+IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
+CAPITAL = r"[A-ZÀ-ÖØ-Þ][a-zA-ZÀ-ÖØ-öø-ÿ'’-]+"
+NAME = re.compile(rf"(?<!\w)({CAPITAL})\.?((?:\x20[A-Z]\.)?(?:\x20{CAPITAL}){{1,3}})")
+LABELERS = (
+    "known_prefix", "hex", "key_shape", "cue", "assigned", "quoted", "mixed", "example", "word_like", "shape", "name",
+)
 #: Candidates with votes that the classifier is trained on at most; votes of all are counted.
 SAMPLE = 20_000
 ROUNDS = 60
@@ -96,49 +123,112 @@ def base_spans(text: str) -> list[Span]:
     return out
 
 
-def candidates(text: str, taken: list[Span]) -> Iterator[tuple[int, int]]:
-    """Runs that may hold a secret or an identifier, outside the spans taken: digits and letters, or a known prefix."""
-    covered = sorted((a, b) for _, a, b in taken)
-    k = 0
+def _lowered(text: str) -> str:
+    low = text.lower()
+    return low if len(low) == len(text) else re.sub("[A-Z]+", lambda m: m.group().lower(), text)
+
+
+def _behind_cues(text: str) -> Iterator[tuple[int, int]]:
+    low = _lowered(text)
+    for cue in CUES:
+        at = low.find(cue)
+        while at >= 0:
+            end = at + len(cue)
+            if not (at and (low[at - 1].isalnum() or low[at - 1] == "_")) and (m := BEHIND.match(text, end)):
+                a, b = m.span(1)
+                b -= len(m.group(1)) - len(m.group(1).rstrip(".:!?]}"))
+                if b > a:
+                    yield a, b
+            at = low.find(cue, end)
+
+
+def iban(value: str) -> bool:
+    value = value.replace(" ", "")
+    return 15 <= len(value) <= 34 and int("".join(str(int(c, 36)) for c in value[4:] + value[:4])) % 97 == 1
+
+
+def candidates(text: str, taken: list[Span]) -> Iterator[tuple[int, int, int, int, str]]:
+    """What may be personal or secret outside the spans taken: start, end, and start, end and kind of the run it is of.
+
+    Runs are given by patterns (``shape``), by the name list (``name``), and as tokens that begin like a known key or
+    mix digits and letters, or stand behind a cue (``token``). Of runs that overlap the one found first in this order
+    stays, whole; of a run that overlaps a base span, what is left of it.
+    """
+    runs = [(*m.span(), "shape") for m in SOCIAL.finditer(text)]
+    runs += [(*m.span(), "shape") for m in IBAN.finditer(text) if iban(m.group())]
+    for m in NAME.finditer(text):
+        if m.group(1) in NAMES:
+            runs.append((*m.span(), "name"))
+        elif m.group(1) in TITLES:
+            runs.append((m.start(2) + 1, m.end(2), "name"))
     for m in CANDIDATE.finditer(text):
-        a, b = m.span()
-        b -= len(m.group()) - len(m.group().rstrip(".-/"))
-        value = text[a:b]
-        if value.isalpha() or b - a < 6:
-            continue
-        if not (_mixed(value) or value.startswith(PREFIXES)):
-            continue
-        while k < len(covered) and covered[k][1] <= a:
+        value = m.group().rstrip(".-/")
+        if value.startswith(PREFIXES) or (len(value) >= 6 and _mixed(value)):
+            runs.append((m.start(), m.start() + len(value), "token"))
+    runs += [(a, b, "token") for a, b in sorted(set(_behind_cues(text)))]
+    if not runs:
+        return
+    base = sorted((a, b) for _, a, b in taken)
+    kept: list[tuple[int, int, str]] = []
+    end = -1
+    order = {"shape": 0, "name": 1, "token": 2}
+    for a, b, kind in sorted(runs, key=lambda r: (r[0], order[r[2]], -r[1])):
+        if a >= end:
+            kept.append((a, b, kind))
+            end = b
+        elif order[kind] < order[kept[-1][2]]:  # a token that a pattern or the list knows better
+            kept[-1] = (a, b, kind)
+            end = max(end, b)
+    k = 0
+    for a, b, kind in kept:
+        while k < len(base) and base[k][1] <= a:
             k += 1
-        if k < len(covered) and covered[k][0] < b:
-            continue
-        yield a, b
+        at, j = a, k
+        while at < b:
+            stop = min(b, base[j][0]) if j < len(base) else b
+            piece = text[at:stop]
+            if core := piece.strip("./-+_~ ") if (at, stop) != (a, b) else piece:
+                first = at + piece.index(core)
+                yield first, first + len(core), a, b, kind
+            if j == len(base) or base[j][0] >= b:
+                break
+            at = max(at, base[j][1])
+            j += 1
 
 
 def _mixed(value: str) -> bool:
     return any(c in "0123456789" for c in value) and any(c.isalpha() for c in value)
 
 
-def votes(text: str, a: int, b: int) -> str:
-    """Each labeler's vote on a span: + personal or secret, - not, 0 no opinion."""
+def votes(text: str, a: int, b: int, kind: str = "token") -> str:
+    """Each labeler's vote on a run: + personal or secret, - not, 0 no opinion, as on kinds that it does not know."""
     value, before = text[a:b], text[max(0, a - 40) : a]
-    bare = before.rstrip(" \t\"'=:")
+    bare = before.rstrip(" \t\"'=:#")
     joint = before[len(bare) :]
-    cue = re.split(r"[^\w]+", bare.lower())[-1] if bare else ""
+    words = [w for w in re.split(r"[^\w]+", bare.lower()) if w]
+    if words and words[-1] in FILLERS and bare[-1:] in (".", *words[-1]):
+        words.pop()
+    cue = bool(words) and words[-1] in CUES
+    token = kind == "token"
     digits = sum(c in "0123456789" for c in value)
     hexes = all(c in "0123456789abcdefABCDEF" for c in value)
     upper = value.isupper()
     longest = max(map(len, re.split(r"[^A-Za-z]+", value)))
+    assigned, known = "=" in joint or ":" in joint, value.startswith(PREFIXES)
+    told = known or (cue and assigned)  # then letters alone say nothing against it
     return "".join((
-        "+" if value.startswith(PREFIXES) else "0",
+        "+" if known else "0",
         "+" if hexes and len(value) >= 16 and digits >= 4 else "0",
-        "+" if upper and len(value) >= 16 and digits >= 1 else "0",
-        "+" if cue in CUES else "0",
-        "+" if "=" in joint or ":" in joint else "-",
+        "+" if token and upper and len(value) >= 16 and (digits >= 1 or known) else "0",
+        "+" if cue else "0",
+        "+" if assigned else "0" if not token or cue and digits >= 4 else "-",
         "+" if joint[-1:] in ("'", '"') and joint[-1:] else "0",
-        "+" if len(value) >= 10 and digits >= 3 and len(value) - digits >= 3 else "-" if digits < 2 else "0",
+        "+" if token and len(value) >= 10 and digits >= 3 and len(value) - digits >= 3
+        else "-" if token and digits < 2 and not told else "0",
         "-" if value.lower() in EXAMPLES else "0",
-        "-" if longest >= 0.75 * len(value) and not upper else "0",
+        "-" if token and longest >= 0.75 * len(value) and not upper and not told else "0",
+        "+" if kind == "shape" else "0",
+        "+" if kind == "name" else "0",
     ))
 
 
@@ -153,16 +243,17 @@ def span_features(value: str, pattern: str) -> list[float]:
     ]
 
 
-def _found(text: str) -> tuple[list[Span], list[tuple[int, int, str]]]:
+def _found(text: str) -> tuple[list[Span], list[tuple[int, int, str, str]]]:
+    """Base spans, and candidates: start, end, the votes on the run and the run's text."""
     base = base_spans(text)
-    return base, [(a, b, votes(text, a, b)) for a, b in candidates(text, base)]
+    return base, [(a, b, votes(text, c, d, kind), text[c:d]) for a, b, c, d, kind in candidates(text, base)]
 
 
 def _count_votes(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counted: dict[str, int] = {}
     for piece in pieces(batches):
         for text in piece["text"]:
-            for _, _, pattern in _found(text)[1]:
+            for _, _, pattern, _ in _found(text)[1]:
                 counted[pattern] = counted.get(pattern, 0) + 1
     yield rows_out(VOTED, {"pattern": list(counted), "n": list(counted.values())})
 
@@ -173,9 +264,9 @@ def _draw(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for piece in pieces(batches):
         out: dict[str, list] = {name: [] for name in DRAWN.names}
         for doc_id, text in zip(piece["doc_id"], piece["text"], strict=True):
-            for a, b, pattern in _found(text)[1]:
+            for a, _, pattern, value in _found(text)[1]:
                 out["pattern"].append(pattern)
-                out["features"].append(span_features(text[a:b], pattern))
+                out["features"].append(span_features(value, pattern))
                 out["draw"].append(xxhash.xxh3_64_intdigest(f"{doc_id}:{a}") % 1_000_000)
         yield rows_out(DRAWN, out)
 
@@ -250,18 +341,13 @@ def learn_spans(docs: DataFrame, sample: int = SAMPLE) -> SpanModel:
     chances, _ = reliabilities([p for p, _ in rows], np.array([n for _, n in rows], float))
     total = sum(n for _, n in rows)
     share = min(1_000_000, round(1e6 * sample / max(1, total)))
-    drawn = texts.filter(_likely()).mapInArrow(_draw, schema_of(DRAWN)).filter(F.col("draw") < share).collect() if total else []
+    drawn = texts.mapInArrow(_draw, schema_of(DRAWN)).filter(F.col("draw") < share).collect() if total else []
     drawn.sort(key=lambda r: (r["pattern"], r["features"]))
     by_pattern = dict(zip([p for p, _ in rows], chances, strict=True))
     x = np.array([r["features"] for r in drawn]).reshape(len(drawn), len(FEATURES))
     return fit_spans(x, np.array([by_pattern[r["pattern"]] for r in drawn]))
 
 
-def _likely() -> Column:
-    """Texts without a digit hold no candidate but a known prefix, which is a word then."""
-    return F.col("text").rlike("[0-9]")
-
-
 def _finder(shared) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def find(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: SpanModel = shared.value
@@ -271,8 +357,8 @@ def _finder(shared) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBa
                 base, maybe = _found(text)
                 added: list[Span] = []
                 if maybe:
-                    chance = model.chance(np.array([span_features(text[a:b], p) for a, b, p in maybe]))
-                    added = [("secret", a, b) for (a, b, _), c in zip(maybe, chance, strict=True) if c >= 0.5]
+                    chance = model.chance(np.array([span_features(value, p) for _, _, p, value in maybe]))
+                    added = [("secret", a, b) for (a, b, _, _), c in zip(maybe, chance, strict=True) if c >= 0.5]
                 named = [f"{k}:{a}:{b}" for k, a, b in base]
                 counts = [sum(k == kind for k, _, _ in base) for kind in KINDS]
                 values = (doc_id, *counts, named, named + [f"{k}:{a}:{b}" for k, a, b in added])
