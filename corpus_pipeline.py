@@ -48,9 +48,8 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of near duplicates the document with the least doc_id."""
-    found = ngram_join(docs).filter(F.col("doc_id").eqNullSafe(F.col("class_id")))
-    return _only(docs, found).dropDuplicates(["doc_id", "text"])
+    """Of each class of near duplicates one document: the least doc_id, nulls last, then the least key of the text."""
+    return _only(docs, ngram_join(docs).filter("first")).dropDuplicates(["doc_id", "text"])
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -183,11 +183,12 @@ def _verifier(similarity: float) -> Callable[[Iterable[pa.RecordBatch]], Iterato
 def ngram_join(docs: DataFrame, n: int = WORDS, similarity: float = SIMILARITY) -> DataFrame:
     """Near duplicates among ``docs`` (doc_id, text): one row per row.
 
-    Columns: doc_id, row (hash of the text), copy_id, class_id, n_links, grams.
+    Columns: doc_id, row (hash of the text), copy_id, class_id, n_links, grams, first.
     Texts with the same set of word n-grams are copies; copy_id is the least
     doc_id among them. Two sets are linked if their Jaccard similarity is at
     least ``similarity``; n_links counts the other sets that a text's set is
-    linked to; class_id is the least doc_id of all that links connect.
+    linked to; class_id is the least doc_id of all that links connect. first marks the row of each class with
+    the least doc_id and then row, nulls last, and its equals.
 
     MinHash bands shuffle one short row per set and band; equal band hashes hang
     sets on the least one of their bucket, which gives groups of candidates, not
@@ -234,19 +235,23 @@ def ngram_join(docs: DataFrame, n: int = WORDS, similarity: float = SIMILARITY)
     links = settle(compared.mapInArrow(_verifier(similarity), schema_of(FOUND)))
     counts = links.groupBy("node").agg(F.sum("links").alias("n_links"))
     joined = components(links.select(F.col("node").alias("u"), F.col("other").alias("v")))
-    classes = nodes.select("node", "copy_id").join(joined, "node", "left").join(counts, "node", "left")
+    classes = nodes.select("node", "copy_id", "doc_id", "row").join(joined, "node", "left").join(counts, "node", "left")
     classes = settle(classes.withColumn("root", F.coalesce("root", "node")))
-    ids = classes.groupBy("root").agg(F.min("copy_id").alias("class_id"))
-    classes = classes.join(ids, "root").select("node", "copy_id", "class_id", "n_links")
+    least = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("least")
+    ids = classes.groupBy("root").agg(F.min("copy_id").alias("class_id"), least)
+    classes = classes.join(ids, "root").select(
+        "node", "copy_id", "class_id", "n_links", F.col("least.doc_id").alias("least_id"), F.col("least.row").alias("least_row")
+    )
+    first = F.col("key").isNull() | F.col("doc_id").eqNullSafe(F.col("least_id")) & (F.col("row") == F.col("least_row"))
     return signed.join(classes, signed.key == classes.node, "left").select(
         "doc_id", "row", F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("copy_id")).alias("copy_id"),
         F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
-        F.coalesce("n_links", F.lit(0)).alias("n_links"), "grams",
+        F.coalesce("n_links", F.lit(0)).alias("n_links"), "grams", first.alias("first"),
     )
 
 
 def ngram_join_sql(documents: str = "documents", n: int = WORDS, similarity: float = SIMILARITY) -> str:
-    """DuckDB SQL of ``ngram_join`` (without row): all pairs that share an n-gram, no bands."""
+    """DuckDB SQL of ``ngram_join`` (without row and first): all pairs that share an n-gram, no bands."""
     lower = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
     return f"""
 WITH RECURSIVE w AS (

@@ -76,7 +76,7 @@ def op9_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join(table(spark, sf_dir, "documents")).drop("row")
+    return ngram_join(table(spark, sf_dir, "documents")).drop("row", "first")
 
 
 QUERIES: dict[str, Query] = {

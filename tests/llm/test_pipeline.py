@@ -66,6 +66,20 @@ def test_one_document_of_each_class_stays(stages):
     assert texts(stages[3]).items() <= texts(stages[2]).items()
 
 
+def test_one_of_each_class_stays_without_or_with_equal_ids(spark):
+    words = [f"w{i}" for i in range(100)]
+    near = [" ".join([*words[:99], f"end{i}"]) for i in range(6)]
+    far = [" ".join(f"{c}{w}" for w in words) for c in "abc"]
+    rows = [(None, near[0]), (None, near[1]), (None, near[2]), (None, far[0]), (5, far[1]), (None, ""), (7, "")]
+    for ids in (None, 3):  # near copies of null doc_ids only, then of one doc_id too
+        made = [*rows, *([(ids, t) for t in near[3:]] if ids else [])]
+        docs = spark.createDataFrame([(i, t, "en", "a", len(t)) for i, t in made], "doc_id long, text string, lang string, source string, n_chars long")
+        kept = [(r["doc_id"], r["text"]) for r in corpus_pipeline.near_duplicates(spark, docs, SMALL).collect()]
+        left = [k for k in kept if k[1] in near]
+        assert len(left) == 1 and left[0][0] == ids
+        assert sorted((str(i), t) for i, t in kept if t not in near) == sorted((str(i), t) for i, t in rows if t not in near)
+
+
 def test_benchmark_windows_are_gone(stages):
     windows = set()
     for item in pq.read_table(f"{SMALL}/benchmark.parquet").column("text").to_pylist():
