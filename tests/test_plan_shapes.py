@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 
 import pytest
+from conftest import SMALL
 from pyspark.sql import functions as F
 
 from roadlens.operators import aggregate as agg
@@ -13,6 +14,7 @@ from roadlens.plans import build, models, star
 from roadlens.plans.questions import QUESTIONS
 from roadlens.sources import tables
 from roadlens.sources.schema import FLAGS
+from workload import registry
 
 
 @pytest.fixture(scope="module")
@@ -56,6 +58,13 @@ def test_models_start_no_job(spark, table):
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
+def test_highlights_make_their_marts_in_each_call(spark, monkeypatch):
+    written, materialise = [], registry.tables.materialise
+    monkeypatch.setattr(registry.tables, "materialise", lambda df, path, *a: written.append(path) or materialise(df, path, *a))
+    first, again = (registry.highlights(spark, SMALL).collect() for _ in range(2))
+    assert first == again and len(set(written)) == 6
+
+
 def test_highlights_leave_out_the_cities(table):
     view = build.views(table)
     text = plan(models.highlights(*[build.marts(view)[m] for m in ("mart_funnel", "mart_geo", "mart_weather_poi")]))

@@ -84,17 +84,11 @@ MARTS = {
 }
 
 
-_written: dict[tuple[str, str, str], str] = {}
-
-
 def written_mart(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A mart as the build leaves it: written once per session, then read."""
-    key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _written:
-        path = folder(spark, name)
-        tables.materialise(MARTS[name](staged(spark, sf_dir)), path)
-        _written[key] = path
-    return spark.read.parquet(_written[key])
+    """A mart as the build leaves it: written, then read; each call writes it anew, so its work is part of the query."""
+    path = folder(spark, name)
+    tables.materialise(MARTS[name](staged(spark, sf_dir)), path)
+    return spark.read.parquet(path)
 
 
 def highlights(spark: SparkSession, sf_dir: str) -> DataFrame:
