@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadlens.llm.base import remainder, table
+from roadlens.llm.best_fit import best_fit
 from roadlens.llm.decontaminate import contamination_digest, find_contamination
 from roadlens.llm.language_id import identify, learn_languages
 from roadlens.llm.language_model import learn, score_texts
@@ -18,6 +19,7 @@ from roadlens.llm.ngram_join import ngram_join, ngram_join_sql
 from roadlens.llm.oracle_contamination import contamination_sql
 from roadlens.llm.oracle_quality import quality_sql
 from roadlens.llm.packing import packed
+from roadlens.llm.period_runs import periodic_runs
 from roadlens.llm.personal_data import find_personal_data, learn_spans, spans_digest
 from roadlens.llm.quality_classifier import CUT, learn_quality, score_quality
 from roadlens.llm.quality_rules import quality_rules
@@ -79,6 +81,41 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join(table(spark, sf_dir, "documents")).drop("row", "first")
 
 
+def planted(docs: DataFrame) -> DataFrame:
+    """``docs`` with periods written into every tenth text, as the contract of the periodic runs says."""
+    hashed = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    words = F.filter(F.split("text", "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
+    n, g = F.size(words), F.floor(hashed / 10)
+    a = (g % n).cast("int")
+    period = (F.floor((n - a) / (g % 8 + 3)) + 1).cast("int")
+    # n - a words of the period's repeats
+    repeats = F.flatten(F.array_repeat(F.slice(words, a + 1, period), F.ceil((n - a) / period).cast("int")))
+    new = F.concat_ws(" ", F.slice(words, F.lit(1), a), F.slice(repeats, F.lit(1), n - a))
+    return docs.select("doc_id", F.when((hashed % 10 == 0) & (n > 0), new).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs(planted(table(spark, sf_dir, "documents")))
+    # by length / period, compared exactly; runs are in order of start and period, so the first of equals stays
+    best = F.aggregate(
+        F.slice("runs", 2, F.greatest(F.size("runs") - 1, F.lit(0))),
+        F.try_element_at("runs", F.lit(1)),
+        lambda x, y: F.when(y["length"] * x["period"] > x["length"] * y["period"], y).otherwise(x),
+    )
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return best_fit(table(spark, sf_dir, "documents"), path, with_ids=False).drop("ids", "part", "row")
+
+
 QUERIES: dict[str, Query] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_token_files": op2_token_files,
@@ -90,6 +127,8 @@ QUERIES: dict[str, Query] = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_language_model": op9_language_model,
     "op10_ngram_join": op10_ngram_join,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op13_best_fit": op13_best_fit,
 }
 ORACLES: dict[str, str] = {
     "op10_ngram_join": ngram_join_sql(),
