@@ -123,7 +123,8 @@ class LagScan:
             for k in range(1, self.repeats):
                 hit &= word[at] == word[at + k * q]
                 at, q, hit = at[hit], q[hit], hit[hit]
-            for ahead in (1, 2, 3, 5, 8, 13):  # all inside the run: the lag is above SHORT
+            # with three repeats or more these are all inside the run, as the lag is above SHORT
+            for ahead in (1, 2, 3, 5, 8, 13) if self.repeats > 2 else ():
                 hit = word[at + ahead] == word[at + ahead + q]
                 at, q = at[hit], q[hit]
             for a, p in zip(at.tolist(), q.tolist(), strict=True):

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from roadlens.llm.base import remainder, table
 from roadlens.llm.best_fit import best_fit
+from roadlens.llm.collocations import collocations, collocations_sql
 from roadlens.llm.decontaminate import contamination_digest, find_contamination
 from roadlens.llm.language_id import identify, learn_languages
 from roadlens.llm.language_model import learn, score_texts
@@ -111,6 +112,10 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 def op13_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     return best_fit(table(spark, sf_dir, "documents"), path, with_ids=False).drop("ids", "part", "row")
@@ -128,10 +133,12 @@ QUERIES: dict[str, Query] = {
     "op9_language_model": op9_language_model,
     "op10_ngram_join": op10_ngram_join,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_collocations": op12_collocations,
     "op13_best_fit": op13_best_fit,
 }
 ORACLES: dict[str, str] = {
     "op10_ngram_join": ngram_join_sql(),
+    "op12_collocations": collocations_sql(),
     "op1_line_dedup": dedup_lines_sql(),
     "op3_decontamination": contamination_sql(),
     "op5_quality_rules": quality_sql(),

@@ -61,16 +61,17 @@ def words_of(texts: pa.Array, classes: np.ndarray, lower: bool = False) -> Words
     edges = begins[:-1][begins[:-1] < begins[1:]]
     starts[edges] = inside[edges]
     first_byte = np.flatnonzero(starts)
+    first = np.searchsorted(first_byte, begins)
+    # a word ends before a byte outside, or where the next text begins
+    stops = inside.copy()
+    stops[:-1] &= ~inside[1:]
+    stops[edges[1:] - 1] = inside[edges[1:] - 1]
+    bounds = np.append(0, np.cumsum(np.flatnonzero(stops) + 1 - first_byte))
     own = raw[inside]
     if lower:
         own = np.where((own >= 65) & (own <= 90), own | np.uint8(32), own)
-    bounds = np.append(np.cumsum(inside, dtype=np.int64)[first_byte] - 1, len(own))
-    values = pa.Array.from_buffers(
-        pa.large_binary(), len(first_byte), [None, pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(own))]
-    )
-    first = np.searchsorted(first_byte, begins)
-    piece = np.cumsum(kind == BREAK, dtype=np.int64)[first_byte] if (classes == BREAK).any() else np.zeros(len(first_byte), np.int64)
-    piece += np.repeat(np.arange(len(texts)), np.diff(first))
+    values = pa.Array.from_buffers(pa.large_binary(), len(first_byte), [None, pa.py_buffer(bounds), pa.py_buffer(own)])
+    piece = np.searchsorted(np.flatnonzero(kind == BREAK), first_byte) + np.repeat(np.arange(len(texts)), np.diff(first))
     return Words(values, first, piece)
 
 
