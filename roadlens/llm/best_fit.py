@@ -144,7 +144,8 @@ def best_fit(
     slots = spark.createDataFrame(plan.slots, SLOTS)
     rank = F.col("earlier") + F.col("nth")
     taken = (F.col("rank") >= F.col("first")) & (F.col("rank") < F.col("last"))
-    heads = tokens.join(earlier, ["part", "length"]).withColumn("rank", rank)
+    # as many rows as parts have lengths, which grows with the table: not for a broadcast
+    heads = tokens.join(earlier.hint("merge"), ["part", "length"]).withColumn("rank", rank)
     placed = heads.join(F.broadcast(slots), (F.col("length") == F.col("of")) & taken)
     head = F.col("piece") == 0
     spans = placed.select("*", F.posexplode("crcs").alias("piece", "ids_crc32")).select(
