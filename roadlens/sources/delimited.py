@@ -6,11 +6,15 @@ import csv
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from roadlens.sources.quoted import first_lines, read_quoted
 from roadlens.sources.schema import NULL_TOKENS, RENAME, TYPES, UNREADABLE, raw_schema, text_schema
 
 QUOTING = {"quote": '"', "escape": '"'}
+#: One record, which may hold line breaks as they are.
+RECORD = {**QUOTING, "multiLine": "true", "lineSep": "\n"}
 #: How times stand in files.
 TIMES = {"timestampNTZFormat": "yyyy-MM-dd HH:mm:ss", "timestampFormat": "yyyy-MM-dd HH:mm:ss"}
 _MALFORMED = "_malformed"
@@ -21,47 +25,63 @@ def header_of(spark: SparkSession, path: str) -> list[str]:
     return spark.read.options(header=True, **QUOTING).csv(path).columns
 
 
-def headers_of(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
-    """The files under ``path`` by their column names; only first lines are read."""
-    found: dict[tuple[str, ...], list[str]] = {}
-    for file in sorted(spark.read.text(path).inputFiles()):
-        if line := _first_line(spark, file):
-            found.setdefault(tuple(next(csv.reader([line]))), []).append(file)
-    return found
-
-
-def _first_line(spark: SparkSession, file: str) -> str | None:
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(file))
-    stream = path.getFileSystem(conf).open(path)
-    try:
-        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(path)
-        unpacked = codec.createInputStream(stream) if codec else stream
-        return jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(unpacked, "UTF-8")).readLine()
-    finally:
-        stream.close()
-
-
 def read_raw(spark: SparkSession, path: str, columns=None, multi_line: bool = True) -> DataFrame:
     """Raw files with their types, every spelling of "missing" as NULL.
 
     Columns are found by the names in each file's header, in whatever order;
     with ``columns`` given, a file with another header stops the job. A row with
     a field that cannot be read as its type, or with too few or too many fields,
-    is marked in the column UNREADABLE. Line breaks inside quotes are kept; a
-    file is then read by one task, so cut the data into many. Without
-    ``multi_line`` large files are split: only for data known to hold no line
-    break in quotes, as the pieces of such a row are marked or dropped.
+    is marked in the column UNREADABLE. Line breaks inside quotes are kept, and
+    large files are cut over many tasks all the same (``read_quoted``): the lines
+    are read once when this is called, and again with the result. Without
+    ``multi_line`` a line is a row: only for data known to hold no line break in
+    quotes, as the pieces of such a row are marked or dropped.
     """
-    headers = {tuple(columns): [path]} if columns else headers_of(spark, path)
-    if not headers:
+    if multi_line:
+        found = [(_columns_of(q.header), q) for q in read_quoted(spark, path)]
+    else:
+        found = [(_columns_of(h), files) for h, files in headers_of(spark, path).items()]
+    if not found:
         raise ValueError(f"no file with a header under {path}")
-    reader = spark.read.options(header=True, multiLine=multi_line, **READING)
-    frames = [typed_raw(reader.schema(malformed_schema(h)).csv(files)) for h, files in headers.items()]
-    return reduce(DataFrame.unionByName, frames)
+    if columns and any(names != list(columns) for names, _ in found):
+        raise ValueError(f"a header does not conform to the columns given: {path}")
+    frames = []
+    for names, files in found:
+        schema = malformed_schema(names)
+        reader = spark.read.options(header=True, multiLine=multi_line, **READING).schema(schema)
+        if not multi_line:
+            frames.append(reader.csv(files))
+            continue
+        record = F.from_csv("value", _ddl(schema), {**RECORD, **MALFORMED})
+        frames.append(files.records.select(record.alias("record")).select("record.*"))
+        if files.irregular:
+            frames.append(reader.csv([_path_of(spark, f) for f in files.irregular]))
+    return reduce(DataFrame.unionByName, [typed_raw(f) for f in frames])
+
+
+def headers_of(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """The files under ``path`` by their first line, which tasks find; the driver opens none."""
+    found: dict[str, list[str]] = {}
+    for r in first_lines(spark, path).collect():
+        found.setdefault(r["header"], []).append(_path_of(spark, r["file"]))
+    return found
+
+
+def _path_of(spark: SparkSession, file: str) -> str:
+    """A path as readers take it, from one as rows name it."""
+    return spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(file)).toString()
+
+
+def _columns_of(line: str) -> list[str]:
+    return next(csv.reader([line.lstrip("\ufeff").rstrip("\r")]))
+
+
+def _ddl(schema: T.StructType) -> str:
+    return ", ".join(f"`{f.name.replace('`', '``')}` string" for f in schema)
 
 
-READING = {**QUOTING, "mode": "PERMISSIVE", "enforceSchema": False, "columnNameOfCorruptRecord": _MALFORMED}
+MALFORMED = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _MALFORMED}
+READING = {**QUOTING, **MALFORMED, "enforceSchema": False}
 
 
 def malformed_schema(columns) -> T.StructType:
