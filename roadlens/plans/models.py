@@ -35,15 +35,24 @@ def _nothing(df: DataFrame, heading: Column, counts: Sequence[str]) -> DataFrame
 # ---------------------------------------------------------------- temporal --
 
 
+def temporal_cells(staged: DataFrame) -> DataFrame:
+    """Additive measures per month and hour, from which all of the temporal model is made."""
+    return staged.groupBy(
+        calendar.month_start(F.col("start_time")).alias("month"), F.col("hour_of_day").alias("hour")
+    ).agg(*agg.additive())
+
+
 def int_temporal(staged: DataFrame, partial_year: int = PARTIAL_YEAR) -> DataFrame:
     """Monthly and yearly counts with change, and hourly counts.
 
     The hourly period is the hour on a reference day; ``avg_duration_mins``
     carries the hour there, as it does in the published layout.
     """
-    cells = staged.groupBy(
-        calendar.month_start(F.col("start_time")).alias("month"), F.col("hour_of_day").alias("hour")
-    ).agg(*agg.additive())
+    return temporal_model(temporal_cells(staged), partial_year)
+
+
+def temporal_model(cells: DataFrame, partial_year: int = PARTIAL_YEAR) -> DataFrame:
+    """``int_temporal`` from cells; a cell may come in several rows, which are added up."""
     month = F.col("month").cast("timestamp_ntz")
     year = F.when(F.year("month") < partial_year, F.trunc("month", "year").cast("timestamp_ntz"))
     hour = calendar.hour_on_reference_day(F.col("hour"))
@@ -150,8 +159,20 @@ def int_weather_poi(
     staged: DataFrame, flags: Sequence[str] = MODEL_FLAGS, pair: tuple[str, str] = ("junction", "traffic_signal")
 ) -> DataFrame:
     """Per weather, visibility and light; and per flag, severity where true and where false."""
-    grouped = [*ENVIRONMENT.values(), *dict.fromkeys([*flags, *pair])]
-    cells = staged.groupBy(*grouped).agg(*agg.additive())
+    return weather_poi_model(weather_poi_cells(staged, flags, pair), flags, pair)
+
+
+def weather_poi_cells(
+    staged: DataFrame, flags: Sequence[str] = MODEL_FLAGS, pair: tuple[str, str] = ("junction", "traffic_signal")
+) -> DataFrame:
+    """Additive measures per weather, visibility, light and flags."""
+    return staged.groupBy(*ENVIRONMENT.values(), *dict.fromkeys([*flags, *pair])).agg(*agg.additive())
+
+
+def weather_poi_model(
+    cells: DataFrame, flags: Sequence[str] = MODEL_FLAGS, pair: tuple[str, str] = ("junction", "traffic_signal")
+) -> DataFrame:
+    """``int_weather_poi`` from cells; a cell may come in several rows, which are added up."""
     a, b = (F.col(c) for c in pair)
     both_names = ("junction_and_signal", "junction + signal")
     states = {f: (f, F.col(f)) for f in flags}
@@ -166,7 +187,7 @@ def int_weather_poi(
     split = cells.select(F.explode(F.array(*facets)).alias("f"), *agg.ADDITIVE)
     # the flags have a row each, also where nothing was selected
     flag_facets = F.array(*[facet(kind, F.lit(label), yes) for kind, (label, _) in states.items()])
-    split = split.unionByName(_nothing(staged, F.explode(flag_facets).alias("f"), agg.ADDITIVE))
+    split = split.unionByName(_nothing(cells, F.explode(flag_facets).alias("f"), agg.ADDITIVE))
     sides = agg.add_up(split, ["f.kind", "f.category", "f.side"])
 
     def on(side: bool, column: str) -> Column:
@@ -207,9 +228,13 @@ def mart_weather_poi(weather_poi: DataFrame, top: int = TOP_WEATHER) -> DataFram
 # ------------------------------------------------------------------ funnel --
 
 
-def int_funnel(staged: DataFrame, partial_year: int = PARTIAL_YEAR) -> DataFrame:
-    """Severity funnels overall, by light and by context, and monthly cohorts."""
-    cells = staged.groupBy(
+#: The steps of a severity funnel.
+STEPS = ("total", "sev_2_plus", "sev_3_plus", "critical")
+
+
+def funnel_cells(staged: DataFrame) -> DataFrame:
+    """Funnel steps per light, context and month, from which all funnels are made."""
+    return staged.groupBy(
         "light_condition_category", "incident_context", calendar.month_start(F.col("start_time")).alias("month")
     ).agg(
         F.count("*").alias("total"),
@@ -217,7 +242,16 @@ def int_funnel(staged: DataFrame, partial_year: int = PARTIAL_YEAR) -> DataFrame
         F.count_if(F.col("severity") >= 3).alias("sev_3_plus"),
         agg.critical("critical"),
     )
-    counts = ("total", "sev_2_plus", "sev_3_plus", "critical")
+
+
+def int_funnel(staged: DataFrame, partial_year: int = PARTIAL_YEAR) -> DataFrame:
+    """Severity funnels overall, by light and by context, and monthly cohorts."""
+    return funnel_model(funnel_cells(staged), partial_year)
+
+
+def funnel_model(cells: DataFrame, partial_year: int = PARTIAL_YEAR) -> DataFrame:
+    """``int_funnel`` from cells; a cell may come in several rows, which are added up."""
+    counts = STEPS
     month = F.when(F.year("month") < partial_year, F.date_format("month", "yyyy-MM"))
     facets = _facets(
         ("overall", F.lit("all")),
@@ -228,7 +262,7 @@ def int_funnel(staged: DataFrame, partial_year: int = PARTIAL_YEAR) -> DataFrame
     cohort = F.col("funnel_dimension") == "monthly_cohort"
     sums = (
         cells.select(F.explode(facets).alias("f"), *counts)
-        .unionByName(_nothing(staged, F.explode(_facets(("overall", F.lit("all")))).alias("f"), counts))
+        .unionByName(_nothing(cells, F.explode(_facets(("overall", F.lit("all")))).alias("f"), counts))
         .select(F.col("f.tag").alias("funnel_dimension"), F.col("f.value").alias("dimension_value"), *counts)
         .filter(~cohort | F.col("dimension_value").isNotNull())
         .groupBy("funnel_dimension", "dimension_value")

@@ -6,6 +6,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -68,16 +70,34 @@ def settle(df: DataFrame) -> DataFrame:
 
     Used where several branches read one result: the work before it runs once,
     later branches read only their columns, and a lost executor cannot change
-    or undo what was written. ``discard`` deletes it when nothing reads it any more.
+    or undo what was written. The shuffle files of the work are deleted as soon
+    as it is written; ``discard`` deletes what was written when nothing reads it
+    any more.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/roadlens-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with _freeing_shuffles(spark):
+        df.write.parquet(path)
     settled = spark.read.schema(df.schema).parquet(path)
     settled.settled_at = path
     return settled
 
 
+@contextmanager
+def _freeing_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Spark deletes shuffle files of queries run meanwhile when they end, not when the driver collects its garbage."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def discard(settled: DataFrame) -> None:
     """Deletes what ``settle`` wrote for the frame it returned."""
     jvm, conf = settled.sparkSession._jvm, settled.sparkSession._jsc.hadoopConfiguration()
