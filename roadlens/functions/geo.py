@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -66,6 +67,31 @@ def grid_cell(lat: Column, lng: Column, step: float) -> tuple[Column, Column]:
     return F.floor(lat / F.lit(step)), F.floor(lng / F.lit(step))
 
 
+def morton(numbers: Sequence[Column], bits: int) -> Column:
+    """One number of the lowest ``bits`` bits of several, in turn: near in it is near in all of them.
+
+    Shifted right by as many bits as there are numbers, it is that of the numbers shifted by one.
+    """
+    code = F.lit(0).cast("bigint")
+    for bit in range(bits):
+        for i, n in enumerate(numbers):
+            own = F.shiftright(n.cast("bigint"), bit).bitwiseAND(F.lit(1).cast("bigint"))
+            code = code.bitwiseOR(F.shiftleft(own, bit * len(numbers) + i))
+    return code
+
+
+def from_morton(code: Column, of: int, bits: int) -> list[Column]:
+    """The ``of`` numbers of ``bits`` bits that ``morton`` made one of."""
+    out = []
+    for i in range(of):
+        n = F.lit(0).cast("bigint")
+        for bit in range(bits):
+            own = F.shiftright(code, bit * of + i).bitwiseAND(F.lit(1).cast("bigint"))
+            n = n.bitwiseOR(F.shiftleft(own, bit))
+        out.append(n)
+    return out
+
+
 def severity_colour(severity: Column) -> Column:
     colour = F.when(F.lit(False), F.array().cast("array<int>"))
     for level, rgba in SEVERITY_COLOURS.items():

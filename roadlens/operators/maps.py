@@ -8,8 +8,8 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roadlens.functions.geo import grid_cell, hex_cell, hex_centre, severity_colour
-from roadlens.functions.numbers import mean, percent
+from roadlens.functions.geo import from_morton, grid_cell, hex_cell, hex_centre, morton, severity_colour
+from roadlens.functions.numbers import mean, percent, ratio
 from roadlens.functions.predicates import build_predicate
 from roadlens.operators.aggregate import avg_duration, avg_severity, critical_rate, distinct_values, incidents
 
@@ -84,6 +84,40 @@ def heat_grid(df: DataFrame, step: float = 0.5, weight: Column | None = None, sc
     )
 
 
+#: Bits of a cell's row and column in a pyramid, half of them below zero.
+CELL_BITS = 20
+
+
+def heat_pyramid(df: DataFrame, step: float = 0.5, levels: int = 6) -> DataFrame:
+    """``heat_grid`` at ``step`` and at ``levels`` - 1 steps that double each time, from one scan.
+
+    Rows are added up to cells of the finest level, each known by a Morton code.
+    Shifted by two bits that is the code of the cell four of them make, so every
+    coarser level is added up from cells, not rows. Columns: level (0: the
+    finest), step, cell (the code), cell_row, cell_col, accident_count,
+    mean_weight (of severity), lat and lng of the centre.
+    """
+    row, col = grid_cell(F.col("start_lat"), F.col("start_lng"), step)
+    half = 1 << CELL_BITS - 1
+    code = morton([row + half, col + half], CELL_BITS)
+    located = df.filter("start_lat IS NOT NULL AND start_lng IS NOT NULL")
+    finest = located.groupBy(code.alias("cell")).agg(
+        incidents(), F.sum("severity").alias("severity_sum"), F.count("severity").alias("severity_n")
+    )
+    level = F.explode(F.sequence(F.lit(0), F.lit(levels - 1)))
+    sums = (
+        finest.withColumn("level", level)
+        .groupBy("level", F.expr("shiftright(cell, 2 * level)").alias("cell"))
+        .agg(*[F.sum(c).alias(c) for c in ("accident_count", "severity_sum", "severity_n")])
+    )
+    place = [n - F.call_function("shiftright", F.lit(half).cast("bigint"), F.col("level")) for n in from_morton(F.col("cell"), 2, CELL_BITS)]
+    size = F.lit(step) * F.pow(F.lit(2.0), "level")
+    return sums.select(
+        F.col("level").cast("bigint").alias("level"), size.alias("step"), "cell", place[0].alias("cell_row"),
+        place[1].alias("cell_col"), "accident_count", ratio(F.col("severity_sum"), F.col("severity_n"), 3).alias("mean_weight"),
+    ).withColumns({c: (F.col(f"cell_{n}") + F.lit(0.5)) * F.col("step") for c, n in (("lat", "row"), ("lng", "col"))})
+
+
 def selection_statistics(df: DataFrame, filters: Mapping[str, Any]) -> DataFrame:
     """One row on a selection: count, averages, critical rate, and count and share per severity."""
     levels = (1, 2, 3, 4)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from roadlens.functions.numbers import percent
+from roadlens.operators import quantiles
 from roadlens.operators.ordering import in_ranges
 
 # Fixed values of the report.
@@ -119,6 +120,17 @@ def value_frequencies(
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]) -> DataFrame:
     """Quantiles with linear interpolation between neighbours, as (column_name, p, value).
 
+    Sketches bound them, and only values near a quantile are shuffled
+    (``quantiles``); the scans run when this is called. Where bounds fail, all
+    values are.
+    """
+    found = quantiles.exact_quantiles(df, columns, probabilities)
+    return quantiles_in_ranges(df, columns, probabilities) if found is None else found
+
+
+def quantiles_in_ranges(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]) -> DataFrame:
+    """The same from all values, without sketches.
+
     Equal values are counted first. The distinct values are laid out in key
     ranges; from each range's total follows which ranges hold a wanted rank,
     and only those are searched.
@@ -202,17 +214,9 @@ def numeric_summary(df: DataFrame, columns: Sequence[str], exact: bool = True) -
 
 
 def classification(df: DataFrame, skip: Sequence[str] = SKIPPED, limit: int = CATEGORICAL_UP_TO) -> DataFrame:
-    """(column_name, kind) per column, from one scan; numbers' distinct values are counted exactly."""
-    fields = [f for f in df.schema.fields if f.name not in skip]
-    numbers = [f.name for f in fields if _is_number(f)]
-    others = df.sparkSession.range(1).select(
-        F.inline(F.array(*[F.struct(F.lit(f.name).alias("column_name"), F.lit("categorical").alias("kind")) for f in fields]))
-    )
-    if not numbers:
-        return others
-    values = unpivot(df, numbers).distinct().groupBy("column_name").agg(F.count("*").alias("n"))
-    numeric = values.filter(F.col("n") > limit).select("column_name", F.lit("numeric").alias("is"))
-    return others.join(numeric, "column_name", "left").select("column_name", F.coalesce("is", "kind").alias("kind"))
+    """(column_name, kind) per column, as ``classify_columns`` finds it; the scan runs when this is called."""
+    kinds = classify_columns(df, skip, limit)
+    return df.sparkSession.createDataFrame(list(kinds.items()), "column_name string, kind string")
 
 
 def profile(df: DataFrame, skip: Sequence[str] = SKIPPED, exact: bool = True) -> tuple[DataFrame, DataFrame]:
@@ -224,7 +228,10 @@ def profile(df: DataFrame, skip: Sequence[str] = SKIPPED, exact: bool = True) ->
 
 
 def stats_report(df: DataFrame, skip: Sequence[str] = SKIPPED, exact: bool = True) -> DataFrame:
-    """The whole statistics report in one table: frequencies and summaries, and on each row the report's header."""
+    """The whole statistics report in one table: frequencies and summaries, and on each row the report's header.
+
+    Columns are told apart and quartiles bounded when this is called; the rest runs with the result.
+    """
     skipped = [c for c in df.columns if c in skip]
     frequencies, summaries = profile(df, skip, exact)
     rows = frequencies.drop("unique_values_total", "truncated_to_top_n").withColumn("kind", F.lit("categorical"))

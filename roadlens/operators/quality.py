@@ -66,10 +66,55 @@ def orphans(child: DataFrame, key: str, parent: DataFrame, parent_key: str) -> D
     return used.join(known, "_key", "left_anti").withColumnRenamed("_key", key)
 
 
+#: Bytes of bitmaps a row may cost; more are not worth it, as keys lie too far apart.
+BITMAP_BYTES = 8
+_BUCKET = 32768  # keys of one bitmap
+
+
+def orphans_by_bitmap(child: DataFrame, key: str, parent: DataFrame, parent_key: str) -> DataFrame:
+    """``orphans`` for whole-number keys that lie close together, without shuffling keys that have a parent.
+
+    Both sides' keys become bitmaps of 32 768 neighbouring numbers, which are
+    exact and are all that is shuffled of them. Where both sides' bits are more
+    than the parent's, orphans are among the keys: only those rows go on to the
+    join. Keys too far apart for bitmaps, or of another type, go there at once.
+    The extremes of the keys are read when this is called.
+    """
+    whole = ("tinyint", "smallint", "int", "bigint")
+    if dict(child.dtypes)[key] not in whole or dict(parent.dtypes)[parent_key] not in whole:
+        return orphans(child, key, parent, parent_key)
+    used, known = child.select(F.col(key).cast("bigint").alias("k")), parent.select(F.col(parent_key).cast("bigint").alias("k"))
+    for side in (used, known):
+        low, high, rows = side.agg(F.min("k"), F.max("k"), F.count("k")).collect()[0]
+        if rows and (high - low) // 8 > BITMAP_BYTES * rows + _BUCKET:
+            return orphans(child, key, parent, parent_key)
+    bitmaps = _bitmaps(used, False).unionByName(_bitmaps(known, True))
+    every, parents = F.bitmap_or_agg("bits"), F.bitmap_or_agg(F.when(F.col("known"), F.col("bits")))
+    suspect = (
+        bitmaps.groupBy("bucket")
+        .agg(F.bitmap_count(every).alias("every"), F.coalesce(F.bitmap_count(parents), F.lit(0)).alias("parents"))
+        .filter("every > parents")
+        .select(F.col("bucket").alias("_suspect"))
+    )
+
+    def in_suspect(df: DataFrame, name: str) -> DataFrame:
+        bucket = F.bitmap_bucket_number(F.col(name).cast("bigint"))
+        return df.select(name).join(suspect, bucket == F.col("_suspect"), "left_semi")
+
+    return orphans(in_suspect(child, key), key, in_suspect(parent, parent_key), parent_key)
+
+
+def _bitmaps(keys: DataFrame, known: bool) -> DataFrame:
+    bits = F.bitmap_construct_agg(F.bitmap_bit_position("k")).alias("bits")
+    grouped = keys.filter("k IS NOT NULL").groupBy(F.bitmap_bucket_number("k").alias("bucket")).agg(bits)
+    return grouped.withColumn("known", F.lit(known))
+
+
 def check_relationship(
-    child: DataFrame, model: str, key: str, parent: DataFrame, parent_key: str
+    child: DataFrame, model: str, key: str, parent: DataFrame, parent_key: str, find=orphans
 ) -> DataFrame:
-    found = orphans(child, key, parent, parent_key).agg(F.coalesce(F.sum("n_records"), F.lit(0)).alias("n"))
+    """Rows of ``child`` whose key has no row in ``parent``; ``find`` is how, ``orphans`` or ``orphans_by_bitmap``."""
+    found = find(child, key, parent, parent_key).agg(F.coalesce(F.sum("n_records"), F.lit(0)).alias("n"))
     return _rows(found, model, key, "relationships", F.col("n"))
 
 

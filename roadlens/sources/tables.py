@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from roadlens.functions.geo import morton
 from roadlens.operators.ordering import number_by_key, number_rows, ranges_of
 from roadlens.session import discard, settle
 from roadlens.sources.schema import RENAME, REQUIRED, TABLE_COLUMNS, TYPES
+from roadlens.sources.versions import is_versioned, publish, read_version
 
 
 def rename_columns(df: DataFrame, names: Mapping[str, str] = RENAME) -> DataFrame:
@@ -42,6 +44,7 @@ def load_table(
 ) -> DataFrame:
     """Replaces the table at ``path`` by the clean rows, renamed, typed and numbered.
 
+    The rows are a new version of the table (``publish``): a load that fails leaves the old one.
     The clean rows are written once before they are put in order, as ordering
     reads its input twice; that copy is deleted afterwards. Without ``order_by``
     they are numbered as they arrive, which needs no shuffle. ``ranges`` is the
@@ -49,16 +52,18 @@ def load_table(
     """
     rows = require(typed(rename_columns(clean)))
     if not order_by:
-        with_serial_id(rows, order_by).write.mode("overwrite").parquet(path)
-        return clean.sparkSession.read.parquet(path)
+        return publish(with_serial_id(rows, order_by), path)
     copy = settle(rows)
+    try:
+        return publish(_numbered(copy, order_by, ranges), path)
+    finally:
+        discard(copy)
+
+
+def _numbered(copy: DataFrame, order_by: Sequence[str], ranges: int | None) -> DataFrame:
     if len(order_by) == 1 and isinstance(copy.schema[order_by[0]].dataType, T.IntegralType):
-        numbered = number_by_key(copy, order_by[0], "id", ranges or ranges_of(copy)).select("id", *copy.columns)
-    else:
-        numbered = with_serial_id(copy, order_by, ranges=ranges)
-    numbered.write.mode("overwrite").parquet(path)
-    discard(copy)
-    return clean.sparkSession.read.parquet(path)
+        return number_by_key(copy, order_by[0], "id", ranges or ranges_of(copy)).select("id", *copy.columns)
+    return with_serial_id(copy, order_by, ranges=ranges)
 
 
 def write_layout(
@@ -82,6 +87,92 @@ def write_layout(
     df.sortWithinPartitions("year", *sort_by).write.mode("overwrite").partitionBy("year").parquet(path)
 
 
+#: Values that a column to cluster on may have, as its ranks are broadcast.
+MOST_VALUES = 10_000
+#: Ranks of each column go from 0 to 2 to this power.
+RANK_BITS = 4
+CLUSTERED = ("state", "severity", "incident_context", "hour_of_day")
+
+
+def write_clustered(
+    df: DataFrame, path: str, by: Sequence[str] = CLUSTERED, spread_by: str = "id", files: int | None = None
+) -> DataFrame:
+    """The table as a new version in which each file holds few values of every column in ``by``.
+
+    Values become ranks by the share of rows before them, and a row's place is
+    the Morton code of its ranks: files are ranges of it, so their minima and
+    maxima let a filter on any one of the columns, or on several, skip most of
+    them. A hash after the code cuts a frequent one over many files. Columns of
+    more than MOST_VALUES values stop the job; NULL ranks first.
+    """
+    spark = df.sparkSession
+    cells = [F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in by]
+    counts = df.select(F.inline(F.array(*cells))).groupBy("column_name", "value").agg(F.count("*").alias("n"))
+    found = counts.limit(len(by) * MOST_VALUES + 1).collect()
+    ranked = df
+    for i, c in enumerate(by):
+        values = [(r["value"], r["n"]) for r in found if r["column_name"] == c]
+        if len(values) > MOST_VALUES or len(found) > len(by) * MOST_VALUES:
+            raise ValueError(f"{c} has too many values to cluster on")
+        text = isinstance(df.schema[c].dataType, T.StringType)
+        values.sort(key=lambda v: (v[0] is not None, (v[0] if text else _number(v[0])) if v[0] is not None else 0))
+        total, before, ranks = sum(n for _, n in values), 0, []
+        for value, n in values:
+            ranks.append((value, min((1 << RANK_BITS) - 1, ((2 * before + n) << RANK_BITS) // (2 * total))))
+            before += n
+        names = spark.createDataFrame(ranks, f"_value{i} string, _rank{i} int")
+        ranked = ranked.join(F.broadcast(names), F.col(c).cast("string").eqNullSafe(F.col(f"_value{i}")), "left")
+    # the first column decides first
+    code = morton([F.coalesce(F.col(f"_rank{i}"), F.lit(0)) for i in reversed(range(len(by)))], RANK_BITS)
+    placed = ranked.withColumn("_code", code).repartitionByRange(files or ranges_of(df), "_code", F.xxhash64(spread_by))
+    return publish(placed.sortWithinPartitions("_code", *by).select(*df.columns), path)
+
+
+def _number(text: str) -> float:
+    return {"true": 1.0, "false": 0.0}.get(text) if text in ("true", "false") else float(text)
+
+
+#: Rows of a row group where single rows are looked up.
+GROUP_ROWS = 20_000
+
+
+def write_lookup(
+    df: DataFrame, path: str, keys: Sequence[str] = ("id", "city"), rows: int = GROUP_ROWS, distinct: int | None = None
+) -> DataFrame:
+    """The table as a new version with small row groups and a Bloom filter of each of ``keys`` in them.
+
+    A filter for one value of a key then reads the row groups that hold it, and
+    about one in a hundred others, wherever the rows lie. ``distinct`` is how
+    many values a row group holds at most, by default its rows.
+    """
+    options = {"parquet.block.row.count.limit": rows}
+    for key in keys:
+        options[f"parquet.bloom.filter.enabled#{key}"] = True
+        options[f"parquet.bloom.filter.expected.ndv#{key}"] = distinct or rows
+    return publish(df, path, options=options)
+
+
+#: How many times the mean a bucket may hold by one key, before bucketing would leave one task with too much.
+HOT_BUCKET = 4
+
+
+def save_bucketed(df: DataFrame, name: str, key: str, buckets: int, path: str) -> DataFrame:
+    """``df`` as catalog table ``name`` in ``buckets`` by the hash of ``key``, sorted by it, at ``path``.
+
+    Tables bucketed alike are joined on the key without a shuffle. As Spark
+    cannot split a bucket, a key that alone fills one of the table's size
+    HOT_BUCKET times over stops the job: such tables are better joined by a
+    shuffle, where skew is split.
+    """
+    spark = df.sparkSession
+    most, rows = df.groupBy(key).agg(F.count("*").alias("n")).agg(F.max("n"), F.sum("n")).collect()[0]
+    if rows and most > HOT_BUCKET * max(1, rows // buckets):
+        raise ValueError(f"one value of {key} has {most} of {rows} rows; bucketing would leave them to one task")
+    writer = df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key)
+    writer.option("path", path).mode("overwrite").saveAsTable(name)
+    return spark.table(name)
+
+
 def verify_load(df: DataFrame, top: int = 5) -> DataFrame:
     """Row count, rows per severity and the states with most rows, in one table.
 
@@ -111,11 +202,11 @@ def stage(table: DataFrame) -> DataFrame:
 
 
 def materialise(df: DataFrame, path: str) -> DataFrame:
-    """Writes a model as a table and returns it as read from there."""
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    """Writes a model as a new version of its table and returns it as read from there."""
+    return publish(df, path)
 
 
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """The one place that maps a model name to its files."""
-    return spark.read.parquet(f"{root.rstrip('/')}/{name}")
+    """The one place that maps a model name to its files: the version committed last, or plain files."""
+    path = f"{root.rstrip('/')}/{name}"
+    return read_version(spark, path) if is_versioned(spark, path) else spark.read.parquet(path)
