@@ -300,6 +300,10 @@ def _models() -> dict[str, str]:
         "mart_weather_poi": f"SELECT * FROM ({_MART_WEATHER})",
         "mart_funnel": _MART_FUNNEL,
         "mart_export": _MART_FUNNEL,
+        "mart_temporal_arrivals": _MART_TEMPORAL,
+        "mart_geo_arrivals": _MART_GEO,
+        "mart_weather_poi_arrivals": f"SELECT * FROM ({_MART_WEATHER})",
+        "mart_funnel_arrivals": _MART_FUNNEL,
         "mart_temporal_export": _MART_TEMPORAL,
         "mart_geo_export": _MART_GEO,
         "mart_weather_poi_export": f"SELECT * FROM ({_MART_WEATHER})",
@@ -358,6 +362,16 @@ def _star() -> dict[str, str]:
             zipcode, CAST(month(start_time) AS INTEGER) AS month_num, monthname(start_time) AS month_name,
             CAST(quarter(start_time) AS INTEGER) AS quarter_num, weather_condition, temp_bucket, incident_context, junction
             FROM inc""",
+        "star_join_whole": f"""SELECT f.*, {', '.join('i.' + c for c in (*LOCATION, *WEATHER_COLUMNS, 'incident_context', *FLAGS))},
+            CAST(month(i.start_time) AS INTEGER) AS month_num, monthname(i.start_time) AS month_name,
+            CAST(year(i.start_time) AS INTEGER) AS year_num, CAST(quarter(i.start_time) AS INTEGER) AS quarter_num,
+            CAST(date_trunc('month', i.start_time) AS DATE) AS month_start, CAST(date_trunc('year', i.start_time) AS DATE) AS year_start,
+            year(i.start_time) = 2020 AND month(i.start_time) BETWEEN 3 AND 6 AS is_covid_lockdown_period
+            FROM ({_FACT}) f JOIN inc i ON i.id = f.accident_id""",
+        "star_by_location": f"""SELECT id AS accident_id, {_LOCATION_KEY} AS location_id, severity, city, county, state, zipcode,
+            timezone FROM inc""",
+        "star_by_time": f"""SELECT id AS accident_id, {_TIME_KEY} AS time_id, severity, start_time, CAST(month(start_time) AS INTEGER) AS month_num,
+            monthname(start_time) AS month_name, CAST(quarter(start_time) AS INTEGER) AS quarter_num FROM inc""",
         "star_rollup": f"""SELECT state, CAST(quarter(start_time) AS INTEGER) AS quarter_num, incident_context,
             {N} AS accident_count, {AVG_SEV} AS avg_severity FROM inc GROUP BY ALL""",
     }
@@ -392,6 +406,8 @@ def _cleaning() -> dict[str, str]:
         "clean_file_round_trip": clean,
         "load_and_stage": f"SELECT row_number() OVER (ORDER BY source_id) AS accident_id, {staged} {_CLEAN_ROWS}",
         "raw_line_breaks": f"SELECT source_id, description || chr(10) || 'second line' AS description {_CLEAN_ROWS}",
+        "raw_split_read": f"""SELECT source_id, description || chr(10) || 'a "second", line' AS description
+            {_CLEAN_ROWS}""",
         "raw_header_order": f"SELECT source_id, city, county {_CLEAN_ROWS}",
         "clean_unreadable": f"""SELECT {N} AS rows_seen, count(*) FILTER (WHERE bad) AS rows_unreadable,
             count(*) FILTER (WHERE NOT bad AND {DROPPED}) AS rows_dropped,
@@ -431,6 +447,8 @@ _CHOSEN = """state IN ('CA', 'TX', 'NY', 'FL', 'OH') AND year(start_time) BETWEE
     AND hour_of_day BETWEEN 5 AND 20 AND severity IN (2, 3, 4) AND dur_c BETWEEN 0 AND 60000"""
 _SWITCHED = "is_weekend AND is_rush_hour AND junction"
 RADIUS, STEP = 80000.0, 2.0
+# Levels of a cell pyramid.
+LEVELS = 5
 
 
 def _statistics(where: str) -> str:
@@ -550,16 +568,30 @@ def _classes() -> str:
 
 
 def _report() -> str:
-    """All frequencies and summaries, with the figures of the report's header."""
-    head = f"(SELECT count(*) FROM inc) AS total_rows, CAST({len(REPORTED)} AS BIGINT) AS total_columns_analyzed, 'id,source_id,description' AS columns_skipped"
-    kinds = f"kinds AS ({_classes()})"
-    summaries = " UNION ALL ".join(_summary(c) for c in NUMBERS)
-    return f""", {kinds}, f AS (SELECT * FROM (WITH {_frequencies()[2:]})), n AS ({summaries})
-      SELECT column_name, 'categorical' AS kind, place, value, count, pct, NULL::DOUBLE AS min, NULL::DOUBLE AS max,
-        NULL::DOUBLE AS mean, NULL::DOUBLE AS median, NULL::DOUBLE AS std, NULL::DOUBLE AS q1_25pct, NULL::DOUBLE AS q3_75pct, {head}
-      FROM f WHERE column_name IN (SELECT column_name FROM kinds WHERE kind = 'categorical')
+    """All frequencies and summaries, with the figures of the report's header; the rows are read once and unpivoted."""
+    head = f"(SELECT count(*) FROM kept) AS total_rows, CAST({len(REPORTED)} AS BIGINT) AS total_columns_analyzed, 'id,source_id,description' AS columns_skipped"
+    texts = ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in PROFILED)
+    numbers = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in NUMBERS)
+    quartiles = ", ".join(
+        f"round(quantile_cont(value, {p}), 3) AS {name}" for p, name in ((0.5, "median"), (0.25, "q1_25pct"), (0.75, "q3_75pct"))
+    )
+    return f""", kept AS MATERIALIZED (SELECT {', '.join(REPORTED)} FROM inc),
+      cells AS (UNPIVOT (SELECT {texts} FROM kept) ON COLUMNS(*) INTO NAME column_name VALUE value),
+      values_of AS (UNPIVOT (SELECT {numbers} FROM kept) ON COLUMNS(*) INTO NAME column_name VALUE value),
+      n AS MATERIALIZED (SELECT column_name, count(value) AS count, round(min(value), 3) AS min, round(max(value), 3) AS max,
+        round(avg(value), 3) AS mean, round(stddev_pop(value), 3) AS std, {quartiles}, count(DISTINCT value) AS u
+        FROM values_of GROUP BY column_name),
+      counted AS (SELECT column_name, value, count(*) AS n FROM cells GROUP BY 1, 2),
+      placed AS (SELECT *, row_number() OVER (PARTITION BY column_name ORDER BY n DESC, value) AS place,
+        count(*) OVER (PARTITION BY column_name) AS u, sum(n) OVER (PARTITION BY column_name) AS t FROM counted),
+      folded AS (SELECT column_name, u, t, place, value, n FROM placed WHERE u <= 20 OR place <= 15
+        UNION ALL SELECT column_name, u, t, 16, '__other__', sum(n) FROM placed WHERE u > 20 AND place > 15 GROUP BY 1, 2, 3)
+      SELECT column_name, 'categorical' AS kind, CAST(place AS BIGINT) AS place, value, CAST(n AS BIGINT) AS count,
+        {pct('n', 't', 3)} AS pct, NULL::DOUBLE AS min, NULL::DOUBLE AS max, NULL::DOUBLE AS mean, NULL::DOUBLE AS median,
+        NULL::DOUBLE AS std, NULL::DOUBLE AS q1_25pct, NULL::DOUBLE AS q3_75pct, {head}
+      FROM folded WHERE column_name NOT IN (SELECT column_name FROM n WHERE u > 25)
       UNION ALL SELECT column_name, 'numeric', NULL, NULL, count, NULL, min, max, mean, median, std, q1_25pct, q3_75pct, {head}
-      FROM n WHERE column_name IN (SELECT column_name FROM kinds WHERE kind = 'numeric')"""
+      FROM n WHERE u > 25"""
 
 
 def _contract() -> str:
@@ -574,6 +606,31 @@ def _contract() -> str:
     return f"SELECT * FROM (VALUES {values}) AS t(model, column_name, \"check\", failures)"
 
 
+#: What is wrong with one table of each layer, as ``contract_damage`` damages them; all other checks pass.
+_DAMAGE = {
+    ("incidents", "id", "unique"): "(SELECT count(*) FROM inc WHERE id % 13 = 0)",
+    ("incidents", "severity", "not_null"): "(SELECT sum(times) FROM t WHERE id % 5 = 0)",
+    ("incidents", "severity", "accepted_values"): "(SELECT sum(times) FROM t WHERE id % 5 <> 0 AND id % 7 = 0)",
+    ("staged", "state", "not_null"): "(SELECT count(*) FROM inc WHERE id % 11 = 0)",
+    ("int_temporal", "granularity", "accepted_values"): "(SELECT count(DISTINCT hour_of_day) FROM inc)",
+    ("int_temporal", "accident_count", "not_null"): "(SELECT count(DISTINCT year(start_time)) FROM inc WHERE year(start_time) < 2001)",
+    ("dim_location", "location_id", "unique"): f"(SELECT count(DISTINCT {_LOCATION_KEY}) FROM inc WHERE state = 'CA')",
+    ("dim_location", "state", "not_null"): f"(SELECT count(DISTINCT {_LOCATION_KEY}) FROM inc WHERE state = 'TX')",
+    ("mart_funnel", "dimension_value", "not_null"): "(SELECT count(DISTINCT light_condition_category) FROM inc)",
+}
+
+
+def _damage() -> str:
+    rows = []
+    for model in dict.fromkeys(m for m, _, _ in _DAMAGE):
+        for kind, check in (("not_null", "not_null"), ("accepted", "accepted_values"), ("unique", "unique")):
+            for column in CONTRACT[model].get(kind, ()):
+                failures = _DAMAGE.get((model, column, check), "0")
+                rows.append(f"""SELECT '{model}' AS model, '{column}' AS column_name, '{check}' AS "check",
+                    CAST(coalesce({failures}, 0) AS BIGINT) AS failures""")
+    return " UNION ALL ".join(rows)
+
+
 _FAILURES = """SELECT 'fact' AS model, column_name, "check", failures FROM (
       SELECT 'accident_id' AS column_name, 'unique' AS "check", count(*) FILTER (WHERE id % 13 = 0) AS failures FROM inc
       UNION ALL SELECT 'severity', 'not_null', CAST(coalesce(sum(times) FILTER (WHERE id % 5 = 0), 0) AS BIGINT) FROM t
@@ -592,6 +649,18 @@ def _checks() -> dict[str, str]:
             f"""SELECT 'raw' AS model, '{name}' AS column_name, 'not_null' AS "check",
             count(*) FILTER (WHERE {missing}) AS failures FROM inc""" for name, _, missing in _raw_columns()
         ),
+        "layout_clustered": f"""SELECT state, severity, incident_context, {N} AS accident_count FROM inc
+            WHERE hour_of_day = 8 AND severity >= 2 GROUP BY ALL""",
+        "point_lookup": """SELECT id, source_id, city, state, severity, description FROM inc
+            WHERE id = (SELECT max(id) FROM inc) AND city IS NOT NULL""",
+        "first_rows": "SELECT least(50, count(*)) AS n_rows, least(50, count(*)) AS n_known FROM inc",
+        "versioned_refresh": f"""SELECT step, severity, {N} AS accident_count FROM inc,
+            (VALUES ('first'), ('after_failure'), ('refreshed'), ('held')) AS steps(step)
+            WHERE step = 'refreshed' OR severity <= 2 GROUP BY ALL""",
+        "heat_pyramid": " UNION ALL ".join(f"""SELECT *, CAST((cell_row + 0.5) * step AS DOUBLE) AS lat, CAST((cell_col + 0.5) * step AS DOUBLE) AS lng
+            FROM (SELECT CAST({level} AS BIGINT) AS level, CAST({STEP * 2**level} AS DOUBLE) AS step,
+              CAST(floor(start_lat / {STEP * 2**level}) AS BIGINT) AS cell_row, CAST(floor(start_lng / {STEP * 2**level}) AS BIGINT) AS cell_col,
+              {N} AS accident_count, {AVG_SEV} AS mean_weight FROM inc GROUP BY ALL)""" for level in range(LEVELS)),
         "layout_read": f"""SELECT state, severity, CAST(year(start_time) AS INTEGER) AS year, {N} AS accident_count FROM inc
             WHERE year(start_time) BETWEEN 1997 AND 1998 GROUP BY ALL""",
         "load_verify": f"""SELECT 'total' AS section, 'all' AS value, {N} AS row_count FROM inc
@@ -601,6 +670,7 @@ def _checks() -> dict[str, str]:
     }
     out = {name: over_incidents(sql) for name, sql in q.items()}
     out["value_frequencies"] = f"WITH {INCIDENTS}{_frequencies()}"
+    out["contract_damage"] = f"WITH {INCIDENTS}{_TIMES} {_damage()}"
     out["contract_failures"] = f"WITH {INCIDENTS}{_TIMES} {_FAILURES}"
     out["check_summary"] = f"""WITH {INCIDENTS}{_TIMES} SELECT "check", count(*) AS checks,
         count(*) FILTER (WHERE failures = 0) AS passed, count(*) FILTER (WHERE failures > 0) AS failed
@@ -618,6 +688,9 @@ def _checks() -> dict[str, str]:
           (SELECT count(*) FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders))
         UNION ALL SELECT 'lineitem', 'l_suppkey', 'relationships',
           (SELECT count(*) FROM lineitem WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier)))"""
+    out["dq_relationships_dense"] = out["dq_relationships"]
+    out["null_report_file"] = over_incidents(f"SELECT *, 'raw incidents' AS source_file FROM ({_null_audit()})")
+    out["stats_report_file"] = f"""SELECT *, 'incidents' AS source_file FROM ({out["stats_report"]})"""
     out["serial_id"] = """SELECT row_number() OVER (
         ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax,
           l_returnflag, l_linestatus, l_shipdate) AS id, * FROM lineitem"""

@@ -132,14 +132,19 @@ def made_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
 _tables: dict[tuple[str, str], str] = {}
 
 
-def incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The incident table: loaded once per session, in ranges of ``id``, and read by every query."""
+def incident_folder(spark: SparkSession, sf_dir: str) -> str:
+    """Where the incident table lies: loaded once per session, in ranges of ``id``."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _tables:
         path = f"{shared_folder(spark).rstrip('/')}/incidents-{uuid.uuid4().hex}"
         made_incidents(spark, sf_dir).write.parquet(path)
         _tables[key] = path
-    return spark.read.parquet(_tables[key])
+    return _tables[key]
+
+
+def incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The incident table that every query reads."""
+    return spark.read.parquet(incident_folder(spark, sf_dir))
 
 
 def raw_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,22 +4,27 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from roadlens.functions import geo, text
 from roadlens.operators import aggregate as agg
 from roadlens.operators import joins, maps, profile, quality
 from roadlens.operators.ordering import number_rows
 from roadlens.plans import build, cleaning, models, star
+from roadlens.plans.contract import CONTRACT
 from roadlens.plans.questions import QUESTIONS
 from roadlens.session import settle, shared_folder, tune
-from roadlens.sources import delimited, tables
+from roadlens.sources import delimited, reports, tables, versions
 from roadlens.sources.schema import UNREADABLE
+from roadlens.streaming import marts
 from roadlens.streaming.arrivals import clean_arrivals
-from workload.expected import DOCUMENT_RULES, PROFILED, RADIUS, STEP, SUMMARISED
-from workload.incidents import incidents, raw_file, raw_incidents, raw_rows
+from workload.expected import DOCUMENT_RULES, LEVELS, PROFILED, RADIUS, STEP, SUMMARISED
+from workload.incidents import incident_folder, incidents, raw_file, raw_incidents, raw_rows
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -86,9 +91,7 @@ MARTS = {
 
 def written_mart(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A mart as the build leaves it: written, then read; each call writes it anew, so its work is part of the query."""
-    path = folder(spark, name)
-    tables.materialise(MARTS[name](staged(spark, sf_dir)), path)
-    return spark.read.parquet(path)
+    return tables.materialise(MARTS[name](staged(spark, sf_dir)), folder(spark, name))
 
 
 def highlights(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -161,6 +164,61 @@ def raw_line_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return delimited.read_clean(spark, out).select(F.col("ID").alias("source_id"), F.col("Description").alias("description"))
 
 
+def raw_split_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One file with line breaks and quotes in its descriptions, read in as many pieces as its size allows."""
+    text = F.concat("Description", F.lit('\na "second", line'))
+    path = folder(spark, "one-file")
+    whole = raw_incidents(spark, sf_dir).withColumn("Description", text).coalesce(1)
+    whole.write.options(header=True, **delimited.QUOTING).csv(path)
+    clean = cleaning.clean(delimited.read_raw(spark, path))
+    return clean.select(F.col("ID").alias("source_id"), F.col("Description").alias("description"))
+
+
+def versioned_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of a table as first written, after a refresh that failed, and refreshed; and by a reader of the first."""
+    rows, path = incidents(spark, sf_dir).select("id", "severity"), folder(spark, "refreshed")
+    held = versions.publish(rows.filter("severity <= 2"), path)
+    failing = rows.withColumn("id", F.when(F.col("id") % 100 == 7, F.raise_error(F.lit("stopped"))).otherwise(F.col("id")))
+    try:
+        versions.publish(failing, path)
+    except PySparkException:
+        pass
+    steps = {"first": held, "after_failure": versions.read_version(spark, path)}
+    steps |= {"refreshed": versions.publish(rows, path), "held": held}
+    named = [df.groupBy("severity").agg(agg.incidents()).withColumn("step", F.lit(step)) for step, df in steps.items()]
+    return reduce(DataFrame.unionByName, named)
+
+
+def kept_mart(name: str) -> Query:
+    """A mart from cells to which a stream of the incident files adds batch after batch; one is sent twice."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path, rows = folder(spark, "cells"), incidents(spark, sf_dir)
+        files = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 3).parquet(incident_folder(spark, sf_dir))
+        marts.keep_marts(tables.stage(files), path, folder(spark, "batches"), marts=[name]).awaitTermination()
+        if marts.add_batch(tables.stage(rows), 0, path, marts=[name]):
+            raise AssertionError("a batch was counted twice")
+        return marts.read_mart(spark, path, name, PARTIAL_YEAR)
+
+    return query
+
+
+def star_by(key: str, columns: tuple[str, ...]) -> Callable[[DataFrame], DataFrame]:
+    """Facts with one dimension, both bucketed by its key, so that the join shuffles neither."""
+
+    def query(s: DataFrame) -> DataFrame:
+        root, tag = folder(s.sparkSession, "buckets"), uuid.uuid4().hex
+        named = {"fact": star.fact(s), "dim": star.DIMENSIONS[key](s)}
+        made = {n: tables.save_bucketed(df, f"{n}_{tag}", key, 8, f"{root}/{n}") for n, df in named.items()}
+        return joins.star_join(made["fact"], {key: made["dim"]}).select(*columns)
+
+    return query
+
+
+BY_LOCATION = ("accident_id", "location_id", "severity", "city", "county", "state", "zipcode", "timezone")
+BY_TIME = ("accident_id", "time_id", "severity", "start_time", "month_num", "month_name", "quarter_num")
+
+
 def raw_header_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files of which some have city and county the other way round."""
     raw, path = raw_incidents(spark, sf_dir), folder(spark, "headers")
@@ -228,12 +286,12 @@ def dq_accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.check_rows(table(spark, sf_dir, "orders"), "orders", accepted=accepted)
 
 
-def dq_relationships(spark: SparkSession, sf_dir: str) -> DataFrame:
+def dq_relationships(spark: SparkSession, sf_dir: str, find=quality.orphans) -> DataFrame:
     t = {n: table(spark, sf_dir, n) for n in ("documents", "labels", "lineitem", "orders", "supplier")}
     return (
-        quality.check_relationship(t["documents"], "documents", "doc_id", t["labels"], "doc_id")
-        .unionByName(quality.check_relationship(t["lineitem"], "lineitem", "l_orderkey", t["orders"], "o_orderkey"))
-        .unionByName(quality.check_relationship(t["lineitem"], "lineitem", "l_suppkey", t["supplier"], "s_suppkey"))
+        quality.check_relationship(t["documents"], "documents", "doc_id", t["labels"], "doc_id", find)
+        .unionByName(quality.check_relationship(t["lineitem"], "lineitem", "l_orderkey", t["orders"], "o_orderkey", find))
+        .unionByName(quality.check_relationship(t["lineitem"], "lineitem", "l_suppkey", t["supplier"], "s_suppkey", find))
     )
 
 
@@ -260,6 +318,28 @@ def contract_failures(s: DataFrame) -> DataFrame:
     return quality.check_all(made, DAMAGED_CONTRACT)
 
 
+def contract_damage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The promised checks over one damaged table of each layer."""
+    rows, s = incidents(spark, sf_dir), staged(spark, sf_dir)
+    severity = F.when(F.col("id") % 5 == 0, None).when(F.col("id") % 7 == 0, 9).otherwise(F.col("severity"))
+    source = rows.withColumn("severity", severity)
+    temporal, location, funnel = settle(_temporal(s)), star.dim_location(s), MARTS["mart_funnel"](s)
+    kind, state = F.col("granularity"), F.col("state")
+    made = {
+        "incidents": source.unionByName(source.filter("id % 13 = 0")),
+        "staged": s.withColumn("state", F.when(F.col("accident_id") % 11 != 0, state)),
+        "int_temporal": temporal.withColumns({
+            "granularity": F.when(kind == "hourly", "weekly").otherwise(kind),
+            "accident_count": F.when(kind != "yearly", F.col("accident_count")),
+        }),
+        "dim_location": location.unionByName(location.filter(state == "CA")).withColumn("state", F.when(state != "TX", state)),
+        "mart_funnel": funnel.withColumn(
+            "dimension_value", F.when(F.col("funnel_dimension") != "by_light", F.col("dimension_value"))
+        ),
+    }
+    return quality.check_all({name: settle(df) for name, df in made.items()}, {name: CONTRACT[name] for name in made})
+
+
 def layout_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = folder(spark, "layout")
     tables.write_layout(incidents(spark, sf_dir), path)
@@ -267,6 +347,39 @@ def layout_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.groupBy("state", "severity", "year").agg(F.count("*").alias("accident_count"))
 
 
+def layout_clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = tables.write_clustered(incidents(spark, sf_dir), folder(spark, "clustered"))
+    chosen = rows.filter("hour_of_day = 8 AND severity >= 2")
+    return chosen.groupBy("state", "severity", "incident_context").agg(agg.incidents())
+
+
+def point_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The record of the highest id, found through the Bloom filters of a table in no order."""
+    rows = incidents(spark, sf_dir)
+    spread = rows.repartition(8, F.xxhash64("id"))
+    found = tables.write_lookup(spread, folder(spark, "lookup"), rows=2000)
+    last = rows.agg(F.max("id")).collect()[0][0]
+    city = rows.filter(F.col("id") == last).select("city").collect()[0][0]
+    columns = ("id", "source_id", "city", "state", "severity", "description")
+    return found.filter((F.col("id") == last) & (F.col("city") == city)).select(*columns)
+
+
+def first_rows(df: DataFrame) -> DataFrame:
+    """How many rows a look at the first 50 gives, and how many of them are the table's."""
+    first = delimited.head(df, 50)
+    known = first.join(df.select("id"), "id", "left_semi")
+    return first.agg(F.count("*").alias("n_rows")).join(known.agg(F.count("*").alias("n_known")))
+
+
+def report_file(report: DataFrame, source: str) -> DataFrame:
+    """A report as its file holds it, but for the time it was made."""
+    path = folder(report.sparkSession, "report")
+    reports.write_report(plain(report), path, source)
+    texts = [T.StructField(name, T.StringType()) for name in ("source_file", "generated_at")]
+    rows = report.sparkSession.read.schema(T.StructType([*plain(report).schema.fields, *texts])).json(path)
+    return rows.filter(F.try_to_timestamp("generated_at", F.lit("yyyy-MM-dd HH:mm:ss")).isNotNull()).drop("generated_at")
+
+
 def serial_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "lineitem")
     # the first four columns alone are not unique at every scale
@@ -290,6 +403,7 @@ def all_queries() -> dict[str, Query]:
         "dim_road": on_staged(star.dim_road),
         "fact": on_staged(star.fact),
         "star_join": on_staged(lambda s: _starred(s).select(*STAR_COLUMNS)),
+        "star_join_whole": on_staged(_starred),
         "star_rollup": on_staged(_star_rollup),
         "staged": staged,
         "clean_pipeline": on_raw(clean_table),
@@ -297,6 +411,11 @@ def all_queries() -> dict[str, Query]:
         "clean_file_round_trip": clean_file_round_trip,
         "load_and_stage": load_and_stage,
         "raw_line_breaks": raw_line_breaks,
+        "raw_split_read": raw_split_read,
+        "versioned_refresh": versioned_refresh,
+        **{f"{name}_arrivals": kept_mart(name) for name in MARTS},
+        "star_by_location": on_staged(star_by("location_id", BY_LOCATION)),
+        "star_by_time": on_staged(star_by("time_id", BY_TIME)),
         "raw_header_order": raw_header_order,
         "clean_unreadable": clean_unreadable,
         "clean_strings": on_raw(clean_strings),
@@ -335,8 +454,16 @@ def all_queries() -> dict[str, Query]:
         "dq_relationships": dq_relationships,
         "contract_checks": contract_checks,
         "contract_failures": on_staged(contract_failures),
+        "contract_damage": contract_damage,
         "check_summary": on_staged(lambda s: quality.summarise(contract_failures(s))),
         "layout_read": layout_read,
+        "layout_clustered": layout_clustered,
+        "point_lookup": point_lookup,
+        "first_rows": on_incidents(first_rows),
+        "null_report_file": on_raw(lambda r: report_file(profile.null_audit(r.drop(UNREADABLE)), "raw incidents")),
+        "stats_report_file": on_incidents(lambda d: report_file(profile.stats_report(d), "incidents")),
+        "dq_relationships_dense": lambda s, d: dq_relationships(s, d, quality.orphans_by_bitmap),
+        "heat_pyramid": on_incidents(lambda d: maps.heat_pyramid(d, STEP, LEVELS).drop("cell")),
         "serial_id": serial_id,
         "load_verify": on_incidents(tables.verify_load),
     }
