@@ -31,6 +31,8 @@ TOP = 2000
 COVERED = 100
 #: Candidates of a language that one task ranks at a time, about.
 RANKED = 50_000
+#: Frequent phrases of a length that are broadcast to thin a relation, some 50 bytes each; of more, groups are shuffled.
+MOST_FREQUENT = 500_000
 CHUNK = 1 << 24
 ROWS = 100_000
 # What separates pieces, and words in them.
@@ -127,30 +129,35 @@ def collocations(
     stops and line ends. A null text counts as empty, a null language as 'und';
     repeated rows count each; an empty table gives no rows; other columns are
     ignored. A chunk holds up to CHUNK bytes of whole texts, or one longer text,
-    which bounds a task; nothing is sent to the driver or broadcast by hand.
-    Relations are written to the shared folder and deleted at the end.
+    which bounds a task. Nothing is sent to the driver; frequent phrases are
+    broadcast up to MOST_FREQUENT and joined by a shuffle beyond. Relations are
+    written to the shared folder, and deleted when the next length is there.
     """
     if longest < 2:
         raise ValueError("a phrase has two words at least")
-    written = [settle(docs.select("lang", "text").mapInArrow(_occurrences, schema_of(WORDS)))]
-    relation, keys, levels = written[0], ["lang", "word"], []
-    words = relation.groupBy("lang").agg(F.sum("n").cast("decimal(16,0)").alias("words"))
+    relation = settle(docs.select("lang", "text").mapInArrow(_occurrences, schema_of(WORDS)))
+    words = settle(relation.groupBy("lang").agg(F.sum("n").cast("decimal(16,0)").alias("words")))
+    keys, levels = ["lang", "word"], []
     for k in range(1, longest + 1):
         groups = relation.filter("code IS NOT NULL").select("chunk", "code", *keys, "n")
         frequent = groups.groupBy(*keys).agg(F.sum("n").alias("a")).filter(F.col("a") >= least)
         # 8 times a row number and the length: one number for each phrase of any length
         frequent = settle(frequent.withColumn("id", F.monotonically_increasing_id() * 8 + k))
         levels.append(frequent)
-        written.append(frequent)
         if k < longest:
-            known = groups.join(frequent, keys).select("chunk", "code", "id", F.lit(None).cast("binary").alias("places"))
+            thin = F.broadcast(frequent) if frequent.count() <= MOST_FREQUENT else frequent
+            known = groups.join(thin, keys).select("chunk", "code", "id", F.lit(None).cast("binary").alias("places"))
             none = F.lit(None).cast("long")
             places = relation.filter("places IS NOT NULL").select("chunk", none.alias("code"), none.alias("id"), "places")
             dealt = known.unionByName(places).repartition("chunk").sortWithinPartitions("chunk", F.col("code").asc_nulls_last())
-            relation, keys = settle(dealt.mapInArrow(_extend(k + 1 < longest), schema_of(PAIRS))), ["first", "second"]
-            written.append(relation)
-    found = settle(_ranked(_scored(_phrases(levels), words, covered), top, written))
-    for df in written:
+            longer = settle(dealt.mapInArrow(_extend(k + 1 < longest), schema_of(PAIRS)))
+            keys = ["first", "second"]
+            discard(relation)
+            relation = longer
+    discard(relation)
+    scored = settle(_scored(_phrases(levels), words, covered))
+    found = settle(_ranked(scored, top))
+    for df in (*levels, words, scored):
         discard(df)
     return found
 
@@ -195,10 +202,8 @@ def _scored(phrases: DataFrame, words: DataFrame, covered: int) -> DataFrame:
     )
 
 
-def _ranked(scored: DataFrame, top: int, written: list[DataFrame]) -> DataFrame:
+def _ranked(scored: DataFrame, top: int) -> DataFrame:
     """The ``top`` rows of each language; the best of each part of a language go on, so no task ranks a whole one."""
-    scored = settle(scored)
-    written.append(scored)
     best = [F.desc("score"), F.desc("a"), F.asc("phrase")]
     parts = max(1, scored.count() // RANKED)
     part = F.pmod(F.xxhash64("phrase"), F.lit(parts))
