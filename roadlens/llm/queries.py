@@ -21,7 +21,7 @@ from roadlens.llm.oracle_contamination import contamination_sql
 from roadlens.llm.oracle_quality import quality_sql
 from roadlens.llm.packing import packed
 from roadlens.llm.period_runs import periodic_runs
-from roadlens.llm.personal_data import find_personal_data, learn_spans, spans_digest
+from roadlens.llm.personal_data import find_personal_data, spans_digest
 from roadlens.llm.quality_classifier import CUT, learn_quality, score_quality
 from roadlens.llm.quality_rules import quality_rules
 from roadlens.llm.token_files import read_ids, write_ids
@@ -49,7 +49,7 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packed(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")).drop("ids")
+    return packed(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), with_ids=False).drop("ids")
 
 
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,8 +60,7 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    return spans_digest(find_personal_data(docs, learn_spans(docs)))
+    return spans_digest(find_personal_data(table(spark, sf_dir, "documents")))
 
 
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,6 +8,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from roadlens.llm import decontaminate, language_id, language_model, line_dedup, ngram_join, packing, personal_data
 from roadlens.llm import quality_classifier, quality_rules, range_coder, token_files
@@ -101,10 +102,11 @@ def test_encoder_equals_the_library():
     draw = random.Random(3)
     alphabet = "ab ZÉéß.,!?'\n\t  12_-́  Σ日\x1c　"
     texts = ["".join(draw.choice(alphabet) for _ in range(draw.randint(0, 60))) for _ in range(1500)]
-    texts += ["<|endoftext|> a.", "don't rock'sand 3.14, x!!! ...", "H̱ x.", "İstanbul, ΟΔΟΣ.", "x" * 3000, "  ", ""]
+    texts += ["<|endoftext|> a.", "a <|endoftext|> b", "<|startoftext|>x", "A<|ENDOFTEXT|>B <|EndOfText|>.", "<|endoftext|>,<|endoftext|>"]
+    texts += ["don't rock'sand 3.14, x!!! ...", "H̱ x.", "İstanbul, ΟΔΟΣ.", "x" * 3000, "  ", ""]
     for name, spaced in (("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)):
         own = Encoder(public_tokenizers.path(name), spaced)
-        expected = own.tokenizer.encode_batch(texts, add_special_tokens=False)
+        expected = Tokenizer.from_file(public_tokenizers.path(name)).encode_batch(texts, add_special_tokens=False)
         assert [np.frombuffer(b, "<u2").tolist() for b in own.encode(texts)] == [e.ids for e in expected]
 
 
@@ -185,19 +187,73 @@ def test_components_of_paths_and_stars(spark):
     assert found == {i: 0 for i in range(41)} | {100 + i: 100 for i in range(30)} | {300: 300}
 
 
-def test_least_squares_and_plan():
+def partitions(total: int, parts: int, least: int = 1) -> list[list[int]]:
+    """All ways to write ``total`` as at most ``parts`` parts of at least ``least``, ascending."""
+    if not total:
+        return [[]]
+    return [[n, *rest] for n in range(least, total + 1) if parts for rest in partitions(total - n, parts - 1, n)]
+
+
+def test_the_best_combination_is_that_of_all():
+    draw = np.random.default_rng(5)
+    for bins, parts in ((9, 4), (12, 12), (7, 1)):
+        every = partitions(bins, parts)
+        for _ in range(20):
+            worth = np.where(draw.random(bins + 1) < 0.3, -np.inf, draw.normal(size=bins + 1))
+            value, found = packing.Combinations(bins, parts).best(worth)
+            best = max(sum(worth[p] for p in ps) for ps in every)
+            assert value == pytest.approx(best) and (value == -np.inf or sum(worth[p] for p in found) == pytest.approx(best))
+            assert value == -np.inf or found in every
+
+
+def test_least_squares_over_all_combinations():
     draw = np.random.default_rng(2)
-    a = draw.random((12, 30))
-    x = np.where(draw.random(30) < 0.2, draw.random(30), 0)
-    assert np.allclose(a @ packing.nonnegative_least_squares(a, a @ x), a @ x, atol=1e-4)
-    histogram = np.bincount(draw.integers(1, 33, 5000), minlength=33)
-    plan = packing.Plan(histogram)
-    assert (plan.left >= 0).all() and plan.left.sum() < 0.1 * histogram.sum()
-    used = [sum(b - a for a, b in zip(f, f[1:], strict=False)) for f in plan.first]
-    assert [u + int(n) for u, n in zip(used, plan.left, strict=True)] == histogram.tolist()
+    for bins, parts in ((10, 4), (16, 6)):
+        held = draw.integers(0, 50, bins + 1).astype(float)
+        held[0] = 0
+        patterns, x = packing.nonnegative_least_squares(held, packing.Combinations(bins, parts).best)
+        assert (x >= 0).all() and len(patterns) <= bins + 1
+        rest = held - sum((n * np.bincount(p, minlength=bins + 1) for p, n in zip(patterns, x, strict=True)), np.zeros(bins + 1))
+        slopes = [sum(rest[p] for p in ps) for ps in partitions(bins, parts) if all(held[p] > 0 for p in ps)]
+        assert max(slopes) < 1e-5 and all(abs(sum(rest[p] for p in ps)) < 1e-5 for ps in patterns)  # the least there is
+
+
+def test_plan_uses_documents_once():
+    draw = np.random.default_rng(2)
+    for lengths in (draw.integers(1, 33, 5000), draw.integers(1, 11, 20_000), np.full(100, 13)):
+        histogram = np.bincount(lengths, minlength=33)
+        plan = packing.Plan(histogram)
+        assert (plan.left >= 0).all()
+        used = [sum(b - a for a, b in zip(f, f[1:], strict=False)) for f in plan.first]
+        assert [u + int(n) for u, n in zip(used, plan.left, strict=True)] == histogram.tolist()
     assert packing.last_windows(1 + 8 + 1024) == [1024, 8, 1] and packing.last_windows(0) == []
 
 
+def test_short_documents_are_packed_by_the_plan():
+    for top in (20, 80, 160):  # bins of 8 tokens in a window of 256
+        histogram = np.bincount(np.random.default_rng(top).integers(top // 2, top + 1, 80_000), minlength=257)
+        plan = packing.Plan(histogram, parts=8 if top > 64 else 26)
+        assert plan.left.sum() < 0.1 * histogram.sum()
+
+
+def test_packed_ids_and_pieces_without_them_are_the_same(spark, odd):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    full = packing.packed(odd, path, window=64, width=4).collect()
+    bare = packing.packed(odd, path, window=64, width=4, with_ids=False).collect()
+    names = ("doc_id", "start", "length", "ids_crc32", "doc_tokens")
+    assert sorted(str([r[n] for n in names]) for r in full) == sorted(str([r[n] for n in names]) for r in bare)
+    assert all(packing.crc(r["ids"]) == r["ids_crc32"] and len(r["ids"]) == 2 * r["length"] for r in full)
+    places = {}
+    for r in full:
+        places.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for spots in places.values():
+        at = 0
+        for offset, length in sorted(spots):
+            assert offset == at
+            at += length
+        assert at <= 64
+
+
 def test_context_tree_is_a_distribution():
     assert np.allclose(np.exp(log_kt(np.array([0, 1, 2]), np.array([0, 0, 1]))), [1, 0.5, 0.0625])
     grams, _, _ = text_bytes([b"abracadabra", b"abba", b""])
@@ -237,13 +293,14 @@ def test_rare_grams_count_in_a_large_corpus(spark):
 
 def test_filter_corrects_for_false_positives():
     grams = np.random.default_rng(1).integers(-(2**62), 2**62, 6000)
-    rows = [("a", int(g)) for g in grams[:4000]] + [("b", int(g)) for g in grams[3000:]]
-    small = language_id.Filter(rows, ["a", "b"], 1 << 13)
+    rows = np.concatenate([grams[:4000], grams[3000:]])
+    small = language_id.Filter(rows, np.repeat([0, 1], [4000, 3000]), ["a", "b"], 1 << 13)
     assert (small.false > 0.05).all()
     codes, starts = language_id._codes(["ab cd" * 400], 4)
     held, total = small.counts(codes, starts, (3, 4))
     assert (held < 0.2 * total).all()
-    assert language_id.Filter([("a", 1)], [f"l{i}" for i in range(70)] + ["a"]).masks.shape[0] == 2
+    assert language_id.Filter(grams[:1], np.array([70]), [f"l{i}" for i in range(71)], 1 << 10).masks.shape[0] == 2
+    assert language_id.slots_for(0) == 1 << 16 and language_id.slots_for(1 << 14) == 1 << 18
 
 
 def test_redaction_and_email_runs():
