@@ -126,25 +126,30 @@ def find_contamination(docs: DataFrame, items: DataFrame, n: int = WINDOW, bound
     sorted). A window is ``n`` consecutive words of an item, or all words of a
     shorter one; items without words have none. Hash hits are verified word by
     word. Windows are broadcast in blocks of at most about ``bound``, one pass
-    over ``docs`` each, so that what is broadcast does not grow with the items.
-    Null and empty texts have no words; empty tables give no rows or no hits;
-    repeated rows of ``docs`` give repeated results, of ``items`` count once.
+    over ``docs`` each. Where there are several, a pass is written when this is
+    called and its block taken back before the next is made, so that neither the
+    driver nor an executor holds more than two, however many items there are. Null
+    and empty texts have no words; empty tables give no rows or no hits; repeated
+    rows of ``docs`` give repeated results, of ``items`` count once.
     """
-    spark = docs.sparkSession
+    context = docs.sparkSession.sparkContext
     texts = docs.select("doc_id", text_key().alias("row"), "text")
     listed = items.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")), "text").toLocalIterator()
+    blocks = _blocks(listed, n, bound)
+    block, following = next(blocks, []), next(blocks, None)
+    if following is None:
+        return texts.mapInArrow(_scanner(context.broadcast(Windows(block, n))), schema_of(OUT))
     found = []
-    for block in _blocks(listed, n, bound):
-        shared = spark.sparkContext.broadcast(Windows(block, n))
-        found.append(texts.mapInArrow(_scanner(shared), schema_of(OUT)))
-    if not found:
-        shared = spark.sparkContext.broadcast(Windows([], n))
-        found.append(texts.mapInArrow(_scanner(shared), schema_of(OUT)))
-    if len(found) == 1:
-        return found[0]
+    while block is not None:
+        shared = context.broadcast(Windows(block, n))
+        one = texts.mapInArrow(_scanner(shared), schema_of(OUT))
+        # the first pass counts the words of all rows
+        found.append(settle(one if not found else one.filter(F.size("spans") > 0)))
+        shared.destroy()
+        block, following = following, next(blocks, None)
     merged = found[0].withColumn("pass", F.lit(0))
-    for k, one in enumerate(found[1:], 1):
-        merged = merged.unionByName(one.withColumn("pass", F.lit(k)))
+    for one in found[1:]:
+        merged = merged.unionByName(one.withColumn("pass", F.lit(1)))
     together = merged.groupBy("doc_id", "row").agg(
         F.max("n_words").alias("n_words"), F.count_if(F.col("pass") == 0).alias("copies"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_set("spans")))).alias("spans"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
@@ -13,18 +14,16 @@ from pyspark.sql import functions as F
 from roadlens.llm.base import pieces, rows_out, schema_of
 
 SIZES = (3, 4)
-#: A language's filter holds the n-grams that make up at least this share of its n-grams of that size, so at most
-#: 1 / MIN_SHARE per size.
-MIN_SHARE = 5e-5
-#: Documents a language is learned from at most, and at least.
+#: Documents a language is learned from at most, about.
 SAMPLE = 4000
-LEAST = 3
-#: Slots of the filter; each is a mask of languages. Each n-gram sets two.
-SLOTS = 1 << 20
+#: Slots of the filter for each n-gram of the language that has most, and at least; each is a mask of languages. Each
+#: n-gram sets two.
+SLOTS_PER_GRAM = 16
+LEAST_SLOTS = 1 << 16
 UNKNOWN = "und"
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
-GRAMS = pa.schema([("lang", pa.string()), ("size", pa.int32()), ("gram", pa.int64()), ("n", pa.int64())])
+GRAMS = pa.schema([("lang", pa.string()), ("gram", pa.int64())])
 SCORED = pa.schema([("doc_id", pa.int64()), ("lang_pred", pa.string()), ("score", pa.float64())])
 
 
@@ -68,24 +67,28 @@ def _count(sizes: tuple[int, ...]) -> Callable[[Iterable[pa.RecordBatch]], Itera
                 codes, _ = _codes([piece["text"][i] for i in np.flatnonzero(langs == lang)], max(sizes))
                 for size in sizes:
                     grams, real = _grams(codes, size)
-                    found, n = np.unique(grams[real], return_counts=True)
-                    yield rows_out(GRAMS, {
-                        "lang": [lang] * len(found), "size": np.full(len(found), size), "gram": found.view(np.int64), "n": n,
-                    })
+                    found = np.unique(grams[real])
+                    yield rows_out(GRAMS, {"lang": [lang] * len(found), "gram": found.view(np.int64)})
 
     return count
 
 
+def slots_for(grams: int) -> int:
+    """A power of two."""
+    return max(LEAST_SLOTS, 1 << (SLOTS_PER_GRAM * grams - 1).bit_length()) if grams else LEAST_SLOTS
+
+
 class Filter:
-    """Slots of language masks (64 languages a word), the languages, and each one's rate of false positives."""
+    """Slots of language masks (64 languages a word), the languages, and each one's rate of false positives.
+
+    ``grams`` are hashes of n-grams, ``where`` the number of the language that
+    each is found in; ``usual`` is the number of the language that most texts have.
+    """
 
-    def __init__(self, rows: list[tuple[str, int]], languages: list[str], slots: int = SLOTS) -> None:
-        self.languages = languages
+    def __init__(self, grams: np.ndarray, where: np.ndarray, languages: list[str], slots: int, usual: int = 0) -> None:
+        self.languages, self.usual = languages, usual
         self.masks = np.zeros((max(1, -(-len(languages) // 64)), slots), np.uint64)
-        number = {lang: i for i, lang in enumerate(languages)}
-        where = np.array([number[lang] for lang, _ in rows], np.int64)
-        grams = np.array([gram for _, gram in rows], np.int64).view(np.uint64)
-        for p in self._slots(grams):
+        for p in self._slots(grams.view(np.uint64)):
             np.bitwise_or.at(self.masks, (where // 64, p), np.uint64(1) << (where % 64).astype(np.uint64))
         full = [self._bit(self.masks[i // 64], i).mean() for i in range(len(languages))]
         self.false = np.array(full) ** 2
@@ -124,6 +127,7 @@ def _predict(shared, sizes: tuple[int, ...]) -> Callable[[Iterable[pa.RecordBatc
                 held, _ = model.counts(codes, starts, sizes)
                 best = np.argmax(held, axis=0)
                 top = held[best, np.arange(len(best))]
+                best[top == 0] = model.usual
                 rest = np.sort(held, axis=0)[-2] if len(held) > 1 else np.zeros(len(best))
                 score = np.where(top > 0, top / np.maximum(top + rest, 1e-12), 1 / len(held))
                 langs = [model.languages[b] if n else UNKNOWN for b, n in zip(best, letters, strict=True)]
@@ -140,24 +144,26 @@ def learn_languages(labelled: DataFrame, sizes: tuple[int, ...] = SIZES, sample:
     """The filter of the languages of ``labelled`` (doc_id, text, lang).
 
     Learned from about ``sample`` documents per language at most, chosen by a
-    hash of the id. Rows without a lang, and languages of fewer than LEAST
-    documents, are left out. What comes to the driver is bounded: n-grams of at
-    least MIN_SHARE of a language's.
+    hash of the id; all their n-grams go into the filter, whose slots follow the
+    number of them. Rows without a lang are left out; a language of one document
+    is learned too, one without letters has no n-grams. What comes to the driver
+    is the sample's distinct n-grams, 8 bytes each.
     """
     known = labelled.filter("lang IS NOT NULL").select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "lang")
-    sizes_of = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect() if r["count"] >= LEAST}
+    sizes_of = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
     languages = sorted(sizes_of)
     draw = F.pmod(F.xxhash64("doc_id", "lang"), F.lit(1_000_000))
     chosen = F.lit(False)
     for lang in languages:
-        share = min(1_000_000, round(1e6 * sample / sizes_of[lang]))
+        share = min(1_000_000, math.ceil(1e6 * sample / sizes_of[lang]))
         chosen = chosen | ((F.col("lang") == lang) & (draw < share))
-    counted = known.filter(chosen).mapInArrow(_count(sizes), schema_of(GRAMS))
-    counted = counted.groupBy("lang", "size", "gram").agg(F.sum("n").alias("n"))
-    total = counted.groupBy("lang", "size").agg(F.sum("n").alias("total"))
-    often = counted.join(total, ["lang", "size"]).filter(F.col("n") >= F.greatest(F.lit(2), MIN_SHARE * F.col("total")))
-    rows = [(r["lang"], r["gram"]) for r in often.select("lang", "gram").collect()]
-    return Filter(rows, languages)
+    found = known.filter(chosen).mapInArrow(_count(sizes), schema_of(GRAMS)).distinct()
+    number = F.array_position(F.array(*[F.lit(lang) for lang in languages]), F.col("lang")) - 1
+    rows = found.select(number.cast("int").alias("where"), "gram").toArrow() if languages else None
+    where = np.asarray(rows.column("where"), np.int64) if languages else np.zeros(0, np.int64)
+    grams = np.asarray(rows.column("gram"), np.int64) if languages else np.zeros(0, np.int64)
+    usual = max(range(len(languages)), key=lambda i: sizes_of[languages[i]], default=0)
+    return Filter(grams, where, languages, slots_for(int(np.bincount(where, minlength=1).max())), usual)
 
 
 def identify(docs: DataFrame, model: Filter, sizes: tuple[int, ...] = SIZES) -> DataFrame:
@@ -165,8 +171,8 @@ def identify(docs: DataFrame, model: Filter, sizes: tuple[int, ...] = SIZES) ->
 
     Each n-gram is looked up once for all languages; counts per language are
     corrected for its false positives. The language with the most n-grams is
-    predicted (ties: the first by name); score is its share of the best two
-    counts. Null texts and texts without letters are ``und`` with score 0, as is
+    predicted (ties: the first by name; no n-gram known: the language of most
+    texts); score is its share of the best two counts. Null texts and texts without letters are ``und`` with score 0, as is
     all if no language was learned. Repeated rows each get their row.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)

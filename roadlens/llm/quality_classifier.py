@@ -125,14 +125,16 @@ def learn_quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> R
 
     About ``sample`` labelled documents at most, chosen by a hash of the id, are
     measured and brought to the driver. Null labels are left out; of several
-    labels of a document the least counts. Without both kinds all score alike.
+    labels of a document the least counts, and of several texts of an id the one
+    with the least features. Without both kinds all score alike.
     """
     known = labels.filter("quality IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("quality"))
     n = known.count()
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < min(1_000_000, round(1e6 * sample / max(1, n)))
     chosen = known.filter(draw)
     texts = docs.select("doc_id", "text").filter(draw).join(chosen.select("doc_id"), "doc_id", "left_semi")
-    rows = texts.mapInArrow(_measure, schema_of(MEASURED)).join(chosen, "doc_id").collect()
+    measured = texts.mapInArrow(_measure, schema_of(MEASURED)).groupBy("doc_id").agg(F.min("features").alias("features"))
+    rows = measured.join(chosen, "doc_id").collect()
     rows.sort(key=lambda r: (r["doc_id"], r["features"]))
     x = np.array([r["features"] for r in rows]).reshape(len(rows), len(FEATURES))
     return fit(x, np.array([r["quality"] == 1 for r in rows], bool))
