@@ -28,6 +28,8 @@ HEADLINES = (
     "mart_funnel", "highlights", "dim_location", "dim_time", "fact", "star_join", "clean_pipeline",
     "drop_null_rows", "load_and_stage", "keyword_context", "filter_stats", "point_sample", "hex_bin", "heat_grid",
     "null_audit", "value_frequencies", "column_profile", "dq_unique", "dq_relationships", "serial_id",
+    "raw_split_read", "versioned_refresh", "mart_funnel_arrivals", "layout_clustered", "point_lookup", "star_by_location",
+    "dq_relationships_dense", "heat_pyramid", "stats_report",
 )
 
 
