@@ -7,10 +7,15 @@ import re
 from array import array
 from collections.abc import Iterable
 from functools import lru_cache
+from itertools import chain
 
-#: Chunks whose ids a worker remembers at most, and the longest chunk worth remembering.
-REMEMBERED = 700_000
+import numpy as np
+
+#: Chunks whose ids a worker remembers at most, half of them since it last forgot; and the longest worth remembering.
+REMEMBERED = 1_000_000
 LONGEST = 64
+#: Words that the library gets as one text.
+TOGETHER = 256
 STOPS = ".,;:!?"
 DIGITS = "0123456789"
 UPPER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -35,7 +40,8 @@ class Encoder:
     without white space, with ``leading_space`` the one space before it too, or
     white space. Letters and digits are split from stops by any of them, so the
     ids of "word" and "," make those of "word,". Where a text holds control or rare white-space characters, on
-    which patterns may differ, the library gets the whole text.
+    which patterns may differ, or the string of an added token, which the library
+    takes for that token, it gets the whole text.
     """
 
     def __init__(self, path: str, leading_space: bool) -> None:
@@ -43,21 +49,51 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         if self.tokenizer.get_vocab_size() > 1 << 16:
             raise ValueError("ids of more than 16 bits")
-        space = [*range(0x1C, 0x20), *(RARE_SPACE if leading_space else ())]
-        self.rare = re.compile(_any_of(space)).search
+        rare = [*range(0x1C, 0x20), *(RARE_SPACE if leading_space else ())]
+        marks = [c for first, last in MARKS for c in range(first, last + 1)]
+        added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        # what only the library should see, in whole texts: white space that is split at here or there, marks that
+        # combine with letters, strings of added tokens
+        self.odd = re.compile("|".join([_any_of([*rare, *(() if leading_space else marks)]), *added])).search
+        # splitting at white space takes these away
+        self.split_at = [] if leading_space else [chr(c) for c in rare]
         self.split = re.compile(r" ?[^ \t\n\r]+|[ \t\n\r]+(?![^ \t\n\r])|[ \t\n\r]+").findall if leading_space else str.split
         # a tokenizer that lowers case gives A-Z the ids of a-z, unless marks could combine with them
         self.lowers = not leading_space and self._ids(["A Z"]) == self._ids(["a z"])
-        self.marks = re.compile(_any_of([c for first, last in MARKS for c in range(first, last + 1)])).search
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        # which tokens begin a word after a space, or end one
+        self.edge = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        for token, i in self.tokenizer.get_vocab().items():
+            self.edge[i] = token.startswith("\u0120") if leading_space else token.endswith("</w>")
+        self.leading_space = leading_space
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array("H", e.ids).tobytes() for e in found]
 
+    def _ids_of_words(self, words: list[str]) -> list[bytes]:
+        """The same for words of letters alone, many at a time: tokens tell where a word begins or ends."""
+        groups = [words[at : at + TOGETHER] for at in range(0, len(words), TOGETHER)]
+        gap = "" if self.leading_space else " "
+        found = self.tokenizer.encode_batch_fast([gap.join(g) for g in groups], add_special_tokens=False)
+        out: list[bytes] = []
+        for group, e in zip(groups, found, strict=True):
+            ids = np.array(e.ids, np.uint16)
+            edges = np.flatnonzero(self.edge[ids])
+            if len(edges) != len(group):  # some letter that the library parts words at
+                out += self._ids(group)
+                continue
+            if self.leading_space:
+                starts, ends = edges, np.append(edges[1:], len(ids))
+            else:
+                starts, ends = np.append(0, edges[:-1] + 1), edges + 1
+            data = ids.tobytes()
+            out += [data[a:b] for a, b in zip((2 * starts).tolist(), (2 * ends).tolist(), strict=True)]
+        return out
+
     def _learn(self, new: set[str]) -> None:
         """Finds the ids of new chunks; a chunk that ends in a letter or digit and stops is cut before the stops."""
         known, cut, plain = self.known, [], set()
@@ -69,32 +105,44 @@ class Encoder:
                 plain.add(stops)
             else:
                 plain.add(c)
-        unknown = [p for p in plain if p not in known]
-        known.update(zip(unknown, self._ids(unknown), strict=True))
+        older = self.older
+        known.update([(p, older[p]) for p in plain if p in older])
+        words, others = [], []
+        first = 1 if self.leading_space else 0
+        for p in plain:
+            if p not in known:
+                (words if p[:first] in ("", " ") and p[first:].isalpha() else others).append(p)
+        known.update(zip(words, self._ids_of_words(words), strict=True))
+        known.update(zip(others, self._ids(others), strict=True))
         known.update([(c, known[core] + known[stops]) for c, core, stops in cut])
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as unsigned 16-bit integers of this machine, little-endian on all that Spark runs on."""
-        whole = [i for i, t in enumerate(texts) if self.rare(t)]
-        at_once = self._ids([texts[i] for i in whole])
+        given = texts
         if self.lowers:
-            texts = [t if self.marks(t) else t.encode("utf-8", "replace").translate(UPPER).decode() for t in texts]
+            texts = [t.lower() if t.isascii() else t.encode("utf-8", "replace").translate(UPPER).decode() for t in texts]
         chunks = [self.split(t) for t in texts]
+        known = self.known
+        new = set(chain.from_iterable(chunks)).difference(known)
+        # chunks that are known are not odd; in lower case too, what is no token as written may not become one
+        odd = {c for c in new if not (c.isalnum() and c.isascii()) and self.odd(c)}
+        new -= odd
+        whole = [
+            i for i, (t, cs) in enumerate(zip(given, chunks, strict=True))
+            if (odd and not odd.isdisjoint(cs)) or any(c in t for c in self.split_at)
+        ]
+        at_once = self._ids([given[i] for i in whole])
         for i in whole:
             chunks[i] = []
-        known, new = self.known, set()
-        for cs in chunks:
-            new.update(cs)
-        new.difference_update(known)
         self._learn(new)
-        out = [b"".join([known[c] for c in cs]) for cs in chunks]
+        out = [b"".join(map(known.__getitem__, cs)) for cs in chunks]
         for i, ids in zip(whole, at_once, strict=True):
             out[i] = ids
-        if len(known) > REMEMBERED:
-            known.clear()
         for c in new:
             if len(c) > LONGEST:
                 known.pop(c, None)
+        if len(known) > REMEMBERED // 2:
+            self.older, self.known = known, {}
         return out
 
 

@@ -28,9 +28,7 @@ def documents(sf_dir: str = SMALL) -> dict[int, str]:
 
 
 def tokenizer(name: str) -> Tokenizer:
-    found = Tokenizer.from_file(public_tokenizers.path(name))
-    found.encode_special_tokens = True
-    return found
+    return Tokenizer.from_file(public_tokenizers.path(name))
 
 
 def crc(ids: np.ndarray) -> int:
