@@ -35,12 +35,12 @@ def _only(docs: DataFrame, kept: DataFrame) -> DataFrame:
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep."""
+    """Documents that the quality rules keep; null and empty texts go, equal rows share their verdict."""
     return _only(docs, quality_rules(docs).filter("kept"))
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without repeated boilerplate lines."""
+    """All documents, without repeated boilerplate lines; null texts stay null, a text may become empty."""
     return dedup_lines(docs, extra=("lang", "source", "n_chars")).select(
         "doc_id", "text", "lang", "source",
         F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")).alias("n_chars"),
@@ -53,13 +53,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without benchmark spans; those that are mostly benchmark go."""
+    """Documents without benchmark spans; those that are mostly benchmark go, null and empty texts stay."""
     return clean_texts(docs.select(*COLUMNS), table(spark, sf_dir, "benchmark"), MAX_CONTAMINATED)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of token sequences, one row each."""
-    return packed(docs, public_tokenizers.path("word_bpe_49k.json")).drop("ids", "part", "row")
+    """Pieces of token sequences, one row each; an empty text is its end id, a repeated row a document of its own."""
+    return packed(docs, public_tokenizers.path("word_bpe_49k.json"), with_ids=False).drop("ids", "part", "row")
 
 
 STAGES = [
