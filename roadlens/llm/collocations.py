@@ -12,6 +12,7 @@ next length.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +34,7 @@ COVERED = 100
 RANKED = 50_000
 #: Frequent phrases of a length that are broadcast to thin a relation, some 50 bytes each; of more, groups are shuffled.
 MOST_FREQUENT = 500_000
-CHUNK = 1 << 24
+CHUNK = 1 << 23
 ROWS = 100_000
 # What separates pieces, and words in them.
 MARKS = byte_classes(b"\x20\x09", b".,;:!?\x0a\x0b\x0c\x0d")
@@ -155,15 +156,17 @@ def collocations(
             discard(relation)
             relation = longer
     discard(relation)
-    scored = settle(_scored(_phrases(levels), words, covered))
+    phrases = _phrases(levels)
+    scored = settle(_scored(reduce(DataFrame.unionByName, phrases), words, covered))
     found = settle(_ranked(scored, top))
-    for df in (*levels, words, scored):
+    for df in (*levels, *phrases, words, scored):
         discard(df)
     return found
 
 
-def _phrases(levels: list[DataFrame]) -> DataFrame:
-    """Phrases of two and more words: lang, words, a, id, counts of their first and last 1, 2, ... words, phrases inside."""
+def _phrases(levels: list[DataFrame]) -> list[DataFrame]:
+    """Phrases of two and more words by length: lang, words, a, id, counts of their first and last 1, 2, ... words, phrases
+    inside. Each length is written, as the next one reads it twice."""
     known = levels[0].select(
         "id", "lang", F.array("word").alias("words"), F.array("a").alias("head"), F.array("a").alias("tail"),
         F.expr("CAST(array() AS array<bigint>)").alias("inside"),
@@ -175,16 +178,14 @@ def _phrases(levels: list[DataFrame]) -> DataFrame:
             F.col("id").alias("second"), F.element_at("words", -1).alias("word"), "tail", F.col("inside").alias("right_inside")
         )
         inside = F.array_union("left_inside", "right_inside")
-        known = level.join(left, "first").join(right, "second").select(
-            "id", "lang", F.concat("words", F.array("word")).alias("words"), F.concat("head", F.array("a")).alias("head"),
+        joined = level.join(left, "first").join(right, "second").select(
+            "id", "a", "lang", F.concat("words", F.array("word")).alias("words"), F.concat("head", F.array("a")).alias("head"),
             F.concat("tail", F.array("a")).alias("tail"),
             (F.array_union(inside, F.array("first", "second")) if k > 1 else inside).alias("inside"),
         )
+        known = settle(joined)
         out.append(known)
-    phrases = out[0]
-    for more in out[1:]:
-        phrases = phrases.unionByName(more)
-    return phrases.withColumn("a", F.element_at("head", -1))
+    return out
 
 
 def _scored(phrases: DataFrame, words: DataFrame, covered: int) -> DataFrame:
