@@ -22,8 +22,7 @@ def _distance(p: str, q_: str) -> str:
 def quality_sql(documents: str = "documents") -> str:
     gone = lambda c: f"length(text) - length(regexp_replace(text, '[{c}]', '', 'g'))"
     classes = [gone("a-z"), gone(q.SPACE), *[gone(c) for c in q.CLASSES]]
-    common = [f"len(list_filter(words, lambda w: w = '{w}'))" for w in q.COMMON]
-    n_classes, n_common = len(classes) + 1, len(common) + 1
+    n_classes, top = len(classes) + 1, q.COMMON_WORDS
     sums = lambda name, n: _counts([f"sum({name}[{i}])" for i in range(1, n + 1)])
     return rf"""
 WITH d AS (
@@ -41,22 +40,38 @@ m AS (
   SELECT d.r, doc_id, lang, len(words) AS n_words, length(text) AS chars,
     length(text) - ({gone(q.SPACE)}) AS word_chars, {gone("#*$%&|<>")} AS n_symbols,
     len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(repeated.n, 0) AS n_repeat_words,
-    {_counts(classes)} AS c, {_counts(common)} AS f
+    {_counts(classes)} AS c
   FROM d LEFT JOIN repeated ON d.r = repeated.r),
+e AS (SELECT r, coalesce(lang, '') AS lang, len(words) AS n, unnest(words) AS word FROM d),
+ranked AS (
+  SELECT lang, word, row_number() OVER (PARTITION BY lang ORDER BY count(DISTINCT r) DESC, word) AS place
+  FROM e WHERE n >= {q.MIN_WORDS} GROUP BY lang, word),
+common AS (SELECT * FROM ranked WHERE place <= {top}),
+h AS (
+  SELECT r, list_transform(range(1, {top + 2}), lambda i: coalesce(element_at(map_from_entries(list((place, n))), i)[1], 0)) AS common
+  FROM (SELECT r, coalesce(place, {top + 1})::BIGINT AS place, count(*) AS n
+    FROM e LEFT JOIN common USING (lang, word) GROUP BY ALL) GROUP BY r),
 b AS (
-  SELECT *, n_words < {q.MIN_WORDS} OR 100 * n_repeat_words > {q.MAX_REPEAT_PERCENT} * n_words AS base_failed,
-    list_append(c, chars - list_sum(c)::BIGINT) AS classes, list_append(f, n_words - list_sum(f)::BIGINT) AS common
-  FROM m),
+  SELECT m.*, n_words < {q.MIN_WORDS} OR 100 * n_repeat_words > {q.MAX_REPEAT_PERCENT} * n_words AS base_failed,
+    list_append(c, chars - list_sum(c)::BIGINT) AS classes, h.common
+  FROM m LEFT JOIN h ON m.r = h.r),
 refs AS (
   SELECT coalesce(lang, '') AS ref_lang, sum(n_words) AS ref_words,
-    {sums("classes", n_classes)} AS ref_classes, {sums("common", n_common)} AS ref_common
+    {sums("classes", n_classes)} AS ref_classes, {sums("common", top + 1)} AS ref_common
   FROM b WHERE NOT base_failed GROUP BY 1),
 j AS (
-  SELECT b.*, coalesce(ref_words, 0) AS ref_words, {_distance("classes", "ref_classes")} AS class_distance,
-    {_distance("common", "ref_common")} AS word_distance
-  FROM b LEFT JOIN refs ON coalesce(lang, '') = ref_lang)
+  SELECT b.*, NOT base_failed AND n_words >= {q.GUARD_WORDS} AND coalesce(ref_words, 0) >= {q.GUARD_REFERENCE} AS trusted,
+    floor({q.STEPS} * ({_distance("classes", "ref_classes")}))::BIGINT AS class,
+    floor({q.STEPS} * ({_distance("common", "ref_common")}))::BIGINT AS word,
+    length(bin(n_words // {q.GUARD_WORDS})) AS band
+  FROM b LEFT JOIN refs ON coalesce(lang, '') = ref_lang),
+steps AS (
+  UNPIVOT (SELECT coalesce(lang, '') AS lang, band, class, word FROM j WHERE trusted) ON class, word INTO NAME kind VALUE step),
+cuts AS (
+  SELECT lang, band, kind, q3 + greatest({q.FENCE} * (q3 - q1), {q.LEAST_SPREAD}) AS cut FROM (
+    SELECT lang, band, kind, quantile_disc(step, 0.25) AS q1, quantile_disc(step, 0.75) AS q3 FROM steps GROUP BY ALL))
 SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
   n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words, base_failed,
-  NOT base_failed AND NOT (n_words >= {q.GUARD_WORDS} AND ref_words >= {q.GUARD_REFERENCE}
-    AND (class_distance > {q.MAX_CLASS_DISTANCE} OR word_distance > {q.MAX_WORD_DISTANCE})) AS kept
+  NOT base_failed AND NOT (trusted AND EXISTS (SELECT 1 FROM cuts
+    WHERE cuts.lang = coalesce(j.lang, '') AND cuts.band = j.band AND CASE kind WHEN 'class' THEN class ELSE word END > cut)) AS kept
 FROM j"""

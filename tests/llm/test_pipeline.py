@@ -108,7 +108,6 @@ def test_benchmark_windows_are_gone(stages):
 
 def test_packing_holds_every_token(stages):
     plain = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
-    plain.encode_special_tokens = True
     sizes = {i: len(plain.encode(t, add_special_tokens=False).ids) + 1 for i, t in texts(stages[4]).items()}
     packed = dict(rows(stages[5], "SELECT doc_id, sum(length) FROM docs GROUP BY 1"))
     assert {i: int(n) for i, n in packed.items()} == sizes
@@ -118,3 +117,33 @@ def test_run_applies_the_stages(spark, stages):
     key = ["doc_id", "start", "length", "ids_crc32"]
     ran = corpus_pipeline.run(spark, SMALL).select(*key).collect()
     assert sorted(map(tuple, ran)) == sorted(rows(stages[5], f"SELECT {', '.join(key)} FROM docs"))
+
+
+ODD = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def odd_rows(spark):
+    prose = " ".join(f"word{i % 97}x{i % 89}" for i in range(400))
+    texts = [None, "", " \n\t ", prose, prose, "\x00 \u00a0", "short", "long " + prose * 40]
+    rows = [(i if i % 3 else None, t, "en" if i % 2 else None, None if i % 4 else "s", len(t or "")) for i, t in enumerate(texts)]
+    return spark.createDataFrame([*rows, rows[4]], ODD)
+
+
+@pytest.mark.parametrize("name,stage", corpus_pipeline.STAGES)
+def test_stages_on_unusual_rows_and_on_none(spark, name, stage):
+    docs = odd_rows(spark)
+    rows = stage(spark, docs, SMALL).collect()
+    if name == "quality_rules":
+        assert {r["text"] for r in rows} <= {r["text"] for r in docs.collect()} and all(r["text"] for r in rows)
+    elif name == "line_dedup":
+        assert len(rows) == docs.count() and sum(r["text"] is None for r in rows) == 1
+    elif name == "ngram_join":
+        assert sum(r["text"] is not None and r["text"].startswith("word0") for r in rows) == 1
+    elif name == "decontamination":
+        assert len(rows) == docs.count()
+    else:
+        assert sum(r["start"] == 0 for r in rows) == docs.count()
+    none = stage(spark, docs.limit(0), SMALL)
+    assert none.count() == 0
+    if name != corpus_pipeline.STAGES[-1][0]:
+        assert none.columns == list(corpus_pipeline.COLUMNS)
