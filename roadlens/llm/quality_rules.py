@@ -208,7 +208,8 @@ def quality_rules(docs: DataFrame) -> DataFrame:
     )
     band = F.length(F.bin(F.floor(F.col("n_words") / GUARD_WORDS)))
     judged = settle(judged.select("*", *step.values(), band.alias("band")))
-    cuts = limits(judged)
+    # written, so that the join knows how few they are and deals out no language's rows
+    cuts = settle(limits(judged))
     diverges = (F.col("class_step") > F.col("class_limit")) | (F.col("word_step") > F.col("word_limit"))
     kept = ~F.col("base_failed") & ~(F.col("trusted") & F.coalesce(diverges, F.lit(False)))
     own = (F.coalesce(judged.lang, F.lit("")) == cuts.cut_lang) & (judged.band == cuts.cut_band)
