@@ -130,3 +130,12 @@ def test_classification_at_the_limit(spark):
         (F.col("id") % 2 == 0).alias("flag"),
     )
     assert profile.classify_columns(df, skip=()) == {"few": "categorical", "many": "numeric", "label": "categorical", "flag": "categorical"}
+
+
+def test_lookup_pieces_follow_the_input(spark):
+    from workload.registry import lookup_spread
+
+    rows = spark.range(0, 4000, 1, 24)
+    spread = lookup_spread(rows)
+    assert spread.rdd.getNumPartitions() >= 24
+    assert sorted(r.id for r in spread.collect()) == list(range(4000))

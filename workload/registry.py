@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from roadlens.functions import geo, text
 from roadlens.operators import aggregate as agg
 from roadlens.operators import joins, maps, profile, quality
-from roadlens.operators.ordering import number_rows
+from roadlens.operators.ordering import number_rows, ranges_of
 from roadlens.plans import build, cleaning, models, star
 from roadlens.plans.contract import CONTRACT
 from roadlens.plans.questions import QUESTIONS
@@ -353,11 +353,15 @@ def layout_clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chosen.groupBy("state", "severity", "incident_context").agg(agg.incidents())
 
 
+def lookup_spread(rows: DataFrame) -> DataFrame:
+    """Rows dealt by the hash of ``id``, in 8 pieces or as many as the table is read in, so a piece stays bounded."""
+    return rows.repartition(max(8, ranges_of(rows)), F.xxhash64("id"))
+
+
 def point_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The record of the highest id, found through the Bloom filters of a table in no order."""
     rows = incidents(spark, sf_dir)
-    spread = rows.repartition(8, F.xxhash64("id"))
-    found = tables.write_lookup(spread, folder(spark, "lookup"), rows=2000)
+    found = tables.write_lookup(lookup_spread(rows), folder(spark, "lookup"), rows=2000)
     last = rows.agg(F.max("id")).collect()[0][0]
     city = rows.filter(F.col("id") == last).select("city").collect()[0][0]
     columns = ("id", "source_id", "city", "state", "severity", "description")
