@@ -25,7 +25,7 @@ def header_of(spark: SparkSession, path: str) -> list[str]:
     return spark.read.options(header=True, **QUOTING).csv(path).columns
 
 
-def read_raw(spark: SparkSession, path: str, columns=None, multi_line: bool = True) -> DataFrame:
+def read_raw(spark: SparkSession, path: str, columns=None, multi_line: bool = True, lines: DataFrame | None = None) -> DataFrame:
     """Raw files with their types, every spelling of "missing" as NULL.
 
     Columns are found by the names in each file's header, in whatever order;
@@ -35,10 +35,11 @@ def read_raw(spark: SparkSession, path: str, columns=None, multi_line: bool = Tr
     large files are cut over many tasks all the same (``read_quoted``): the lines
     are read once when this is called, and again with the result. Without
     ``multi_line`` a line is a row: only for data known to hold no line break in
-    quotes, as the pieces of such a row are marked or dropped.
+    quotes, as the pieces of such a row are marked or dropped. ``lines`` are the
+    lines of the files, if a stream has read them (``quoted.lines_of``).
     """
     if multi_line:
-        found = [(_columns_of(q.header), q) for q in read_quoted(spark, path)]
+        found = [(_columns_of(q.header), q) for q in read_quoted(spark, path, lines)]
     else:
         found = [(_columns_of(h), files) for h, files in headers_of(spark, path).items()]
     if not found:

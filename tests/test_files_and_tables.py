@@ -175,6 +175,23 @@ def test_arrivals_are_cleaned_once(spark, tmp_path):
     assert sorted(r.ID for r in spark.read.parquet(out).collect()) == [1, 5]
 
 
+
+def test_arrivals_are_read_in_splits(spark, tmp_path):
+    """A large arrived file is cut over tasks like any other read, and gives the rows of the batch reader."""
+    rows = [{"ID": f"A-{i}", "Description": f'lane "{i}",\nblocked'} for i in range(1, 400)]
+    folder = write_raw(tmp_path / "in", rows)
+    out, done = str(tmp_path / "out"), str(tmp_path / "done")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8192")
+    try:
+        clean_arrivals(spark, folder, delimited.header_of(spark, folder), out, done).awaitTermination()
+        expected = cleaning.clean(delimited.read_raw(spark, folder)).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    got = spark.read.parquet(out).drop("batch").collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, expected)) and len(got) == 399
+    # one file of the sink per task: the file was not read by one
+    assert len(glob.glob(f"{out}/**/*.parquet", recursive=True)) > 1
+
 def test_contract_has_85_checks():
     kinds = {"not_null": 0, "unique": 0, "accepted": 0, "relationships": 0}
     for rules in CONTRACT.values():
