@@ -203,13 +203,18 @@ def kept_mart(name: str) -> Query:
     return query
 
 
+#: Buckets of a star join at least; more where the table is read in more partitions, so a bucket stays bounded.
+BUCKETS = 8
+
+
 def star_by(key: str, columns: tuple[str, ...]) -> Callable[[DataFrame], DataFrame]:
     """Facts with one dimension, both bucketed by its key, so that the join shuffles neither."""
 
     def query(s: DataFrame) -> DataFrame:
         root, tag = folder(s.sparkSession, "buckets"), uuid.uuid4().hex
         named = {"fact": star.fact(s), "dim": star.DIMENSIONS[key](s)}
-        made = {n: tables.save_bucketed(df, f"{n}_{tag}", key, 8, f"{root}/{n}") for n, df in named.items()}
+        buckets = max(BUCKETS, ranges_of(s))
+        made = {n: tables.save_bucketed(df, f"{n}_{tag}", key, buckets, f"{root}/{n}") for n, df in named.items()}
         return joins.star_join(made["fact"], {key: made["dim"]}).select(*columns)
 
     return query
